@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,26 +13,31 @@ def top_by(df: DataFrame, column: str, tie_break: str, n: int = 10) -> DataFrame
     return df.orderBy(F.col(column).desc_nulls_last(), F.col(tie_break).asc()).limit(n)
 
 
-def rank_by(df: DataFrame, column: str, name: str, ranges: int = 64) -> DataFrame:
-    """Add ``rank() OVER (ORDER BY column DESC NULLS LAST)`` without one task seeing all rows.
+def rank_by(df: DataFrame, names: Mapping[str, str], ranges: int = 64) -> DataFrame:
+    """Add, per ``{column: name}``, ``rank() OVER (ORDER BY column DESC NULLS LAST)``.
 
     An ordering window without a partition would pull the whole frame into one task. Instead:
     count rows per distinct value, cut the values into ``ranges`` ranges of about equal size,
     rank inside each range, and add the rows of all higher ranges. Equal values are one row by
-    then, so a value that a third of the rows share is no burden. ``df`` is read three times
+    then, so a value that a third of the rows share is no burden. ``df`` is read several times
     and should be a stored table.
     """
+    ranked = df
+    for column, name in names.items():
+        ranks = _ranks(df, column, name, ranges)
+        match = ranked[column].eqNullSafe(ranks["_value"])
+        ranked = ranked.join(ranks, match, "left").drop("_value")
+    return ranked
+
+
+def _ranks(df: DataFrame, column: str, name: str, ranges: int) -> DataFrame:
     values = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
 
     # At most ranges - 1 numbers come to the driver, as fixed cuts: computed twice inside the
     # plan they could differ and tear a range apart.
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = values.agg(F.percentile_approx("_value", steps)).first()[0] or []
-    above = [(F.col("_value") < F.lit(cut)).cast("int") for cut in sorted(set(cuts))]
-    ranged = values.withColumn(
-        "_range",
-        F.when(F.col("_value").isNull(), ranges).otherwise(reduce(add, above, F.lit(0))),
-    )
+    cuts = sorted(set(values.agg(F.percentile_approx("_value", steps)).first()[0] or []))
+    ranged = values.withColumn("_range", _range_of(F.col("_value"), cuts))
 
     # One row per range, so this window over all of them is at most ranges + 1 rows.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,9 +51,25 @@ def rank_by(df: DataFrame, column: str, name: str, ranges: int = 64) -> DataFram
         .orderBy(F.col("_value").desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = (
+    return (
         ranged.withColumn("_above", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_range")
         .select("_value", (F.col("_offset") + F.col("_above") + 1).alias(name))
     )
-    return df.join(ranks, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+
+
+def _range_of(value: Column, cuts: Sequence[object]) -> Column:
+    """Number of the range, from 0 for the highest values; NULL values come last.
+
+    Nested halving: a value meets log2(cuts) comparisons.
+    """
+
+    def halve(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(len(cuts) - low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(cuts[middle]), halve(low, middle)).otherwise(
+            halve(middle + 1, high)
+        )
+
+    return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(halve(0, len(cuts)))

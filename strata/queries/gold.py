@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import with_provenance
-from strata.lake import Lake
 from strata.operators import (
     carrier_summary,
     conform_events,
@@ -18,7 +17,7 @@ from strata.operators import (
     total,
 )
 from strata.plans.events import EVENTS_GOLD, run_events
-from strata.plans.flights import FLIGHTS, FLIGHTS_GOLD, build_flights_gold, run_flights
+from strata.plans.flights import FLIGHTS_GOLD, run_flights
 from strata.queries.base import (
     FLIGHTS_CTE,
     LOADED_AT,
@@ -63,12 +62,10 @@ def _rounded(summary: DataFrame) -> DataFrame:
     )
 
 
-def _stored_gold(spark: SparkSession, sf_dir: str, label: str) -> tuple[Lake, DataFrame]:
-    """Silver and gold flights on disk, without the CSV step."""
-    lake = scratch_lake(spark, label)
-    write_layer(silver_flights(spark, sf_dir), lake.path(FLIGHTS.at("silver")))
-    build_flights_gold(spark, lake, LOADED_AT)
-    return lake, read_layer(spark, lake.path(FLIGHTS_GOLD))
+def _stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_lake(spark, "ranking").path(FLIGHTS_GOLD)
+    write_layer(carrier_summary(silver_flights(spark, sf_dir), LOADED_AT), path)
+    return read_layer(spark, path)
 
 
 @query(DAILY_COUNTS)
@@ -134,10 +131,10 @@ FROM gold
 """
 )
 def gold_carrier_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, gold = _stored_gold(spark, sf_dir, "ranking")
-    gold = _rounded(gold).select("carrier", "flight_count", "avg_arr_delay_minutes")
-    by_volume = rank_by(gold, "flight_count", "volume_rank")
-    return rank_by(by_volume, "avg_arr_delay_minutes", "delay_rank")
+    gold = _rounded(_stored_gold(spark, sf_dir)).select("carrier", "flight_count", "avg_arr_delay_minutes")
+    return rank_by(
+        gold, {"flight_count": "volume_rank", "avg_arr_delay_minutes": "delay_rank"}
+    )
 
 
 @query(DAILY_COUNTS)
