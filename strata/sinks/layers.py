@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -21,7 +22,9 @@ class JobResult:
 
 
 def _normal(path: str) -> str:
-    return re.sub(r"^file:/*", "/", path).rstrip("/") + "/"
+    """One spelling per place: no ``file:`` scheme, no doubled slashes, no ``..``."""
+    scheme, _, rest = re.sub(r"^file:/*", "/", path).rpartition("://")
+    return f"{scheme}:{posixpath.normpath(rest)}/"
 
 
 def refuse_self_overwrite(target: str, reads: Sequence[str]) -> None:

@@ -1,0 +1,103 @@
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.contracts import FLIGHTS_BRONZE, FLIGHTS_STAGING, check_schema
+from strata.functions import utc_date, with_provenance
+from strata.lake import DatasetRef
+from strata.plans.flights import FLIGHTS, ingest_csv, ingest_flights
+from strata.sources import generate_events, read_csv, read_layer
+
+
+def test_inferred_types_and_empty_fields(spark, flights_csv):
+    df = read_csv(spark, flights_csv)
+    kinds = [f.dataType.simpleString() for f in df.schema.fields]
+    assert kinds == ["string"] * 3 + ["double"] * 4
+    row = df.where("OP_UNIQUE_CARRIER = 'AA'").first()
+    assert row.DEP_DELAY_NEW is None and row.ARR_DELAY_NEW is None and row.CANCELLED == 1.0
+
+
+def test_given_columns_equal_inferred(spark, flights_csv):
+    given, inferred = read_csv(spark, flights_csv, FLIGHTS_STAGING), read_csv(spark, flights_csv)
+    assert given.schema == inferred.schema
+    assert sorted(given.collect(), key=str) == sorted(inferred.collect(), key=str)
+
+
+def test_header_in_another_order_is_an_error(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("ORIGIN,OP_UNIQUE_CARRIER,DEST,DEP_DELAY_NEW,ARR_DELAY_NEW,CANCELLED,DISTANCE\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        path.write_text(path.read_text() + "PHX,WN,BWI,1,1,0,1\n")
+        read_csv(spark, str(path), FLIGHTS_STAGING).collect()
+
+
+def test_line_that_does_not_fit_is_kept(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text(
+        "OP_UNIQUE_CARRIER,ORIGIN,DEST,DEP_DELAY_NEW,ARR_DELAY_NEW,CANCELLED,DISTANCE\n"
+        "WN,PHX,BWI,late,57.0,0.0,1999.0\n"
+        "DL,ATL,LIT,9.0,1.0,0.0,453.0\n"
+    )
+    rows = {r.OP_UNIQUE_CARRIER: r for r in read_csv(
+        spark, str(path), FLIGHTS_STAGING, "_corrupt_record"
+    ).collect()}
+    assert rows["WN"].DEP_DELAY_NEW is None and rows["WN"].ARR_DELAY_NEW == 57.0
+    assert rows["WN"]._corrupt_record == "WN,PHX,BWI,late,57.0,0.0,1999.0"
+    assert rows["DL"]._corrupt_record is None
+
+
+def test_ingest_flights(spark, lake, flights_csv):
+    result = ingest_flights(spark, lake, flights_csv, at="2026-03-02 10:00:00")
+    bronze = read_layer(spark, lake.path(FLIGHTS))
+    check_schema(bronze, FLIGHTS_BRONZE)
+    assert result.rows == bronze.count() == 3
+    row = bronze.where("op_unique_carrier = 'WN'").first()
+    assert (row.source_file, row.distance) == ("flights.csv", 1999.0)
+    assert row.ingest_ts == datetime(2026, 3, 2, 10)
+
+
+def test_ingest_keeps_every_column_of_any_source(spark, lake, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Order ID,Total\n1,2.5\n")
+    (folder / "b.csv").write_text("Order ID,Total\n2,\n")
+    ref = DatasetRef("bronze", "shop", "orders")
+    assert ingest_csv(spark, lake, ref, str(folder)).rows == 2
+    rows = {r.order_id: r for r in read_layer(spark, lake.path(ref)).collect()}
+    assert rows[1].source_file == "a.csv" and rows[2].source_file == "b.csv"
+    assert rows[1].total == 2.5 and rows[2].total is None
+    ingest_csv(spark, lake, ref, str(folder), label="shop export", rename=False)
+    kept = read_layer(spark, lake.path(ref))
+    assert kept.columns == ["Order ID", "Total", "source_file", "ingest_ts"]
+    assert {r.source_file for r in kept.collect()} == {"shop export"}
+
+
+def test_provenance_stamp_is_one_value_per_run(spark):
+    df = with_provenance(spark.range(1000), "x")
+    assert df.select("ingest_ts").distinct().count() == 1
+
+
+def test_generated_events(spark):
+    df = generate_events(spark, 100, "2026-03-02", "2026-03-02 00:00:00")
+    assert [f.dataType.simpleString() for f in df.schema.fields] == [
+        "bigint",
+        "timestamp",
+        "double",
+        "string",
+    ]
+    first = df.orderBy("event_id").limit(5).collect()
+    assert [(r.event_id, r.dt, r.value) for r in first] == [(i, "2026-03-02", 1.0) for i in range(5)]
+    assert df.count() == 100
+    today = generate_events(spark, 1).first().dt
+    assert abs((date.fromisoformat(today) - datetime.now(timezone.utc).date()).days) <= 1
+
+
+def test_utc_date_ignores_the_session_zone(spark):
+    instants = spark.sql("SELECT timestamp'2024-01-01 23:30:00Z' AS t, timestamp'1969-12-31 23:30:00Z' AS u")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        row = instants.select(utc_date(F.col("t")).alias("t"), utc_date(F.col("u")).alias("u")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row.t, row.u) == (date(2024, 1, 1), date(1969, 12, 31))

@@ -1,0 +1,173 @@
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.errors import InvalidName, SelfOverwrite
+from strata.lake import DatasetRef
+from strata.sinks import append_table, land_day, overwrite_table, write_layer
+from strata.sources import (
+    file_inventory,
+    inventory_by_partition,
+    read_layer,
+    read_partition,
+    read_partitioned,
+)
+from tests.conftest import plan_of
+
+
+def test_overwrite_replaces_and_counts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_layer(spark.range(10), path).rows == 10
+    assert write_layer(spark.range(3), path).rows == 3
+    assert read_layer(spark, path).count() == 3
+    assert write_layer(spark.range(2), path, mode="append").rows == 2
+    assert read_layer(spark, path).count() == 5
+
+
+def test_empty_write_counts_zero(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_layer(spark.range(0), path).rows == 0
+    assert read_layer(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("target", ["{p}", "{p}/", "file:{p}", "file://{p}/sub", "{p}/../t", "{p}/../x/../t", "file:///{p}"])
+def test_self_overwrite_is_refused_before_anything_is_deleted(spark, tmp_path, target):
+    path = str(tmp_path / "t")
+    write_layer(spark.range(4), path)
+    with pytest.raises(SelfOverwrite):
+        write_layer(read_layer(spark, path), target.format(p=path), reads=[path])
+    assert read_layer(spark, path).count() == 4
+
+
+def test_sibling_with_the_same_prefix_is_fine(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_layer(spark.range(4), path)
+    assert write_layer(read_layer(spark, path), path + "2", reads=[path]).rows == 4
+
+
+def test_metrics_ride_along_and_helper_columns_are_dropped(spark, tmp_path):
+    df = spark.range(10).withColumn("_odd", F.col("id") % 2)
+    result = write_layer(
+        df, str(tmp_path / "t"), metrics={"odd": F.sum("_odd")}, drop=["_odd"]
+    )
+    assert result.rows == 10 and result.metrics == {"odd": 5}
+    assert read_layer(spark, result.path).columns == ["id"]
+
+
+def test_partitions_static_and_dynamic(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(20).withColumn("k", (F.col("id") % 4).cast("int"))
+    assert write_layer(df, path, partition_by=["k"]).rows == 20
+    assert sorted(d for d in os.listdir(path) if d.startswith("k=")) == [f"k={i}" for i in range(4)]
+    one = spark.range(100, 101).withColumn("k", F.lit(2))
+    write_layer(one, path, partition_by=["k"], dynamic=True)
+    counts = {r.k: r["count"] for r in read_layer(spark, path).groupBy("k").count().collect()}
+    assert counts == {0: 5, 1: 5, 2: 1, 3: 5}
+    write_layer(one, path, partition_by=["k"])
+    assert read_layer(spark, path).count() == 1
+
+
+def test_null_partition_key_keeps_its_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
+    result = write_layer(df, str(tmp_path / "t"), partition_by=["k"])
+    assert result.rows == 2
+    assert sorted(map(tuple, read_layer(spark, result.path).collect())) == [(1, "a"), (2, None)]
+
+
+def test_rebalance_gives_few_files_and_splits_a_hot_key(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        # A third of the rows on one key, spread over many tasks.
+        df = (
+            spark.range(0, 300_000, 1, 16)
+            .withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20 + 1))
+            .withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+        )
+        result = write_layer(df, str(tmp_path / "t"), partition_by=["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    files = file_inventory(spark, result.path, ["k"]).groupBy("k").count().collect()
+    per_key = {r.k: r["count"] for r in files}
+    assert result.rows == 300_000 == read_layer(spark, result.path).count()
+    assert per_key[0] > 1
+    assert sum(per_key.values()) < 16 * 21 / 2
+
+
+def test_land_day_touches_one_folder(spark, tmp_path):
+    root = str(tmp_path / "events")
+    df = spark.createDataFrame(
+        [(1, "2026-03-01"), (2, "2026-03-02"), (3, "2026-03-02")], "event_id long, dt string"
+    )
+    assert land_day(df, root, "2026-03-01").rows == 1
+    assert land_day(df, root, "2026-03-02").rows == 2
+    assert land_day(df, root, "2026-03-02").rows == 2
+    found = read_partitioned(spark, root, {"dt": "string"})
+    assert dict(found.dtypes)["dt"] == "string"
+    assert {(r.event_id, r.dt) for r in found.collect()} == {
+        (1, "2026-03-01"),
+        (2, "2026-03-02"),
+        (3, "2026-03-02"),
+    }
+    for bad in ("02-03-2026", "2026-03-02/..", ""):
+        with pytest.raises(InvalidName):
+            land_day(df, root, bad)
+
+
+def test_partition_filter_prunes_also_through_the_key_cast(spark, tmp_path):
+    root = str(tmp_path / "events")
+    df = spark.range(100).withColumn("dt", F.concat(F.lit("2026-03-0"), F.col("id") % 5 + 1))
+    write_layer(df, root, partition_by=["dt"])
+    found = read_partitioned(spark, root, {"dt": "string"}).where("dt = '2026-03-02'")
+    assert found.count() == 20
+    plan = plan_of(found)
+    assert "PartitionFilters: [isnotnull(dt" in plan or "PartitionFilters: [(cast(dt" in plan
+    typed = read_partition(spark, root, "dt", "2026-03-03")
+    assert typed.count() == 20 and "PartitionFilters: [isnotnull(dt" in plan_of(typed)
+    last = read_partition(spark, root, "dt", read_layer(spark, root).select(F.max("dt")).scalar())
+    assert last.count() == 20 and "Subquery" in plan_of(last).split("PartitionFilters")[1]
+
+
+def test_inventory_reads_no_data_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(60).withColumn("k", (F.col("id") % 3).cast("int"))
+    write_layer(df, path, partition_by=["k"])
+    files = file_inventory(spark, path, ["k"])
+    assert "ReadSchema: struct<>" in plan_of(files)
+    rows = files.collect()
+    on_disk = {
+        os.path.join(folder, f)
+        for folder, _, names in os.walk(path)
+        for f in names
+        if f.endswith(".parquet")
+    }
+    assert {r.file_path.removeprefix("file:") for r in rows} == on_disk
+    assert all(os.path.getsize(r.file_path.removeprefix("file:")) == r.file_bytes for r in rows)
+    by_key = {r.k: r for r in inventory_by_partition(files, "k").collect()}
+    assert {k: r.row_count for k, r in by_key.items()} == {0: 20, 1: 20, 2: 20}
+
+
+def test_append_creates_then_adds_and_overwrite_is_idempotent(spark, lake):
+    from strata.catalog import ensure_layer
+
+    ensure_layer(spark, lake, "bronze")
+    table = lake.table(DatasetRef("bronze", "demo", "sample_events"))
+    df = spark.range(5).select(F.col("id").alias("event_id"), F.lit("x").alias("v"))
+    append_table(df, table)
+    append_table(df.select("v", "event_id"), table)
+    assert spark.table(table).count() == 10
+    assert spark.table(table).agg(F.sum("event_id")).first()[0] == 20
+    for _ in range(2):
+        overwrite_table(df.select("v", "event_id"), table)
+    assert sorted(map(tuple, spark.table(table).collect())) == [(i, "x") for i in range(5)]
+
+
+def test_fixed_stamp_does_not_depend_on_run_time(spark, tmp_path):
+    from strata.functions import stamp, wall_clock_stamp
+
+    df = spark.range(1).select(
+        stamp("2026-03-02 01:02:03").alias("a"), wall_clock_stamp("2026-03-02 01:02:03").alias("b")
+    )
+    assert dict(df.dtypes) == {"a": "timestamp", "b": "timestamp_ntz"}
+    assert tuple(df.first()) == (datetime(2026, 3, 2, 1, 2, 3),) * 2
