@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         "strata-tests",
         {
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
