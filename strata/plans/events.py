@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,31 +18,43 @@ EVENTS = DatasetRef("bronze", "demo", "sample_events")
 EVENTS_GOLD = DatasetRef("gold", "demo", "daily_event_counts")
 
 
-def land_events(events: DataFrame, lake: Lake, dynamic: bool = False) -> JobResult:
-    """Events (with ``dt``) to one landing folder per day."""
+def land_events(
+    events: DataFrame, lake: Lake, dynamic: bool = False, rebalance: bool = True
+) -> JobResult:
+    """Events (with ``dt``) to one landing folder per day; ``dynamic`` keeps the other days.
+
+    Without ``rebalance`` there is no shuffle: right for a source already in day order.
+    """
     check_schema(events, EVENTS_BRONZE)
-    return write_layer(events, lake.path(EVENTS), partition_by=["dt"], dynamic=dynamic)
+    return write_layer(
+        events, lake.path(EVENTS), partition_by=["dt"], dynamic=dynamic, rebalance=rebalance
+    )
 
 
 def build_events_silver(
     spark: SparkSession,
     lake: Lake,
     at: str | None = None,
-    dynamic: bool = False,
+    days: Sequence[str] | None = None,
     rebalance: bool = False,
 ) -> JobResult:
-    """Bronze to date folders. Landing already put each day's rows together, so no shuffle:
-    silver gets at most one file per bronze file split. Rebalance if bronze is all small files.
+    """Bronze to date folders: everything anew, or only ``days`` while other days stay.
+
+    Landing already put each day's rows together, so this does not shuffle: silver gets at most
+    one file per bronze file split. Rebalance if bronze is all small files.
     """
     bronze, silver = lake.path(EVENTS), lake.path(EVENTS.at("silver"))
-    typed = conform_events(read_partitioned(spark, bronze, {"dt": "string"}), at, REJECTS)
+    landed = read_partitioned(spark, bronze, {"dt": "string"})
+    if days is not None:
+        landed = landed.where(F.col("dt").isin(*days))
+    typed = conform_events(landed, at, REJECTS)
     check_schema(typed.drop(REJECTS), EVENTS_SILVER)
     return write_layer(
         typed,
         silver,
         reads=[bronze],
         partition_by=["event_date"],
-        dynamic=dynamic,
+        dynamic=days is not None,
         rebalance=rebalance,
         metrics={"rejects": F.coalesce(F.sum(REJECTS), F.lit(0))},
         drop=[REJECTS],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import Column as SqlColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,19 @@ FLIGHTS = (
 FLIGHTS_CTE = "WITH flights AS (SELECT " + ",\n".join(FLIGHTS) + " FROM lineitem)\n"
 
 
+def rounded(column: str, places: int) -> SqlColumn:
+    """Doubles to compare: their last digits depend on the order of the sum.
+
+    The nudge keeps an exact half from going up in one order and down in another.
+    """
+    return F.round(F.col(column) + F.lit(1e-9), places).alias(column)
+
+
+def rounded_sql(value: str, places: int) -> str:
+    """The same in the oracle."""
+    return f"round({value} + 1e-9, {places})"
+
+
 def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function's name; without ``oracle`` only its rows are checked."""
 

@@ -23,6 +23,8 @@ from strata.queries.base import (
     LOADED_AT,
     flights,
     query,
+    rounded,
+    rounded_sql,
     sample_events,
     staged_flights,
 )
@@ -35,12 +37,12 @@ SELECT CAST(ts AS DATE) AS event_date, count(*) AS event_count FROM events GROUP
 """
 SUMMARY = (
     FLIGHTS_CTE
-    + """
+    + f"""
 SELECT op_unique_carrier AS carrier, count(*) AS flight_count,
-       round(avg(dep_delay_new), 6) AS avg_dep_delay_minutes,
-       round(avg(arr_delay_new), 6) AS avg_arr_delay_minutes,
+       {rounded_sql("avg(dep_delay_new)", 6)} AS avg_dep_delay_minutes,
+       {rounded_sql("avg(arr_delay_new)", 6)} AS avg_arr_delay_minutes,
        sum(cancelled) AS cancelled_count,
-       round(avg(distance), 4) AS avg_distance_miles
+       {rounded_sql("avg(distance)", 4)} AS avg_distance_miles
 FROM flights GROUP BY 1
 """
 )
@@ -51,14 +53,13 @@ def silver_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(summary: DataFrame) -> DataFrame:
-    """Sums of doubles depend on row order in their last digits."""
     return summary.select(
         "carrier",
         "flight_count",
-        F.round("avg_dep_delay_minutes", 6).alias("avg_dep_delay_minutes"),
-        F.round("avg_arr_delay_minutes", 6).alias("avg_arr_delay_minutes"),
+        rounded("avg_dep_delay_minutes", 6),
+        rounded("avg_arr_delay_minutes", 6),
         "cancelled_count",
-        F.round("avg_distance_miles", 4).alias("avg_distance_miles"),
+        rounded("avg_distance_miles", 4),
     )
 
 
@@ -119,10 +120,10 @@ def top_carriers_by_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     FLIGHTS_CTE
-    + """
+    + f"""
 , gold AS (
   SELECT op_unique_carrier AS carrier, count(*) AS flight_count,
-         round(avg(arr_delay_new), 6) AS avg_arr_delay_minutes
+         {rounded_sql("avg(arr_delay_new)", 6)} AS avg_arr_delay_minutes
   FROM flights GROUP BY 1
 )
 SELECT *, rank() OVER (ORDER BY flight_count DESC NULLS LAST) AS volume_rank,

@@ -22,7 +22,15 @@ from strata.operators import profile, row_count
 from strata.plans.events import EVENTS, build_events_silver, land_events
 from strata.plans.flights import FLIGHTS
 from strata.plans.models import build_all
-from strata.queries.base import FLIGHTS_CTE, LOADED_AT, events, query, sample_events
+from strata.queries.base import (
+    FLIGHTS_CTE,
+    LOADED_AT,
+    events,
+    query,
+    rounded,
+    rounded_sql,
+    sample_events,
+)
 from strata.queries.gold import silver_flights
 from strata.sinks import append_table, land_day, write_layer
 from strata.workspace import scratch_lake
@@ -167,12 +175,12 @@ def _registered_silver_flights(spark: SparkSession, sf_dir: str, label: str):
 
 @query(
     FLIGHTS_CTE
-    + """
+    + f"""
 SELECT op_unique_carrier AS carrier, count(*) AS flight_count,
-       round(avg(arr_delay_new), 6) AS avg_arr_delay,
-       round(avg(dep_delay_new), 6) AS avg_dep_delay,
-       round(stddev_samp(arr_delay_new), 6) AS std_arr_delay,
-       round(stddev_samp(dep_delay_new), 6) AS std_dep_delay
+       {rounded_sql("avg(arr_delay_new)", 6)} AS avg_arr_delay,
+       {rounded_sql("avg(dep_delay_new)", 6)} AS avg_dep_delay,
+       {rounded_sql("stddev_samp(arr_delay_new)", 6)} AS std_arr_delay,
+       {rounded_sql("stddev_samp(dep_delay_new)", 6)} AS std_dep_delay
 FROM flights GROUP BY 1
 """
 )
@@ -201,7 +209,7 @@ def gold_carrier_delay_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_script(spark, script)
     delays = ("avg_arr_delay", "avg_dep_delay", "std_arr_delay", "std_dep_delay")
     return spark.table(lake.table(ref)).select(
-        "carrier", "flight_count", *[F.round(c, 6).alias(c) for c in delays]
+        "carrier", "flight_count", *[rounded(c, 6) for c in delays]
     )
 
 

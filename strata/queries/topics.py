@@ -28,6 +28,9 @@ from strata.streaming import (
 )
 from strata.workspace import scratch_lake
 
+# Bounds each micro-batch, so a long backlog is worked off in restartable steps.
+FILES_PER_BATCH = 1000
+
 
 @query(
     """
@@ -83,7 +86,8 @@ def stream_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(event_messages(events(spark, sf_dir)), lake, "events")
     target = lake.path(DatasetRef("bronze", "demo", "topic_events"))
     for _ in range(2):
-        bronze = stream_to_bronze(read_topic(spark, lake, "events", stream=True), "events")
+        log = read_topic(spark, lake, "events", True, FILES_PER_BATCH)
+        bronze = stream_to_bronze(log, "events")
         run_available(to_parquet(bronze, target, lake.checkpoint_path("topic_events")))
     return read_layer(spark, target).drop("timestamp", "ingest_ts")
 
@@ -91,9 +95,8 @@ def stream_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events")
 def stream_silver_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "stream_silver")
-    bronze = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE).withColumn(
-        "dt", utc_date(F.col("ts")).cast("string")
-    )
+    source = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE, FILES_PER_BATCH)
+    bronze = source.withColumn("dt", utc_date(F.col("ts")).cast("string"))
     target = lake.path(EVENTS.at("silver"))
     writer = to_parquet(stream_to_silver(bronze), target, lake.checkpoint_path("silver_events"))
     run_available(writer)
@@ -111,7 +114,7 @@ HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTER
 def stream_daily_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days the watermark has passed; the last days stay open."""
     lake = scratch_lake(spark, "throughput")
-    source = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE)
+    source = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE, FILES_PER_BATCH)
     target = lake.path(DatasetRef("gold", "demo", "daily_throughput"))
     writer = to_parquet(daily_throughput(source), target, lake.checkpoint_path("throughput"))
     run_available(writer)

@@ -9,9 +9,17 @@ from strata.contracts import TOPIC_MESSAGES, ddl
 from strata.lake import Lake, check_topic
 
 
-def read_topic(spark: SparkSession, lake: Lake, topic: str, stream: bool = False) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    lake: Lake,
+    topic: str,
+    stream: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
     """File-backed log of one topic, as a batch or as a stream."""
     reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.schema(ddl(TOPIC_MESSAGES)).parquet(lake.topic_path(topic))
 
 

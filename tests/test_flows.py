@@ -49,7 +49,11 @@ def test_new_day_is_added_without_touching_the_old(spark, lake):
     land_events(generate_events(spark, 100, "2026-03-02", AT), lake)
     build_events_silver(spark, lake, AT)
     land_day(generate_events(spark, 40, "2026-03-03", AT), lake.path(EVENTS), "2026-03-03")
-    assert build_events_silver(spark, lake, AT, dynamic=True).rows == 140
+    added = build_events_silver(spark, lake, AT, days=["2026-03-03"])
+    assert added.rows == 40
+    silver = read_layer(spark, added.path).where("event_date = date'2026-03-02'")
+    assert silver.count() == 100
+    assert build_events_silver(spark, lake, AT).rows == 140
     build_events_gold(spark, lake, AT)
     counts = read_layer(spark, lake.path(EVENTS_GOLD)).orderBy("event_date").collect()
     assert [r.event_count for r in counts] == [100, 40]
