@@ -77,6 +77,32 @@ EVENTS_SILVER = (
     Column("ingest_ts", "timestamp"),
 )
 
+DAILY_EVENT_COUNTS = (
+    Column("event_date", "date"),
+    Column("event_count", "bigint"),
+    Column("load_ts", "timestamp"),
+)
+
+CARRIER_SUMMARY = (
+    Column("carrier", "string"),
+    Column("flight_count", "bigint"),
+    Column("avg_dep_delay_minutes", "double"),
+    Column("avg_arr_delay_minutes", "double"),
+    Column("cancelled_count", "double"),
+    Column("avg_distance_miles", "double"),
+    Column("load_ts", "timestamp"),
+)
+
+CARRIER_DELAY_SPREAD = (
+    Column("carrier", "string"),
+    Column("flight_count", "bigint"),
+    Column("avg_arr_delay", "double"),
+    Column("avg_dep_delay", "double"),
+    Column("std_arr_delay", "double"),
+    Column("std_dep_delay", "double"),
+    Column("built_at", "timestamp_ntz"),
+)
+
 TOPIC_MESSAGES = (
     Column("topic", "string"),
     Column("partition", "int"),

@@ -65,8 +65,12 @@ class Lake:
     def table(self, ref: DatasetRef) -> str:
         return f"{self.schema(ref.layer)}.{ref.project}_{ref.name}"
 
+    @property
+    def topics_path(self) -> str:
+        return f"{self.root.rstrip('/')}/topics"
+
     def topic_path(self, topic: str) -> str:
-        return f"{self.root.rstrip('/')}/topics/{check_topic(topic)}"
+        return f"{self.topics_path}/{check_topic(topic)}"
 
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{check_identifier(query)}"

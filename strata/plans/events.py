@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.contracts import EVENTS_BRONZE, EVENTS_SILVER, check_schema
+from strata.contracts import (
+    DAILY_EVENT_COUNTS,
+    EVENTS_BRONZE,
+    EVENTS_SILVER,
+    check_schema,
+)
 from strata.lake import DatasetRef, Lake
 from strata.operators import conform_events, daily_event_counts, reconcile, require_reconciled
 from strata.operators.conform import REJECTS
@@ -64,6 +69,7 @@ def build_events_silver(
 def build_events_gold(spark: SparkSession, lake: Lake, at: str | None = None) -> JobResult:
     silver = lake.path(EVENTS.at("silver"))
     counts = daily_event_counts(read_layer(spark, silver, EVENTS_SILVER), at)
+    check_schema(counts, DAILY_EVENT_COUNTS)
     return write_layer(counts, lake.path(EVENTS_GOLD), reads=[silver])
 
 
@@ -71,7 +77,7 @@ def events_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return reconcile(
         read_layer(spark, lake.path(EVENTS), EVENTS_BRONZE),
         read_layer(spark, lake.path(EVENTS.at("silver")), EVENTS_SILVER),
-        read_layer(spark, lake.path(EVENTS_GOLD)),
+        read_layer(spark, lake.path(EVENTS_GOLD), DAILY_EVENT_COUNTS),
         "event_count",
     )
 

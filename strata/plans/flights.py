@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.contracts import (
+    CARRIER_SUMMARY,
     FLIGHTS_BRONZE,
     FLIGHTS_SILVER,
     FLIGHTS_STAGING,
@@ -64,6 +65,7 @@ def build_flights_silver(spark: SparkSession, lake: Lake) -> JobResult:
 def build_flights_gold(spark: SparkSession, lake: Lake, at: str | None = None) -> JobResult:
     silver = lake.path(FLIGHTS.at("silver"))
     summary = carrier_summary(read_layer(spark, silver, FLIGHTS_SILVER), at)
+    check_schema(summary, CARRIER_SUMMARY)
     return write_layer(summary, lake.path(FLIGHTS_GOLD), reads=[silver])
 
 
@@ -71,7 +73,7 @@ def flights_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return reconcile(
         read_layer(spark, lake.path(FLIGHTS), FLIGHTS_BRONZE),
         read_layer(spark, lake.path(FLIGHTS.at("silver")), FLIGHTS_SILVER),
-        read_layer(spark, lake.path(FLIGHTS_GOLD)),
+        read_layer(spark, lake.path(FLIGHTS_GOLD), CARRIER_SUMMARY),
         "flight_count",
     )
 

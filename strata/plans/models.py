@@ -7,7 +7,8 @@ The text names tables through ``identifier(:silver || '.<project>_<name>')`` (al
 from __future__ import annotations
 
 import warnings
-from pathlib import Path
+from importlib.resources import files
+from importlib.resources.abc import Traversable
 
 from pyspark.sql import SparkSession
 
@@ -16,11 +17,26 @@ from strata.errors import ModelNotFound
 from strata.lake import LAYERS, DatasetRef, Lake, check_identifier
 from strata.sinks import JobResult, write_layer
 
-MODELS = Path(__file__).with_name("models")
+MODELS = files("strata.plans") / "models"
 
 
-def list_models(project: str, models: Path = MODELS) -> list[str]:
-    return sorted(p.stem for p in (models / check_identifier(project)).glob("*.sql"))
+def list_models(project: str, models: Traversable = MODELS) -> list[str]:
+    folder = models / check_identifier(project)
+    if not folder.is_dir():
+        return []
+    found = [p.name for p in folder.iterdir()]
+    return sorted(name.removesuffix(".sql") for name in found if name.endswith(".sql"))
+
+
+def model_text(project: str, model: str, models: Traversable = MODELS) -> str:
+    if model not in list_models(project, models):
+        raise ModelNotFound(f"{project}/{model}")
+    return (models / project / f"{model}.sql").read_text(encoding="utf-8")
+
+
+def model_args(lake: Lake, at: str | None = None) -> dict[str, object]:
+    """Values for the named parameters of a model."""
+    return {**{layer: lake.schema(layer) for layer in LAYERS}, "at": at}
 
 
 def build_model(
@@ -29,15 +45,12 @@ def build_model(
     project: str,
     model: str,
     at: str | None = None,
-    models: Path = MODELS,
+    models: Traversable = MODELS,
 ) -> JobResult:
     """Run one model, replace its files and register its table. Safe to run again."""
-    if model not in list_models(project, models):
-        raise ModelNotFound(f"{project}/{model}")
-    text = (models / project / f"{model}.sql").read_text(encoding="utf-8")
-    args: dict[str, object] = {layer: lake.schema(layer) for layer in LAYERS}
+    rows = run_sql(spark, model_text(project, model, models), model_args(lake, at))
     ref = DatasetRef("gold", project, model)
-    result = write_layer(run_sql(spark, text, {**args, "at": at}), lake.path(ref))
+    result = write_layer(rows, lake.path(ref))
     register_table(spark, lake, ref)
     return result
 
@@ -47,7 +60,7 @@ def build_all(
     lake: Lake,
     project: str,
     at: str | None = None,
-    models: Path = MODELS,
+    models: Traversable = MODELS,
 ) -> dict[str, JobResult]:
     """Build a project's models by name order; a project without models only warns."""
     names = list_models(project, models)

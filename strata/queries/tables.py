@@ -16,12 +16,12 @@ from strata.catalog import (
     sample,
     sync_partitions,
 )
-from strata.contracts import EVENTS_SILVER
+from strata.contracts import CARRIER_DELAY_SPREAD, EVENTS_SILVER, ddl
 from strata.lake import DatasetRef
 from strata.operators import profile, row_count
 from strata.plans.events import EVENTS, build_events_silver, land_events
 from strata.plans.flights import FLIGHTS
-from strata.plans.models import build_all
+from strata.plans.models import build_all, model_args, model_text
 from strata.queries.base import (
     FLIGHTS_CTE,
     LOADED_AT,
@@ -32,7 +32,7 @@ from strata.queries.base import (
     sample_events,
 )
 from strata.queries.gold import silver_flights
-from strata.sinks import append_table, land_day, write_layer
+from strata.sinks import append_table, insert_select, land_day, write_layer
 from strata.workspace import scratch_lake
 
 RAW_EVENTS = DatasetRef("bronze", "demo", "events")
@@ -185,30 +185,23 @@ FROM flights GROUP BY 1
 """
 )
 def gold_carrier_delay_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drop, create and fill as one script, run twice: the rows are there once."""
+    """A table declared by a script and filled from SQL text, twice: the rows are there once."""
     lake = _registered_silver_flights(spark, sf_dir, "delay_sql")
     ensure_layer(spark, lake, "gold")
     ref = DatasetRef("gold", "aviation", "carrier_delay_spread")
-    script = f"""
-        DROP TABLE IF EXISTS {lake.table(ref)};
-        CREATE TABLE {lake.table(ref)} (
-            carrier STRING, flight_count BIGINT,
-            avg_arr_delay DOUBLE, avg_dep_delay DOUBLE,
-            std_arr_delay DOUBLE, std_dep_delay DOUBLE,
-            built_at TIMESTAMP_NTZ
-        ) USING parquet LOCATION '{lake.path(ref)}';
-        INSERT OVERWRITE TABLE {lake.table(ref)}
-        SELECT carrier, count(*),
-               avg(arr_delay_minutes), avg(dep_delay_minutes),
-               stddev_samp(arr_delay_minutes), stddev_samp(dep_delay_minutes),
-               cast(current_timestamp() AS timestamp_ntz)
-        FROM {lake.table(FLIGHTS.at("silver"))}
-        GROUP BY carrier;
-    """
+    name, select = lake.table(ref), model_text(ref.project, ref.name)
     for _ in range(2):
-        run_script(spark, script)
+        run_script(
+            spark,
+            f"""
+            DROP TABLE IF EXISTS {name};
+            CREATE TABLE {name} ({ddl(CARRIER_DELAY_SPREAD)})
+            USING parquet LOCATION '{lake.path(ref)}';
+            """,
+        )
+        insert_select(spark, name, select, model_args(lake))
     delays = ("avg_arr_delay", "avg_dep_delay", "std_arr_delay", "std_dep_delay")
-    return spark.table(lake.table(ref)).select(
+    return spark.table(name).select(
         "carrier", "flight_count", *[rounded(c, 6) for c in delays]
     )
 

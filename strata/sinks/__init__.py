@@ -1,10 +1,11 @@
 from strata.sinks.layers import JobResult, land_day, write_layer
-from strata.sinks.tables import append_table, overwrite_table
+from strata.sinks.tables import append_table, insert_select, overwrite_table
 from strata.sinks.topics import messages, produce, publish, write_kafka
 
 __all__ = [
     "JobResult",
     "append_table",
+    "insert_select",
     "land_day",
     "messages",
     "overwrite_table",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -22,3 +24,10 @@ def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace the rows of an existing table; building twice leaves them there once."""
     columns = df.sparkSession.table(table).columns
     df.select(*columns).write.insertInto(table, overwrite=True)
+
+
+def insert_select(
+    spark: SparkSession, table: str, select: str, args: Mapping[str, object] | None = None
+) -> None:
+    """The same for SQL text: columns go by name, rows replace what the table holds."""
+    spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME\n{select}", args=args)

@@ -7,7 +7,14 @@ from strata.sources.files import (
     read_partitioned,
 )
 from strata.sources.generated import generate_events
-from strata.sources.topics import consume, kafka_options, read_kafka, read_topic, topic_summary
+from strata.sources.topics import (
+    consume,
+    kafka_options,
+    read_all_topics,
+    read_kafka,
+    read_topic,
+    topic_summary,
+)
 
 __all__ = [
     "consume",
@@ -15,6 +22,7 @@ __all__ = [
     "generate_events",
     "inventory_by_partition",
     "kafka_options",
+    "read_all_topics",
     "read_csv",
     "read_kafka",
     "read_layer",

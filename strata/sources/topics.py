@@ -23,6 +23,11 @@ def read_topic(
     return reader.schema(ddl(TOPIC_MESSAGES)).parquet(lake.topic_path(topic))
 
 
+def read_all_topics(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every file-backed topic of the lake as one log."""
+    return spark.read.schema(ddl(TOPIC_MESSAGES)).parquet(f"{lake.topics_path}/*")
+
+
 def kafka_options(
     servers: str,
     topic: str,

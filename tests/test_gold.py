@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from strata.contracts import CARRIER_DELAY_SPREAD, CARRIER_SUMMARY, DAILY_EVENT_COUNTS
 from strata.operators import (
     carrier_delay_spread,
     carrier_summary,
@@ -37,15 +38,7 @@ def silver(spark):
 
 def test_summary(silver):
     gold = carrier_summary(silver)
-    assert gold.columns == [
-        "carrier",
-        "flight_count",
-        "avg_dep_delay_minutes",
-        "avg_arr_delay_minutes",
-        "cancelled_count",
-        "avg_distance_miles",
-        "load_ts",
-    ]
+    assert gold.dtypes == list(CARRIER_SUMMARY)
     assert dict(gold.dtypes)["cancelled_count"] == "double"
     rows = {r.carrier: tuple(r)[1:6] for r in gold.collect()}
     assert rows == {
@@ -57,7 +50,7 @@ def test_summary(silver):
 
 def test_spread(silver):
     gold = carrier_delay_spread(silver, "2026-03-02 00:00:00")
-    assert dict(gold.dtypes)["built_at"] == "timestamp_ntz"
+    assert gold.dtypes == list(CARRIER_DELAY_SPREAD)
     rows = {r.carrier: r for r in gold.collect()}
     assert rows["WN"].std_dep_delay == pytest.approx(statistics.stdev([82, 10]))
     assert rows["WN"].std_arr_delay is None and rows["AA"].std_dep_delay is None
@@ -67,6 +60,7 @@ def test_spread(silver):
 def test_daily_counts_and_totals(spark):
     df = spark.createDataFrame([(i, date(2026, 3, 2)) for i in range(100)], "event_id long, event_date date")
     gold = daily_event_counts(df)
+    assert gold.dtypes == list(DAILY_EVENT_COUNTS)
     assert [(r.event_date, r.event_count) for r in gold.collect()] == [(date(2026, 3, 2), 100)]
     assert total(gold, "event_count", "t").first().t == 100
     assert row_count(df).first().n == 100
