@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import with_provenance
 from strata.operators import conform_events, conform_flights, null_profile, rows_per_key
-from strata.plans.events import EVENTS, build_events_silver, land_events
+from strata.plans.events import build_events_silver, land_events
 from strata.queries.base import FLIGHTS_CTE, LOADED_AT, flights, query, sample_events
 from strata.sources import read_layer, read_partition
 from strata.workspace import scratch_lake

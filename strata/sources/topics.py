@@ -58,8 +58,14 @@ def read_kafka(
 
 
 def consume(log: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` messages in log order. Each task keeps ``n`` rows, so ``n`` is for looking."""
-    return log.orderBy("topic", "partition", "offset").limit(n)
+    """First ``n`` messages in log order. Each task keeps ``n`` rows, so ``n`` is for looking.
+
+    A first look at the three order columns finds the highest offset that can be among them;
+    with it the scan for whole messages skips what lies beyond.
+    """
+    order = ["topic", "partition", "offset"]
+    last = log.select(*order).orderBy(*order).limit(n).agg(F.max("offset")).scalar()
+    return log.where(F.col("offset") <= last).orderBy(*order).limit(n)
 
 
 def topic_summary(log: DataFrame) -> DataFrame:
