@@ -75,9 +75,9 @@ def quality_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT layer, source_file, n AS row_count
-FROM (VALUES ('bronze'), ('silver')) AS layers(layer),
-     (SELECT 'lineitem.parquet' AS source_file, count(*) AS n FROM lineitem) AS counted
+SELECT 'bronze' AS layer, 'lineitem.parquet' AS source_file, count(*) AS row_count FROM lineitem
+UNION ALL
+SELECT 'silver', 'lineitem.parquet', count(*) FROM lineitem
 """
 )
 def lineage_rows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,13 +32,17 @@ from strata.workspace import scratch_lake
 FILES_PER_BATCH = 1000
 
 
-@query(
-    """
-SELECT 'events' AS topic, CAST(0 AS INTEGER) AS "partition",
-       event_id + again * (SELECT count(*) FROM events) AS "offset",
+PRODUCED = """
+SELECT 'events' AS topic, CAST(0 AS INTEGER) AS "partition", {offset} AS "offset",
        concat('event_', CAST(event_id + 1 AS VARCHAR)) AS value
-FROM events, (VALUES (0), (1)) AS runs(again)
+FROM events
 """
+
+
+@query(
+    PRODUCED.format(offset="event_id")
+    + "UNION ALL"
+    + PRODUCED.format(offset="event_id + (SELECT count(*) FROM events)")
 )
 def topic_produce_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many messages as there are events, twice: offsets go on where the first run ended."""

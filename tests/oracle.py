@@ -19,8 +19,10 @@ TABLES = (
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        if Path(f"{sf_dir}/{name}.parquet").exists():
-            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(f"{sf_dir}/{name}.parquet")
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
@@ -54,7 +56,13 @@ def main() -> None:
     sf_dir = sys.argv[1]
     picked = sys.argv[2:]
     spark = build_session(
-        "oracle-check", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}, "local[8]"
+        "oracle-check",
+        {
+            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+        },
+        "local[8]",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
