@@ -3,32 +3,34 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-from strata.errors import StrataError
 from strata.lake import Lake
 
+_FALLBACK = "/tmp/strata-scratch"
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names; a local folder only for a local master."""
+    """The shared folder the session names, else one on the session's default file system."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.gettempdir()
-    raise StrataError("set spark.checkpoint.dir to a folder every executor can reach")
+    return (shared or _FALLBACK).rstrip("/")
 
 
-def scratch_lake(spark: SparkSession, label: str) -> Lake:
-    """A fresh, empty lake with its own schemas; its files go away when the session's JVM ends."""
-    run = uuid.uuid4().hex[:12]
-    root = f"{scratch_root(spark)}/strata-{label}-{run}"
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh, empty folder as a full URI; it goes away when the session's JVM ends."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/strata-{label}-{uuid.uuid4().hex[:12]}"
+    )
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    return Lake(fs.makeQualified(path).toString(), re.sub(r"\W", "_", f"{label}_{run}_"))
+    return fs.makeQualified(path).toString()
+
+
+def scratch_lake(spark: SparkSession, label: str) -> Lake:
+    """A fresh, empty lake with its own schemas."""
+    root = scratch_folder(spark, label)
+    return Lake(root, re.sub(r"\W", "_", f"{label}_{root[-12:]}_"))
