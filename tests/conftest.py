@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.sql.maxMetadataStringLength": "2000",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
         "local[4]",
