@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, mixing, quality
+from strata.llm import chat, fingerprint, grammar, mixing, packing, quality
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,15 @@ ORACLES: dict[str, str] = {}
 #: One share each, but for the source that would otherwise swamp the mix.
 MIX_WEIGHTS = {"src0": 3.0} | {f"src{i}": 1.0 for i in range(1, 20)}
 
+
+
+def tokenizer_path() -> str:
+    """The public byte-level BPE vocabulary; the operators take any tokenizers file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -166,3 +175,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(*columns).unionByName(extra)
     formatted = chat.format_chat(rows.withColumn("parts", chat.text_part(F.col("text"))))
     return chat.read_back(formatted)
+
+
+@_query()
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar.through_files(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@_query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
