@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, grammar, mixing, packing, quality
+from strata.llm import chat, fingerprint, grammar, mixing, packing, quality, simhash
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,20 +89,18 @@ means AS (SELECT source, (SELECT count(*) FROM documents) * w / (SELECT sum(w) F
 terms AS (SELECT source, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
   FROM means, range(0, 60) r(k)),
 cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
-u AS (SELECT doc_id, source, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':0'),
+u AS (SELECT *, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':0'),
   1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u FROM documents),
-drawn AS (SELECT doc_id, u.source, (SELECT count(*) FROM cdf WHERE cdf.source = u.source
+drawn AS (SELECT u.*, (SELECT count(*) FROM cdf WHERE cdf.source = u.source
   AND c <= u.u) AS n FROM u JOIN means USING (source))
-SELECT doc_id, source, i AS copy,
+SELECT doc_id, text, lang, source, n_chars, i AS copy,
   md5('order42:' || coalesce(doc_id::VARCHAR, '') || ':' || i::VARCHAR) AS shuffle_key
-FROM (SELECT doc_id, source, unnest(range(0, n)) AS i FROM drawn)"""
+FROM (SELECT *, unnest(range(0, n)) AS i FROM drawn)"""
 )
 def op7_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts travel with their copies; the result names them by id."""
-    mixed = mixing.mix(
+    return mixing.mix(
         table(spark, sf_dir, "documents"), MIX_WEIGHTS, copy_col="copy", order_col="shuffle_key"
     )
-    return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
 @_query(
@@ -185,3 +183,8 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@_query()
+def op6_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked_documents(table(spark, sf_dir, "documents"))
