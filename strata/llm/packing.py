@@ -40,13 +40,14 @@ def pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer)
         for batch in batches:
             rows: list[tuple] = []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.encode(texts), strict=True):
-                data = memoryview(ids + end)
-                n = len(data) // 4
+            flat, sizes = encode.encode_with_end(batch.column(1), end_id)
+            every, at = memoryview(flat).cast("B"), 0
+            for doc, n in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
+                data = every[4 * at : 4 * (at + n)]
+                at += n
                 stop = (n - 1) % capacity + 1
                 start = piece = 0
                 while start < n:
