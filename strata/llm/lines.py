@@ -14,13 +14,15 @@ expression.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, fresh
 
 #: Counters of the rarity table: bounded, whatever the vocabulary. Any order is exact.
-RARITY_BITS = 18
+RARITY_BITS = 16
 
 _WORD = r"[^\x20\x09-\x0D]"
 _KEYS = ["k1", "k2"]
@@ -46,22 +48,22 @@ def line_words(line: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """One array of levels, by word hash: how often words of that hash occur in all texts."""
+    """One byte per word hash: the level of how often words of that hash occur in all texts."""
     size = 1 << RARITY_BITS
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("bucket")
-    counts = words.groupBy(bucket).agg(F.count("*").alias("n"))
-    level = F.floor(3 * F.log2(F.coalesce("n", F.lit(0)) + 1)).cast("int")
-    every = docs.sparkSession.range(size).withColumnRenamed("id", "bucket")
-    levels = every.join(counts, "bucket", "left").select("bucket", level.alias("level"))
-    table = levels.agg(F.sort_array(F.collect_list(F.struct("bucket", "level"))).alias("t"))
-    return table.select(F.col("t.level").alias("levels")).scalar()
+    levels = bytearray(size)
+    for row in words.groupBy(bucket).agg(F.count("*").alias("n")).collect():
+        levels[row.bucket] = int(3 * math.log2(row.n + 1))
+    return F.lit(bytes(levels))
 
 
 def _ordered(hashes: Column, levels: Column) -> Column:
     """Distinct words as numbers, rare ones first: level above, hash below."""
+
     def number(h: Column) -> Column:
-        level = F.get(levels, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
+        at = h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int") + 1
+        level = F.ascii(F.substring(levels, at, F.lit(1)).cast("string"))
         return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     return F.sort_array(F.transform(F.array_distinct(hashes), number))
@@ -76,13 +78,11 @@ def _tokens(lines: DataFrame, levels: Column) -> DataFrame:
     lines = lines.withColumn("words", line_words(F.col("line")))
     lines = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     lines = lines.withColumn("tokens", _ordered(F.col("hashes"), levels)).drop("hashes")
-    parity = F.aggregate(
-        "tokens",
-        F.lit(0).cast("bigint"),
-        lambda a, t: a.bitwiseXOR(F.expr("shiftleft(1L, CAST(t & 63L AS INT))"))
-        if False
-        else a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))),
-    )
+    def bit(t: Column) -> Column:
+        place = t.bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+    parity = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
     return lines.withColumns({"n": F.size("tokens"), "sketch": parity})
 
 
@@ -164,31 +164,31 @@ def dedup_lines(
     stay NULL. NULL ids are later than any other; rows equal in id and text are one document
     repeated and lose the same lines. An empty table stays empty.
     """
-    k1, k2, kept = fresh(df, "_k1", "_k2", "_kept_text")
+    k1, k2, null, kept, removed = fresh(df, "_k1", "_k2", "_null", "_kept_text", "_removed")
     docs = _keyed(df, id_col, text_col)
-    result = docs.join(kept_lines(docs), _KEYS, "left").withColumn("all", F.split("text", "\n"))
     empty = F.array().cast("array<int>")
-    blank = F.filter(
-        F.transform(
-            "all", lambda x, i: F.when(x.rlike(_WORD), F.lit(-1)).otherwise(i)
-        ),
-        lambda i: i >= 0,
+    rows = docs.join(kept_lines(docs), _KEYS, "left").withColumn("all", F.split("text", "\n"))
+    blank = F.transform("all", lambda x, i: F.when(x.rlike(_WORD), F.lit(-1)).otherwise(i))
+    stay = F.concat(
+        F.filter(blank, lambda i: i >= 0),
+        F.array_except(F.coalesce("firsts", empty), F.coalesce("later", empty)),
     )
-    result = result.withColumn(
-        "stay",
-        F.sort_array(
-            F.concat(
-                blank,
-                F.array_except(F.coalesce("firsts", empty), F.coalesce("later", empty)),
-            )
-        ),
-    )
-    result = result.select(
+    rows = rows.withColumn("stay", F.sort_array(stay))
+    rows = rows.select(
         F.col("k1").alias(k1),
         F.col("k2").alias(k2),
         F.array_join(F.transform("stay", lambda i: F.get(F.col("all"), i)), "\n").alias(kept),
-        (F.size("all") - F.size("stay")).cast("long").alias("removed"),
+        (F.size("all") - F.size("stay")).cast("long").alias(removed),
     )
-    return result, k1, k2, kept
-
-
+    if not docs.groupBy(*_KEYS).count().where("count > 1").isEmpty():
+        rows = rows.distinct()
+    others = df.select(
+        *[c for c in df.columns if c.lower() != text_col.lower()],
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias(k1),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(k2),
+        F.col(text_col).isNull().alias(null),
+    )
+    text = F.when(~F.col(null), F.col(kept)).alias(text_col)
+    columns = [text if c.lower() == text_col.lower() else F.col(c) for c in df.columns]
+    counted = [F.col(removed).alias(removed_col)] if removed_col else []
+    return others.join(rows, [k1, k2]).select(*columns, *counted)

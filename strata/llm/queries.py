@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, grammar, mixing, packing, quality, simhash
+from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, simhash
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,32 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op6_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked_documents(table(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, i AS pos, ls[i] AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM d), range(1, len(ls) + 1) r(i)),
+w AS (SELECT *, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS ws FROM l),
+f AS (SELECT ws, line, min(struct_pack(d := doc_id, a := pos)) AS o FROM w WHERE len(ws) > 0
+  GROUP BY ALL),
+df AS (SELECT t, count(*) AS n FROM (SELECT unnest(ws) AS t FROM f) GROUP BY t),
+r AS (SELECT o, t, row_number() OVER (PARTITION BY o ORDER BY n, t) AS p, len(ws) AS k, ws
+  FROM (SELECT o, ws, unnest(ws) AS t FROM f) JOIN df USING (t)),
+p AS (SELECT * FROM r WHERE p <= k - (4 * k + 4) // 5 + 1),
+near AS (SELECT DISTINCT a.o FROM p a JOIN p b ON a.t = b.t AND b.o < a.o
+  WHERE 9 * len(list_intersect(a.ws, b.ws)) >= 4 * (a.k + b.k)),
+j AS (SELECT w.*, len(w.ws) > 0 AND (f.o <> struct_pack(d := doc_id, a := pos)
+    OR near.o IS NOT NULL) AS gone
+  FROM w LEFT JOIN f ON w.line = f.line LEFT JOIN near ON near.o = f.o)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id""")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", n_lines.alias("n_lines")
+    )
+    kept = lines.dedup_lines(documents, removed_col="n_removed")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
