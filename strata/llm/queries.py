@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, simhash
+from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, simhash, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,3 +217,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(documents, removed_col="n_removed")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
+@_query(r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+s AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest
+  FROM p),
+k AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER
+  (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS keeper FROM s)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM k""")
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.through_archives(spark, table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
