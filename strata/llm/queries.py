@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, simhash, warc
+from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, repeats, simhash, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +234,9 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@_query()
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return rest.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
