@@ -12,8 +12,8 @@ context (a stretch of text); every window lies in exactly one.
    Common prefixes are measured at the samples only; within a run the length follows from the
    preceding text position, so matching statistics stream along the text. Matches of ``LENGTH`` or
    more are marked.
-3. Anchors with more than ``CROWD`` different contexts are compared window by window instead, by
-   hash, dealt over all tasks: no group has to fit in one.
+3. Anchors whose different contexts exceed ``CROWD_BYTES`` are compared window by window instead,
+   by hash, dealt over all tasks: no group has to fit in one.
 """
 
 from __future__ import annotations
@@ -30,8 +30,7 @@ from strata.llm.common import partitions, settle
 
 LENGTH = 200
 GRAM = 48
-CROWD = 512
-INDEX_BYTES = 1 << 20
+INDEX_BYTES, CROWD_BYTES = 1 << 19, 1 << 20
 _PART = 1 << 20
 _PLACE = np.uint64(_PART * 2 - 1)
 _LAST = 2**63 - 1
@@ -336,15 +335,24 @@ def marks(docs: DataFrame) -> DataFrame:
     """Byte ranges (``k1``, ``k2``, ``start``, ``stop``) covered by a string that begins twice."""
     every = settle(contexts(docs), "contexts")
     often = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1")
-    shared = settle(every.join(often.select("anchor"), "anchor", "left_semi"), "shared")
+    often = settle(often.select("anchor"), "anchors")  # plain on both sides, so that AQE may split
+    shared = settle(every.join(often, "anchor", "left_semi"), "shared")
     bodies = shared.groupBy("anchor", "body").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "first", "last")).alias("one")
     )
     bodies = settle(bodies.select("anchor", "body", "n", "one.*"), "bodies")
-    copied = shared.join(bodies.where("n > 1").select("anchor", "body"), ["anchor", "body"], "left_semi")
-    whole = copied.select("k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
-    several = bodies.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-    mixed = bodies.join(several, "anchor").withColumn("crowded", F.col("m") > CROWD)
+    copies = bodies.where("n > 1").select("anchor", "body")
+    whole = shared.join(copies, ["anchor", "body"], "left_semi").select(
+        "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop")
+    )
+    several = bodies.groupBy("anchor").agg(
+        F.count("*").alias("m"),
+        F.sum(F.col("last") - F.col("first") + F.lit(LENGTH)).alias("bytes"),
+    )
+    several = several.where("m > 1").select(
+        "anchor", (F.col("bytes") > CROWD_BYTES).alias("crowded")
+    )
+    mixed = bodies.join(several, "anchor")
     cut = _cut(docs, mixed)
     return whole.unionByName(_indexed(cut.where("NOT crowded"))).unionByName(
         _windowed(cut.where("crowded"))

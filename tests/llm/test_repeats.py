@@ -45,7 +45,7 @@ def corpus(seed):
     for _ in range(4):
         near[r.randrange(len(near))] = "#"
         texts.append("".join(near))
-    texts += ["ab" * 400, "x" * 250, "x" * 200, "x" * 199, "y" * 200, "q " * 3000]
+    texts += ["ab" * 400, "lonely, and lonelier still; " * 40, "x" * 250, "x" * 200, "x" * 199, "y" * 200, "q " * 3000]
     return texts
 
 
@@ -58,10 +58,10 @@ def rows_of(docs):
     )
 
 
-@pytest.mark.parametrize("crowd", [512, 3])
+@pytest.mark.parametrize("crowd", [1 << 20, 900])
 def test_equals_brute_force(documents, odd_texts, monkeypatch, crowd):
     """Also with nearly all anchors too crowded for an index."""
-    monkeypatch.setattr(repeats, "CROWD", crowd)
+    monkeypatch.setattr(repeats, "CROWD_BYTES", crowd)
     texts = odd_texts + corpus(crowd)
     assert rows_of(documents(texts)) == sorted(
         (False, i, *row) for i, row in enumerate(brute(texts))
