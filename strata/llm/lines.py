@@ -6,153 +6,194 @@ has the same text or a word set of Jaccard similarity 0.8 or more, whether or no
 Equal lines are settled first, so only first occurrences are compared. Words are ordered by rarity
 over the whole corpus; two similar sets then share a word among the first few (prefix filter), at
 places and with lengths that leave room for the overlap (positional and length filters). Pairs are
-never written out: a left semi join asks for every line whether a partner exists, first on a few
-numbers per prefix word, then, for the lines left, on the words themselves. The texts are dealt
-once by document and every step that needs them reads that one exchange. Everything is a DataFrame
-expression.
+never written out: a left semi join asks for every prefix word of every line whether a partner
+exists, first with a 64-bit sketch of the line, then, for what is left, with a wide one, and at last
+with all words, where the Jaccard similarity is verified. The texts are dealt once by document and
+every step that needs them reads that one exchange. Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, fresh
+from strata.llm.common import SPACE, any_of, fresh, settle
 
-#: Counters of the rarity table: bounded, whatever the vocabulary. Any order is exact.
-RARITY_BITS = 16
+RARITY_BITS, LEVELS = 15, (4, 32, 256)
 
-_WORD = r"[^\x20\x09-\x0D]"
 _KEYS = ["k1", "k2"]
 _LAST = 2**63 - 1
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``k1``, ``k2``, ``text``: rows equal in both keys are one document repeated."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(
+def _keys(df: DataFrame, id_col: str, text_col: str, unique: bool) -> list[Column]:
+    """``k1`` and ``k2``: rows equal in both are one document repeated.
+
+    ``k2`` tells texts with the same id apart, and is empty where no id comes twice.
+    """
+    text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return [
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("k1"),
-        F.xxhash64(text).alias("k2"),
-        text.alias("text"),
-    )
+        (F.lit(0).cast("bigint") if unique else text).alias("k2"),
+    ]
+
+
+def has_word(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\x0b\x0c\r\n")) != ""
 
 
 def line_words(line: Column) -> Column:
     """Words of a line; the common case of plain spaces takes the splitter's short way."""
-    spaced = F.when(
-        line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, SPACE, " ")
-    ).otherwise(line)
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    other = any_of([F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])
+    spaced = F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """One byte per word hash: the level of how often words of that hash occur in all texts."""
+    """Two bits per word hash, packed: how frequent words of that hash are in all texts.
+
+    Counts go by ``RARITY_BITS`` bits of the hash; the levels are ranks among these counts. A table
+    of a few kilobytes, whatever the vocabulary. Any order of words gives exact results.
+    """
     size = 1 << RARITY_BITS
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("bucket")
-    levels = bytearray(size)
-    for row in words.groupBy(bucket).agg(F.count("*").alias("n")).collect():
-        levels[row.bucket] = int(3 * math.log2(row.n + 1))
-    return F.lit(bytes(levels))
+    counts = words.groupBy(bucket).agg(F.count("*").alias("n"))
+    cells = [0] * (size // 32)
+    for rank, row in enumerate(counts.orderBy(F.desc("n"), "bucket").collect()):
+        level = sum(rank < size // share for share in LEVELS)
+        cells[row.bucket >> 5] |= level << 2 * (row.bucket & 31)
+    return F.array(*[F.lit(c - 2**64 if c >> 63 else c).cast("bigint") for c in cells])
 
 
-def _ordered(hashes: Column, levels: Column) -> Column:
-    """Distinct words as numbers, rare ones first: level above, hash below."""
+def _ordered(hashes: Column, frequency: Column) -> Column:
+    """Distinct words as numbers, rare ones first: the level above, 61 bits of the hash below."""
 
     def number(h: Column) -> Column:
-        at = h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int") + 1
-        level = F.ascii(F.substring(levels, at, F.lit(1)).cast("string"))
-        return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        cell = F.shiftright(h, 5).bitwiseAND(F.lit((1 << RARITY_BITS - 5) - 1)).cast("int")
+        place = F.shiftleft(h.bitwiseAND(F.lit(31)).cast("int"), 1)
+        level = F.call_function("shiftright", F.get(frequency, cell), place).bitwiseAND(F.lit(3))
+        return F.shiftleft(level, 61).bitwiseOR(F.shiftrightunsigned(h, 3))
 
     return F.sort_array(F.transform(F.array_distinct(hashes), number))
 
 
-def _tokens(lines: DataFrame, levels: Column) -> DataFrame:
-    """Adds ``words``, ``n`` and ``tokens`` of each line, and ``sketch``.
+def _tokens(lines: DataFrame, frequency: Column) -> DataFrame:
+    """``line`` replaced by its ordered ``tokens`` and their number ``n``."""
+    lines = lines.withColumn("words", line_words(F.col("line")))
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    lines = lines.withColumn("tokens", _ordered(hashes, frequency)).drop("words", "line")
+    return lines.withColumn("n", F.size("tokens"))
 
-    ``sketch`` has the parity of the number of words per bit: two sketches differ in no more bits
-    than their sets differ in words.
+
+def _sketch(tokens: Column, shift: int = 0) -> Column:
+    """Parity of the number of tokens per bit, by six bits of their hash.
+
+    Two sketches differ in no more bits than their sets differ in tokens.
     """
-    lines = lines.withColumn("words", line_words(F.col("line")))
-    lines = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    lines = lines.withColumn("tokens", _ordered(F.col("hashes"), levels)).drop("hashes")
+
     def bit(t: Column) -> Column:
-        place = t.bitwiseAND(F.lit(63)).cast("int")
+        place = F.shiftright(t, shift).bitwiseAND(F.lit(63)).cast("int")
         return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
 
-    parity = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
-    return lines.withColumns({"n": F.size("tokens"), "sketch": parity})
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
 
 
-def _prefixes(lines: DataFrame, *columns: str) -> DataFrame:
-    """A row per prefix word: ``token`` and its place, with ``columns`` of the line."""
-    length = F.expr("n - (4 * n + 4) div 5 + 1").cast("int")
-    return lines.select(
-        F.posexplode(F.slice("tokens", F.lit(1), length)).alias("place", "token"), "n", *columns
-    )
+def _wide_sketches(tokens: Column) -> list[Column]:
+    """Four sketches of a quarter of the tokens each, for a closer bound on long lines."""
 
+    def quarter(k: int) -> Column:
+        own = F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(3)) == k)
+        return _sketch(own, 8)
+
+    return [quarter(k) for k in range(4)]
 
-def _may_match(a: str, b: str) -> Column:
-    """Length and positional filter for two rows of one token."""
-    need = f"(4 * ({a}.n + {b}.n) + 8) div 9"
-    return F.expr(
-        f"5 * {a}.n >= 4 * {b}.n AND 5 * {b}.n >= 4 * {a}.n"
-        f" AND 1 + least({a}.n - {a}.place - 1, {b}.n - {b}.place - 1) >= {need}"
-    )
+
+_SAME = "a.k1 = b.k1 AND a.k2 = b.k2 AND a.at = b.at"
+_EARLIER = "b.k1 < a.k1 OR (b.k1 = a.k1 AND (b.k2 < a.k2 OR (b.k2 = a.k2 AND b.at < a.at)))"
+_NEED = "((4 * (a.n + b.n) + 8) div 9)"  # the overlap that 0.8 asks for
+_LENGTHS = "5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n"
+_FIRST = "a.prev <> b.prev OR a.prev = -1"
+_PLACES = f"1 + least(a.n - a.place - 1, b.n - b.place - 1) >= {_NEED}"
+
+
+def _apart(columns: list[str]) -> str:
+    bits = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in columns)
+    return f"{bits} <= a.n + b.n - 2 * {_NEED}"
+
+
+def _having_partner(rows: DataFrame, *conditions: str) -> DataFrame:
+    """Rows with a partner of the same token; both sides read one exchange."""
+    for name in rows.columns:
+        rows = rows.where(F.col(name).isNotNull())
+    on = " AND ".join(f"({c})" for c in ("a.token = b.token", _LENGTHS, _PLACES, *conditions))
+    return rows.alias("a").join(rows.alias("b"), F.expr(on), "left_semi")
 
 
 def _per_document(lines: DataFrame, out: str) -> DataFrame:
     return lines.groupBy(*_KEYS).agg(F.sort_array(F.collect_set("at")).alias(out))
 
 
-def _texts_of(docs: DataFrame, picked: DataFrame, numbers: str) -> DataFrame:
-    """``k1``, ``k2``, ``at``, ``line`` of the lines whose numbers ``picked`` lists per document."""
-    rows = docs.join(picked, _KEYS).withColumn("all", F.split("text", "\n"))
-    return rows.select(*_KEYS, "all", F.explode(numbers).alias("at")).select(
-        *_KEYS, "at", F.get("all", F.col("at")).alias("line")
-    )
+def _hits(rows: DataFrame) -> DataFrame:
+    """Per document the lines and tokens of ``rows``."""
+    hit = F.struct("at", "token", "place")
+    return rows.groupBy(*_KEYS).agg(F.collect_list(hit).alias("hits"))
+
+
+def _with_texts(docs: DataFrame, picked: DataFrame, numbers: Column) -> DataFrame:
+    """``picked`` (a row per document) with a row for each line number in ``numbers``."""
+    rows = docs.join(picked.hint("shuffle_hash"), _KEYS).withColumn("all", F.split("text", "\n"))
+    rows = rows.withColumn("at", F.explode(numbers))
+    return rows.withColumn("line", F.get("all", F.col("at"))).drop("text", "all")
+
+
+def _again(docs: DataFrame, rows: DataFrame, frequency: Column, **more: Column) -> DataFrame:
+    """``rows`` (line and token) once more with ``more`` columns of their lines.
+
+    ``prev`` is the token before in the order of the line: partners that share it too have met
+    there already.
+    """
+    numbers = F.array_distinct(F.transform("hits", lambda h: h["at"]))
+    lines = _tokens(_with_texts(docs, _hits(rows), numbers), frequency)
+    lines = lines.withColumn("own", F.filter("hits", lambda h: h["at"] == F.col("at")))
+    lines = lines.select(*_KEYS, "at", "n", "tokens", "own", *[c.alias(k) for k, c in more.items()])
+    lines = lines.withColumn("hit", F.explode("own"))
+    prev = F.coalesce(F.get("tokens", F.col("hit.place") - 1), F.lit(-1).cast("bigint"))
+    columns = [*_KEYS, "at", "n", "hit.token", "hit.place", prev.alias("prev"), *more]
+    return lines.select(*columns)
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """Per document (``k1``, ``k2``) the numbers of the lines with a word that stay, as ``firsts``
-    without ``later``."""
+    """Per document (``k1``, ``k2``) the lines with a word that are the first of their text, as
+    ``firsts``, and those of them that an earlier line is similar to, as ``later``."""
     lines = docs.select(*_KEYS, F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.where(F.col("line").rlike(_WORD))
-    first = lines.groupBy(
+    first = lines.where(has_word(F.col("line"))).groupBy(
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
-    ).agg(F.min(F.struct(*_KEYS, "at")).alias("first"))
-    firsts = _per_document(first.select("first.*"), "firsts")
-
-    levels = rarity(docs)
-    compared = _tokens(_texts_of(docs, firsts, "firsts"), levels)
-    rows = _prefixes(compared, *_KEYS, "at", "sketch").drop("words")
-    other = F.expr("NOT (a.k1 = b.k1 AND a.k2 = b.k2 AND a.at = b.at)")
-    close = F.expr("bit_count(a.sketch ^ b.sketch) <= a.n + b.n - 2 * ((4 * (a.n + b.n) + 8) div 9)")
-    alike = rows.alias("a").join(
-        rows.alias("b"),
-        F.expr("a.token = b.token") & other & _may_match("a", "b") & close,
-        "left_semi",
     )
-    live = _per_document(alike.select(*_KEYS, "at"), "live")
+    first = first.agg(F.min(F.struct(*_KEYS, "at")).alias("first")).select("first.*")
+    firsts = settle(_per_document(first, "firsts"), "first-lines")
 
-    texts = _tokens(_texts_of(docs, live, "live"), levels).withColumn(
-        "words", F.array_distinct("words")
-    )
-    rows = _prefixes(texts, *_KEYS, "at", "words")
-    earlier = F.expr(
-        "b.k1 < a.k1 OR (b.k1 = a.k1 AND (b.k2 < a.k2 OR (b.k2 = a.k2 AND b.at < a.at)))"
-    )
-    similar = F.expr(
-        "9 * size(array_intersect(a.words, b.words)) >= 4 * (size(a.words) + size(b.words))"
+    frequency = rarity(docs)
+    compared = _tokens(_with_texts(docs, firsts, F.col("firsts")), frequency)
+    compared = compared.withColumn("sketch", _sketch(F.col("tokens")))
+    length = F.expr("n - (4 * n + 4) div 5 + 1").cast("int")
+    # Half of a word's number is enough to bring lines together; what follows is exact.
+    half = F.lit(2**31 - 1)
+    prefix = F.transform(
+        F.slice("tokens", F.lit(1), length), lambda t: t.bitwiseAND(half).cast("int")
     )
-    later = rows.alias("a").join(
-        rows.alias("b"),
-        F.expr("a.token = b.token") & earlier & _may_match("a", "b") & similar,
-        "left_semi",
+    rows = compared.select(
+        *_KEYS, "at", "n", "sketch", F.posexplode(prefix).alias("place", "token")
     )
-    return firsts.join(_per_document(later.select(*_KEYS, "at"), "later"), _KEYS, "left")
+    rows = _having_partner(rows, f"NOT ({_SAME})", _apart(["sketch"]))
+
+    wide = {f"s{k}": c for k, c in enumerate(_wide_sketches(F.col("tokens")))}
+    rows = _again(docs, rows, frequency, **wide)
+    rows = _having_partner(rows, f"NOT ({_SAME})", _FIRST, _apart(list(wide)))
+
+    similar = "9 * size(array_intersect(a.words, b.words)) >= 4 * (a.n + b.n)"
+    rows = _again(docs, rows, frequency, words=F.col("tokens"))
+    rows = _having_partner(rows, _EARLIER, _FIRST, similar)
+    return firsts.join(_per_document(rows, "later"), _KEYS, "left")
 
 
 def dedup_lines(
@@ -162,13 +203,17 @@ def dedup_lines(
 
     Lines without a word stay. ``removed_col``, if named, counts the lines that went. NULL texts
     stay NULL. NULL ids are later than any other; rows equal in id and text are one document
-    repeated and lose the same lines. An empty table stays empty.
+    repeated and lose the same lines. An empty table stays empty. Words are told apart by 61 bits
+    of their hash.
     """
     k1, k2, null, kept, removed = fresh(df, "_k1", "_k2", "_null", "_kept_text", "_removed")
-    docs = _keyed(df, id_col, text_col)
+    unique = df.groupBy(id_col).count().where("count > 1").isEmpty()
+    keys = _keys(df, id_col, text_col, unique)
+    docs = df.select(*keys, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     empty = F.array().cast("array<int>")
-    rows = docs.join(kept_lines(docs), _KEYS, "left").withColumn("all", F.split("text", "\n"))
-    blank = F.transform("all", lambda x, i: F.when(x.rlike(_WORD), F.lit(-1)).otherwise(i))
+    rows = docs.join(kept_lines(docs).hint("shuffle_hash"), _KEYS, "left")
+    rows = rows.withColumn("all", F.split("text", "\n"))
+    blank = F.transform("all", lambda x, i: F.when(has_word(x), F.lit(-1)).otherwise(i))
     stay = F.concat(
         F.filter(blank, lambda i: i >= 0),
         F.array_except(F.coalesce("firsts", empty), F.coalesce("later", empty)),
@@ -180,12 +225,12 @@ def dedup_lines(
         F.array_join(F.transform("stay", lambda i: F.get(F.col("all"), i)), "\n").alias(kept),
         (F.size("all") - F.size("stay")).cast("long").alias(removed),
     )
-    if not docs.groupBy(*_KEYS).count().where("count > 1").isEmpty():
+    if not unique and not docs.groupBy(*_KEYS).count().where("count > 1").isEmpty():
         rows = rows.distinct()
     others = df.select(
         *[c for c in df.columns if c.lower() != text_col.lower()],
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias(k1),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(k2),
+        keys[0].alias(k1),
+        keys[1].alias(k2),
         F.col(text_col).isNull().alias(null),
     )
     text = F.when(~F.col(null), F.col(kept)).alias(text_col)
