@@ -50,165 +50,177 @@ PRODUCTION_RULES = (
 )
 
 
-def _word_measures(df: DataFrame, text: Column, prefix: str) -> DataFrame:
-    chars = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE}+", ""))
-    return df.withColumns(
-        {
-            f"{prefix}n_words": F.size(words(text)).cast("long"),
-            f"{prefix}word_chars": chars.cast("long"),
-        }
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it.
+
+    A column of its own would do as well, until the optimizer writes its expression into every
+    place that uses it, also into the loops of higher-order functions.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _word_measures(text: Column) -> Column:
+    chars = F.length(F.regexp_replace(text, f"{SPACE}+", ""))
+    return F.struct(
+        F.size(words(text)).cast("long").alias("n_words"), chars.cast("long").alias("word_chars")
     )
 
 
 def _count(text: Column, pattern: str) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(pattern)).cast("long")
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
-def _symbol_measures(df: DataFrame, text: Column, prefix: str) -> DataFrame:
-    return df.withColumn(f"{prefix}n_symbols", _count(text, SYMBOLS))
+def _symbol_measures(text: Column) -> Column:
+    return F.struct(_count(text, SYMBOLS).alias("n_symbols"))
 
 
-def _letter_measures(df: DataFrame, text: Column, prefix: str) -> DataFrame:
-    return df.withColumns(
-        {
-            f"{prefix}n_upper": _count(text, r"\p{Lu}"),
-            f"{prefix}n_letters": _count(text, r"\p{L}"),
-        }
+def _letter_measures(text: Column) -> Column:
+    return F.struct(
+        _count(text, r"\p{Lu}").alias("n_upper"), _count(text, r"\p{L}").alias("n_letters")
     )
 
 
-def _line_measures(df: DataFrame, text: Column, prefix: str) -> DataFrame:
-    (lines,) = fresh(df, "_lines")
-    split = F.split(F.coalesce(text, F.lit("")), "\n")
-    df = df.withColumn(lines, F.filter(split, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    repeated = F.size(lines) - F.size(F.array_distinct(lines))
-    return df.withColumns(
-        {
-            f"{prefix}n_lines": F.size(lines).cast("long"),
-            f"{prefix}n_dup_lines": repeated.cast("long"),
-        }
-    ).drop(lines)
+def _line_measures(text: Column) -> Column:
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
+    def of(lines: Column) -> Column:
+        repeated = F.size(lines) - F.size(F.array_distinct(lines))
+        return F.struct(
+            F.size(lines).cast("long").alias("n_lines"), repeated.cast("long").alias("n_dup_lines")
+        )
 
-def _repeat_measures(df: DataFrame, text: Column, prefix: str) -> DataFrame:
+    return let(lines, of)
+
+
+def _repeat_measures(text: Column) -> Column:
     """Words inside windows that occur twice or more in the same text.
 
     A window is known by the 64-bit hash of its words. Only texts with a repeated window sort
     theirs; each window start then covers its words up to the next repeated start.
     """
-    w, h, s, p = fresh(df, "_words", "_windows", "_sorted", "_starts")
-    df = df.withColumn(w, words(text))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (WINDOW - 1), F.lit(1)))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(F.col(w), i, WINDOW)))
-    df = df.withColumn(h, F.when(F.size(w) > WINDOW, hashes))
-    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
-    df = df.withColumn(s, F.when(F.size(F.array_distinct(h)) < F.size(h), pairs))
-    in_order = F.col(s)
-
-    def repeated(e: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(in_order, i - 1)["h"] == e["h"], F.lit(False))
-        return before | F.coalesce(F.get(in_order, i + 1)["h"] == e["h"], F.lit(False))
-
-    hits = F.transform(F.filter(in_order, repeated), lambda e: e["p"])
-    df = df.withColumn(p, F.sort_array(hits))
-    covered = F.aggregate(
-        F.col(p),
-        F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
-        lambda a, x: F.struct(
-            (a["n"] + F.least(x - a["last"], F.lit(WINDOW))).alias("n"), x.alias("last")
-        ),
-        lambda a: a["n"],
+
+    def hashes(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (WINDOW - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+
+    def repeated(in_order: Column) -> Callable[[Column, Column], Column]:
+        def hit(e: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(in_order, i - 1)["h"] == e["h"], F.lit(False))
+            return before | F.coalesce(F.get(in_order, i + 1)["h"] == e["h"], F.lit(False))
+
+        return hit
+
+    def covered(starts: Column) -> Column:
+        return F.aggregate(
+            F.sort_array(starts),
+            F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+            lambda a, x: F.struct(
+                (a["n"] + F.least(x - a["last"], F.lit(WINDOW))).alias("n"), x.alias("last")
+            ),
+            lambda a: a["n"],
+        )
+
+    def count(h: Column) -> Column:
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        hits = let(
+            pairs, lambda s: covered(F.transform(F.filter(s, repeated(s)), lambda e: e["p"]))
+        )
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(hits)
+
+    whole = let(
+        words(text),
+        lambda w: F.when(F.size(w) > WINDOW, let(hashes(w), count)).otherwise(F.lit(0)),
     )
-    count = F.coalesce(covered, F.lit(0)).cast("long")
-    return df.withColumn(f"{prefix}n_repeat_words", count).drop(w, h, s, p)
+    return F.struct(whole.cast("long").alias("n_repeat_words"))
 
 
 #: Measures that are computed together, by the name a rule asks for.
 GROUPS = {
-    "words": _word_measures,
-    "symbols": _symbol_measures,
-    "letters": _letter_measures,
-    "lines": _line_measures,
-    "repeats": _repeat_measures,
+    "words": (_word_measures, ("n_words", "word_chars")),
+    "symbols": (_symbol_measures, ("n_symbols",)),
+    "letters": (_letter_measures, ("n_upper", "n_letters")),
+    "lines": (_line_measures, ("n_lines", "n_dup_lines")),
+    "repeats": (_repeat_measures, ("n_repeat_words",)),
 }
 
 
 def measure(
-    df: DataFrame, text_col: str = "text", groups: Sequence[str] = tuple(GROUPS), prefix: str = ""
+    df: DataFrame, text_col: str = "text", groups: Sequence[str] = tuple(GROUPS)
 ) -> DataFrame:
     """``df`` with the measures of every whole text as long columns.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_upper``, ``n_letters``,
     ``n_lines`` (lines with a word), ``n_dup_lines`` (such lines equal to an earlier one) and
     ``n_repeat_words`` (words in five-word windows found twice or more). NULL and empty texts
-    measure zero everywhere. Repeated rows are measured each for itself.
+    measure zero everywhere. Repeated rows are measured each for itself. Columns of ``df`` with
+    these names are replaced.
     """
+    text = F.coalesce(F.col(text_col), F.lit(""))
     for group in groups:
-        df = GROUPS[group](df, F.col(text_col), prefix)
+        of, names = GROUPS[group]
+        (found,) = fresh(df, f"_{group}")
+        df = df.withColumn(found, of(text))
+        df = df.withColumns({name: F.col(found)[name] for name in names}).drop(found)
     return df
 
 
+def rejecting(rule: Rule, text: Column, measured: Sequence[str] = ()) -> Column:
+    """The rule's condition on a text; groups in ``measured`` are columns already."""
+    have = {n for g in measured for n in GROUPS[g][1]}
+    needs = [g for g in rule.needs if g not in measured]
+    if not needs:
+        return rule.reject(F.col)
+    parts = F.struct(*[GROUPS[g][0](text).alias(g) for g in needs])
+    place = {n: g for g in needs for n in GROUPS[g][1]}
+    return let(
+        parts, lambda m: rule.reject(lambda n: F.col(n) if n in have else m[place[n]][n])
+    )
+
+
 def order_rules(
     df: DataFrame, text_col: str, rules: Sequence[Rule], sample_rows: int = 500
 ) -> list[Rule]:
     """``rules`` by rejection per cost on at most ``sample_rows`` rows; ties stay in order."""
-    sample = settle(df.select(F.col(text_col).alias("text")).limit(sample_rows), "quality-sample")
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    sample = settle(df.select(text).limit(sample_rows), "quality-sample")
 
-    def run(needs: Sequence[str], condition: Column) -> tuple[float, int, int]:
-        measured = measure(sample, "text", needs)
+    def run(condition: Column) -> tuple[float, int, int]:
         began = time.perf_counter()
-        row = measured.agg(F.count("*"), F.count_if(condition)).first()
+        row = sample.agg(F.count("*"), F.count_if(condition)).first()
         return time.perf_counter() - began, row[0], row[1]
 
-    run((), F.lit(False))
-    empty = run((), F.lit(False))[0]
+    run(F.lit(False))
+    empty = run(F.lit(False))[0]
 
     def worth(rule: Rule) -> float:
-        seconds, rows, rejected = run(rule.needs, rule.reject(F.col))
+        seconds, rows, rejected = run(rejecting(rule, F.col("text")))
         return (rejected / max(rows, 1)) / max(seconds - empty, 1e-3)
 
     return sorted(rules, key=worth, reverse=True)
 
 
-def cascade(
+def verdict(
     df: DataFrame,
     text_col: str = "text",
     rules: Sequence[Rule] = BASE_RULES + PRODUCTION_RULES,
     sample_rows: int = 500,
     measured: Sequence[str] = (),
-    prefix: str = "",
-    verdict: str = "rejected_by",
-) -> DataFrame:
-    """``df`` with ``verdict``: the rule that rejects the document, else NULL.
+) -> Column:
+    """The name of the rule that rejects a document of ``df``, else NULL.
 
     A rule sees only texts that no earlier rule rejected: for the others its measures are not
     computed. Which of several rejecting rules is named depends on the measured order; whether
     one rejects does not. ``sample_rows`` bounds the sample that costs and selectivities come
-    from; ``measured`` names groups that ``df`` has already (under ``prefix``). An empty table
-    gives an empty result. NULL and empty texts are rejected as too short.
+    from; ``measured`` names groups whose measures ``df`` has as columns. NULL and empty texts are
+    rejected as too short.
     """
-    have, text = set(measured), F.col(text_col)
-    mark = prefix + verdict
-    added: list[str] = []
-    out = df.withColumn(mark, F.lit(None).cast("string"))
-    for rule in order_rules(df, text_col, rules, sample_rows):
-        for group in rule.needs:
-            if group not in have:
-                before = set(out.columns)
-                out = GROUPS[group](out, F.when(F.col(mark).isNull(), text), prefix)
-                added += [c for c in out.columns if c not in before]
-                have.add(group)
-        rejects = rule.reject(lambda name: F.col(prefix + name))
-        out = out.withColumn(
-            mark, F.when(F.col(mark).isNull() & rejects, rule.name).otherwise(F.col(mark))
-        )
-    return out.drop(*added)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    case = F.lit(None).cast("string")
+    for rule in reversed(order_rules(df, text_col, rules, sample_rows)):
+        case = F.when(rejecting(rule, text, measured), F.lit(rule.name)).otherwise(case)
+    return case
 
 
 def keep_good(df: DataFrame, text_col: str = "text", sample_rows: int = 500) -> DataFrame:
-    """The rows of ``df`` that no rule rejects, with the columns of ``df`` only."""
-    prefix = "_q_"
-    while any(c.lower().startswith(prefix) for c in df.columns):
-        prefix += "_"
-    judged = cascade(df, text_col, sample_rows=sample_rows, prefix=prefix, verdict="rejected_by")
-    return judged.where(F.col(f"{prefix}rejected_by").isNull()).select(*df.columns)
+    """The rows of ``df`` that no rule rejects, unchanged. An empty table stays empty."""
+    return df.where(verdict(df, text_col, sample_rows=sample_rows).isNull())

@@ -133,9 +133,9 @@ FROM b"""
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ("words", "symbols", "lines", "repeats")
-    judged = quality.cascade(quality.measure(documents, "text", base), measured=base)
+    measured = quality.measure(documents, "text", base)
     few, repeated = (rule.reject(F.col) for rule in quality.BASE_RULES)
-    return judged.select(
+    return measured.select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -143,7 +143,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         (few | repeated).alias("base_failed"),
-        F.col("rejected_by").isNull().alias("kept"),
+        quality.verdict(measured, measured=base).isNull().alias("kept"),
     )
 
 
