@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.contracts import Column, ddl
 from strata.lake import DatasetRef, Lake, check_identifier
+from strata.sources.files import read_partitioned
 
 
 def _quoted(path: str) -> str:
@@ -54,7 +56,7 @@ def register_table(
     """Table over a dataset's files, or over one landing day. Columns come from the files.
 
     ``location`` registers files that lie elsewhere under this name. Without ``drop_first`` an
-    existing table is an error.
+    existing table is an error. A root of ``key=value/`` folders shows all its partitions.
     """
     ensure_layer(spark, lake, ref.layer)
     if drop_first:
@@ -64,9 +66,38 @@ def register_table(
         path = f"{path}/{check_identifier(key)}={date.fromisoformat(day)}"
     table = lake.table(ref)
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {_quoted(path)}")
+    if _is_partitioned(spark, table):
+        sync_partitions(spark, lake, ref)
     return table
 
 
+def _is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def refresh_table(spark: SparkSession, lake: Lake, ref: DatasetRef) -> None:
+    """Let a registered table see new files; a dataset that is no table needs nothing."""
+    table = lake.table(ref)
+    if not spark.catalog.tableExists(table):
+        return
+    spark.catalog.refreshTable(table)
+    if _is_partitioned(spark, table):
+        sync_partitions(spark, lake, ref)
+
+
+def _columns_of(spark: SparkSession, path: str, keys: Sequence[str]) -> list[Column]:
+    """Columns as Spark finds them, but a key whose guessed type changes its text stays text."""
+    found = [Column(f.name, f.dataType.simpleString()) for f in spark.read.parquet(path).schema]
+    guessed = {c.name: c.type for c in found if c.name in keys and c.type != "string"}
+    texts = read_partitioned(spark, path, dict.fromkeys(keys, "string")).select(*keys).distinct()
+    for key, kind in guessed.items():
+        back = F.col(key).try_cast(kind).cast("string")
+        if texts.where(~back.eqNullSafe(F.col(key))).isEmpty():
+            continue
+        found = [Column(key, "string") if c.name == key else c for c in found]
+    return found
+
+
 def register_partitioned_table(
     spark: SparkSession,
     lake: Lake,
@@ -79,8 +110,7 @@ def register_partitioned_table(
     ensure_layer(spark, lake, ref.layer)
     path = lake.path(ref)
     if columns is None:
-        schema = spark.read.parquet(path).schema
-        columns = [Column(f.name, f.dataType.simpleString()) for f in schema.fields]
+        columns = _columns_of(spark, path, partition_by)
     keys = ", ".join(f"`{check_identifier(k)}`" for k in partition_by)
     table = lake.table(ref)
     spark.sql(

@@ -27,3 +27,11 @@ class ModelNotFound(StrataError):
     """No SQL model of that name exists for the project."""
 
     exit_code = 2
+
+
+class LateRows(StrataError):
+    """A stream left out events that came behind its watermark."""
+
+
+class ForeignRows(StrataError):
+    """Rows of other days came with those of the day to land."""

@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,17 +101,27 @@ def _parser() -> argparse.ArgumentParser:
         add(name, "layer", "name", project=project)
     add("sample", "layer", "name", project=project, n={"type": int})
     add("tables", "layer")
-    add("sql", "text")
+    out = {"out": {}, "format": {"choices": ("parquet", "csv"), "default": "parquet"}}
+    add("sql", "text", **out)
     for name in ("models", "build-all"):
         add(name, project=project)
     add("build", "name", project=project)
-    add("files", "prefix")
-    add("topics")
+    add("files", "prefix", **out)
+    add("topics", **out)
     add("produce", "topic", n=ten, prefix={"default": "event_"})
     add("consume", "topic", n=ten)
     return parser
 
 
+def _give(result: DataFrame, a: argparse.Namespace) -> None:
+    """All rows: to ``--out`` from the executors, else printed one partition at a time."""
+    if getattr(a, "out", None):
+        result.write.mode("error").format(a.format).save(a.out)
+        return
+    for row in chain([result.columns], result.toLocalIterator()):
+        print(f"|{'|'.join('NULL' if v is None else str(v) for v in row)}|")
+
+
 def main(arguments: Sequence[str] | None = None) -> int:
     a = _parser().parse_args(arguments)
     spark = build_session(f"strata-{a.command}")
@@ -120,7 +131,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
         print(f"{type(error).__name__}: {error}", file=sys.stderr)
         return getattr(error, "exit_code", 1)
     if isinstance(result, DataFrame):
-        result.show(truncate=False)
+        _give(result, a)
     elif isinstance(result, dict):
         print(*[f"{name}: {value}" for name, value in result.items()], sep="\n")
     elif isinstance(result, list):

@@ -72,5 +72,8 @@ class Lake:
     def topic_path(self, topic: str) -> str:
         return f"{self.topics_path}/{check_topic(topic)}"
 
+    def ends_path(self, topic: str) -> str:
+        return f"{self.root.rstrip('/')}/_topic_ends/{check_topic(topic)}"
+
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{check_identifier(query)}"

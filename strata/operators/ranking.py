@@ -7,21 +7,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Distinct texts looked at per cut.
+SAMPLE = 20
+
 
 def top_by(df: DataFrame, column: str, tie_break: str, n: int = 10) -> DataFrame:
     """The ``n`` rows with the largest ``column``; every task keeps only ``n`` rows."""
     return df.orderBy(F.col(column).desc_nulls_last(), F.col(tie_break).asc()).limit(n)
 
 
-def rank_by(df: DataFrame, names: Mapping[str, str], ranges: int = 64) -> DataFrame:
+def rank_by(df: DataFrame, names: Mapping[str, str], ranges: int | None = None) -> DataFrame:
     """Add, per ``{column: name}``, ``rank() OVER (ORDER BY column DESC NULLS LAST)``.
 
     An ordering window without a partition would pull the whole frame into one task. Instead:
-    count rows per distinct value, cut the values into ``ranges`` ranges of about equal size,
-    rank inside each range, and add the rows of all higher ranges. Equal values are one row by
+    count rows per distinct value, cut the values into ``ranges`` ranges of about equal size (as many
+    as shuffle partitions, unless given), rank inside each range, and add the rows of all higher
+    ranges. Text is cut on a bounded sample of its distinct values. Equal values are one row by
     then, so a value that a third of the rows share is no burden. ``df`` is read several times
     and should be a stored table.
     """
+    ranges = ranges or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranked = df
     for column, name in names.items():
         ranks = _ranks(df, column, name, ranges)
@@ -35,8 +40,7 @@ def _ranks(df: DataFrame, column: str, name: str, ranges: int) -> DataFrame:
 
     # At most ranges - 1 numbers come to the driver, as fixed cuts: computed twice inside the
     # plan they could differ and tear a range apart.
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(values.agg(F.percentile_approx("_value", steps)).first()[0] or []))
+    cuts = _cuts(values, ranges)
     ranged = values.withColumn("_range", _range_of(F.col("_value"), cuts))
 
     # One row per range, so this window over all of them is at most ranges + 1 rows.
@@ -58,6 +62,16 @@ def _ranks(df: DataFrame, column: str, name: str, ranges: int) -> DataFrame:
     )
 
 
+def _cuts(values: DataFrame, ranges: int) -> list[object]:
+    if values.schema["_value"].dataType.simpleString() == "string":
+        known = values.where(F.col("_value").isNotNull())
+        picked = known.orderBy(F.xxhash64("_value"), "_value").limit(SAMPLE * ranges)
+        texts = sorted((r[0] for r in picked.select("_value").collect()), key=str.encode)
+        return texts[SAMPLE::SAMPLE][: ranges - 1]
+    steps = [i / ranges for i in range(1, ranges)]
+    return sorted(set(values.agg(F.percentile_approx("_value", steps)).first()[0] or []))
+
+
 def _range_of(value: Column, cuts: Sequence[object]) -> Column:
     """Number of the range, from 0 for the highest values; NULL values come last.
 

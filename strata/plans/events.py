@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.catalog import refresh_table
 from strata.contracts import (
     DAILY_EVENT_COUNTS,
     EVENTS_BRONZE,
@@ -18,6 +20,7 @@ from strata.operators import conform_events, daily_event_counts, reconcile, requ
 from strata.operators.conform import REJECTS
 from strata.sinks import JobResult, write_layer
 from strata.sources import read_layer, read_partitioned
+from strata.workspace import delete_folder
 
 EVENTS = DatasetRef("bronze", "demo", "sample_events")
 EVENTS_GOLD = DatasetRef("gold", "demo", "daily_event_counts")
@@ -31,9 +34,11 @@ def land_events(
     Without ``rebalance`` there is no shuffle: right for a source already in day order.
     """
     check_schema(events, EVENTS_BRONZE)
-    return write_layer(
+    result = write_layer(
         events, lake.path(EVENTS), partition_by=["dt"], dynamic=dynamic, rebalance=rebalance
     )
+    refresh_table(events.sparkSession, lake, EVENTS)
+    return result
 
 
 def build_events_silver(
@@ -45,16 +50,24 @@ def build_events_silver(
 ) -> JobResult:
     """Bronze to date folders: everything anew, or only ``days`` while other days stay.
 
-    Landing already put each day's rows together, so this does not shuffle: silver gets at most
-    one file per bronze file split. Rebalance if bronze is all small files.
+    ``days`` are replaced exactly: one that lands without rows has none afterwards. Landing days
+    that are no date share one silver partition; if one of them is asked for, that partition is
+    built from all of them. Landing already put each day's rows together, so this does not shuffle:
+    silver gets at most one file per bronze file split. Rebalance if bronze is all small files.
     """
-    bronze, silver = lake.path(EVENTS), lake.path(EVENTS.at("silver"))
+    ref = EVENTS.at("silver")
+    bronze, silver = lake.path(EVENTS), lake.path(ref)
     landed = read_partitioned(spark, bronze, {"dt": "string"})
     if days is not None:
-        landed = landed.where(F.col("dt").isin(*days))
+        undated = F.expr("try_cast(dt AS date) IS NULL")
+        asked = F.col("dt").isin(*days)
+        if any(_day(d) is None for d in days):
+            asked = asked | undated
+        landed = landed.where(asked)
+        present = {r.dt for r in landed.select("dt").distinct().collect()}
     typed = conform_events(landed, at, REJECTS)
     check_schema(typed.drop(REJECTS), EVENTS_SILVER)
-    return write_layer(
+    result = write_layer(
         typed,
         silver,
         reads=[bronze],
@@ -64,13 +77,34 @@ def build_events_silver(
         metrics={"rejects": F.coalesce(F.sum(REJECTS), F.lit(0))},
         drop=[REJECTS],
     )
+    if days is not None:
+        kept = {_partition(d) for d in present}
+        for gone in {_partition(d) for d in days} - kept:
+            delete_folder(spark, f"{silver}/{gone}")
+    refresh_table(spark, lake, ref)
+    return result
+
+
+def _day(text: str | None) -> date | None:
+    """The date that silver makes of a landing day, as Spark's cast reads it."""
+    try:
+        return date.fromisoformat((text or "").strip())
+    except ValueError:
+        return None
+
+
+def _partition(day: str | None) -> str:
+    found = _day(day)
+    return f"event_date={found.isoformat() if found else '__HIVE_DEFAULT_PARTITION__'}"
 
 
 def build_events_gold(spark: SparkSession, lake: Lake, at: str | None = None) -> JobResult:
     silver = lake.path(EVENTS.at("silver"))
     counts = daily_event_counts(read_layer(spark, silver, EVENTS_SILVER), at)
     check_schema(counts, DAILY_EVENT_COUNTS)
-    return write_layer(counts, lake.path(EVENTS_GOLD), reads=[silver])
+    result = write_layer(counts, lake.path(EVENTS_GOLD), reads=[silver])
+    refresh_table(spark, lake, EVENTS_GOLD)
+    return result
 
 
 def events_report(spark: SparkSession, lake: Lake) -> DataFrame:

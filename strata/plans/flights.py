@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.catalog import refresh_table
 from strata.contracts import (
     CARRIER_SUMMARY,
     FLIGHTS_BRONZE,
@@ -40,7 +41,9 @@ def ingest_csv(
     rows = with_provenance(read_csv(spark, source, columns), label, at)
     if rename:
         rows = snake_case_columns(rows)
-    return write_layer(rows, lake.path(ref), reads=[source])
+    result = write_layer(rows, lake.path(ref), reads=[source])
+    refresh_table(spark, lake, ref)
+    return result
 
 
 def ingest_flights(
@@ -53,20 +56,24 @@ def build_flights_silver(spark: SparkSession, lake: Lake) -> JobResult:
     bronze, silver = lake.path(FLIGHTS), lake.path(FLIGHTS.at("silver"))
     typed = conform_flights(read_layer(spark, bronze), REJECTS)
     check_schema(typed.drop(REJECTS), FLIGHTS_SILVER)
-    return write_layer(
+    result = write_layer(
         typed,
         silver,
         reads=[bronze],
         metrics={"rejects": F.coalesce(F.sum(REJECTS), F.lit(0))},
         drop=[REJECTS],
     )
+    refresh_table(spark, lake, FLIGHTS.at("silver"))
+    return result
 
 
 def build_flights_gold(spark: SparkSession, lake: Lake, at: str | None = None) -> JobResult:
     silver = lake.path(FLIGHTS.at("silver"))
     summary = carrier_summary(read_layer(spark, silver, FLIGHTS_SILVER), at)
     check_schema(summary, CARRIER_SUMMARY)
-    return write_layer(summary, lake.path(FLIGHTS_GOLD), reads=[silver])
+    result = write_layer(summary, lake.path(FLIGHTS_GOLD), reads=[silver])
+    refresh_table(spark, lake, FLIGHTS_GOLD)
+    return result
 
 
 def flights_report(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -24,9 +24,9 @@ from strata.queries.base import (
 from strata.sinks import land_day, write_layer
 from strata.sources import (
     file_inventory,
-    generate_events,
     inventory_by_partition,
     read_layer,
+    read_partition,
     read_partitioned,
 )
 from strata.workspace import scratch_lake
@@ -115,7 +115,8 @@ def landing_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "landing")
     rows = sample_events(spark, sf_dir)
     land_events(rows, lake)
-    land_day(rows, lake.path(EVENTS), rows.agg(F.max("dt")).first()[0])
+    last = rows.agg(F.max("dt")).first()[0]
+    land_day(rows, lake.path(EVENTS), last, skip_others=True)
     return rows_per_key(read_partitioned(spark, lake.path(EVENTS), {"dt": "string"}), "dt")
 
 
@@ -131,18 +132,50 @@ def partition_discovery_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "value", "dt")
 
 
-@query("SELECT event_id, 1.0E0 AS value, '2026-03-02' AS dt FROM events")
-def generate_sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated events as the table holds, with the same ids."""
-    n = table(spark, sf_dir, "events").count()
-    return generate_events(spark, n, "2026-03-02", LOADED_AT).drop("ts")
+@query("SELECT event_id AS id, value, 'events' AS source, '2026-03-02' AS dt FROM events")
+def rename_and_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renamed columns and constants beside columns of the table."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        "value",
+        F.lit("events").alias("source"),
+        F.lit("2026-03-02").alias("dt"),
+    )
 
 
-@query()
+@query(
+    """
+SELECT lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS hour, count(*) AS row_count,
+       (SELECT count(*) FROM events WHERE hour(ts) = 7) AS at_seven
+FROM events GROUP BY 1
+"""
+)
+def padded_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders ``hour=00`` to ``hour=23`` come back as text, and '07' finds its folder."""
+    path = scratch_lake(spark, "hours").path(DatasetRef("bronze", "demo", "hourly_events"))
+    hourly = events(spark, sf_dir).select("event_id", F.date_format("ts", "HH").alias("hour"))
+    write_layer(hourly, path, partition_by=["hour"])
+    seven = read_partition(spark, path, "hour", "07").count()
+    found = rows_per_key(read_partitioned(spark, path, {"hour": "string"}), "hour")
+    return found.withColumn("at_seven", F.lit(seven).cast("bigint"))
+
+
+@query(
+    """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, CAST(count(*) AS BIGINT) AS row_count,
+       TRUE AS files_differ, TRUE AS files_have_bytes
+FROM events GROUP BY 1
+"""
+)
 def lake_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "inventory")
     land_events(sample_events(spark, sf_dir), lake)
-    return file_inventory(spark, lake.path(EVENTS), ["dt"])
+    files = file_inventory(spark, lake.path(EVENTS), ["dt"])
+    return files.groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(
+        F.sum("row_count").alias("row_count"),
+        (F.count_distinct("file_path") == F.count("*")).alias("files_differ"),
+        (F.min("file_bytes") > 0).alias("files_have_bytes"),
+    )
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +63,17 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(spark.table(name))
 
 
-@query()
+@query("SELECT least(count(*), 5) AS n, least(count(*), 5) AS of_the_table FROM events")
 def table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a sample has, and how many of them the table has too."""
     lake = scratch_lake(spark, "sample")
-    register_table(spark, lake, RAW_EVENTS, location=f"{sf_dir}/events.parquet")
-    return sample(spark, lake, RAW_EVENTS)
+    name = register_table(spark, lake, RAW_EVENTS, location=f"{sf_dir}/events.parquet")
+    found = sample(spark, lake, RAW_EVENTS)
+    key = ["event_id", "ts", "user_id", "value"]
+    known = spark.table(name).select(*key, F.lit(1).alias("known")).distinct()
+    return found.join(known, key, "left").agg(
+        F.count("*").alias("n"), F.count("known").alias("of_the_table")
+    )
 
 
 @query(
@@ -116,7 +120,7 @@ def register_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "external")
     rows = sample_events(spark, sf_dir)
     last_day = rows.agg(F.max("dt")).first()[0]
-    land_day(rows, lake.path(EVENTS), last_day)
+    land_day(rows, lake.path(EVENTS), last_day, skip_others=True)
     day = register_table(spark, lake, EVENTS, day=last_day)
     every = register_table(spark, lake, RAW_EVENTS, location=f"{sf_dir}/events.parquet")
     return run_sql(
@@ -180,7 +184,8 @@ SELECT op_unique_carrier AS carrier, count(*) AS flight_count,
        {rounded_sql("avg(arr_delay_new)", 6)} AS avg_arr_delay,
        {rounded_sql("avg(dep_delay_new)", 6)} AS avg_dep_delay,
        {rounded_sql("stddev_samp(arr_delay_new)", 6)} AS std_arr_delay,
-       {rounded_sql("stddev_samp(dep_delay_new)", 6)} AS std_dep_delay
+       {rounded_sql("stddev_samp(dep_delay_new)", 6)} AS std_dep_delay,
+       TIMESTAMP '{LOADED_AT}' AS built_at
 FROM flights GROUP BY 1
 """
 )
@@ -199,10 +204,10 @@ def gold_carrier_delay_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
             USING parquet LOCATION '{lake.path(ref)}';
             """,
         )
-        insert_select(spark, name, select, model_args(lake))
+        insert_select(spark, name, select, model_args(lake, LOADED_AT))
     delays = ("avg_arr_delay", "avg_dep_delay", "std_arr_delay", "std_dep_delay")
     return spark.table(name).select(
-        "carrier", "flight_count", *[rounded(c, 6) for c in delays]
+        "carrier", "flight_count", *[rounded(c, 6) for c in delays], "built_at"
     )
 
 
@@ -214,15 +219,14 @@ UNION ALL SELECT 'daily_event_counts', count(DISTINCT CAST(ts AS DATE)) FROM eve
 """
 )
 def gold_build_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The models' row counters, as the builds report them."""
     lake = _registered_silver_flights(spark, sf_dir, "build_all")
     land_events(sample_events(spark, sf_dir), lake)
     build_events_silver(spark, lake, LOADED_AT)
     register_partitioned_table(spark, lake, EVENTS.at("silver"), ["event_date"])
-    counts = [
-        row_count(spark.table(lake.table(DatasetRef("gold", project, model)))).select(
-            F.lit(model).alias("model"), "n"
-        )
+    built = {
+        model: result.rows
         for project in ("aviation", "demo")
-        for model in build_all(spark, lake, project, LOADED_AT)
-    ]
-    return reduce(DataFrame.unionByName, counts)
+        for model, result in build_all(spark, lake, project, LOADED_AT).items()
+    }
+    return spark.createDataFrame(list(built.items()), "model string, n bigint")

@@ -10,16 +10,15 @@ from strata.lake import DatasetRef
 from strata.plans.events import EVENTS
 from strata.queries.base import (
     EVENTS_TABLE,
-    LOADED_AT,
     event_messages,
     events,
     query,
-    table,
 )
-from strata.sinks import produce, publish
+from strata.sinks import append_rows, publish
 from strata.sources import consume, read_layer, read_topic, topic_summary
 from strata.streaming import (
     daily_throughput,
+    open_windows,
     run_available,
     stream_files,
     stream_to_bronze,
@@ -28,13 +27,13 @@ from strata.streaming import (
 )
 from strata.workspace import scratch_lake
 
-# Bounds each micro-batch, so a long backlog is worked off in restartable steps.
+# Bounds each micro-batch of a stateless stream, so a backlog is worked off in restartable steps.
 FILES_PER_BATCH = 1000
 
 
 PRODUCED = """
 SELECT 'events' AS topic, CAST(0 AS INTEGER) AS "partition", {offset} AS "offset",
-       concat('event_', CAST(event_id + 1 AS VARCHAR)) AS value
+       CAST(user_id AS VARCHAR) AS "key", event_type AS value
 FROM events
 """
 
@@ -42,15 +41,15 @@ FROM events
 @query(
     PRODUCED.format(offset="event_id")
     + "UNION ALL"
-    + PRODUCED.format(offset="event_id + (SELECT count(*) FROM events)")
+    + PRODUCED.format(offset="event_id + (SELECT max(event_id) + 1 FROM events)")
 )
 def topic_produce_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many messages as there are events, twice: offsets go on where the first run ended."""
+    """The events as messages after a log that has them already: its offsets go on."""
     lake = scratch_lake(spark, "produce")
-    n = table(spark, sf_dir, "events").count()
-    for _ in range(2):
-        produce(spark, lake, "events", n, at=LOADED_AT)
-    return read_topic(spark, lake, "events").select("topic", "partition", "offset", "value")
+    rows = event_messages(events(spark, sf_dir))
+    publish(rows, lake, "events")
+    append_rows(rows.withColumnRenamed("offset", "nth"), lake, "events", "nth")
+    return read_topic(spark, lake, "events").drop("timestamp")
 
 
 @query(
@@ -116,10 +115,26 @@ HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTER
 """
 )
 def stream_daily_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days the watermark has passed; the last days stay open."""
+    """Days the watermark has passed; the last days stay open (``stream_open_windows``).
+
+    No file limit here: over one batch no event is late, in whatever order the files come.
+    """
     lake = scratch_lake(spark, "throughput")
-    source = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE, FILES_PER_BATCH)
+    source = stream_files(spark, f"{sf_dir}/events*.parquet", EVENTS_TABLE)
     target = lake.path(DatasetRef("gold", "demo", "daily_throughput"))
     writer = to_parquet(daily_throughput(source), target, lake.checkpoint_path("throughput"))
     run_available(writer)
     return read_layer(spark, target).select("event_date", "event_count")
+
+
+@query(
+    """
+SELECT CAST(ts AS DATE) AS event_date, count(*) AS event_count
+FROM events
+GROUP BY 1
+HAVING CAST(ts AS DATE) + INTERVAL 1 DAY > (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+"""
+)
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that ``stream_daily_throughput`` has not given out yet."""
+    return open_windows(events(spark, sf_dir))

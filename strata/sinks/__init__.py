@@ -1,8 +1,10 @@
 from strata.sinks.layers import JobResult, land_day, write_layer
 from strata.sinks.tables import append_table, insert_select, overwrite_table
-from strata.sinks.topics import messages, produce, publish, write_kafka
+from strata.sinks.topics import append_rows, log_ends, messages, produce, publish, write_kafka
 
 __all__ = [
+    "append_rows",
+    "log_ends",
     "JobResult",
     "append_table",
     "insert_select",

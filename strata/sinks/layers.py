@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.errors import InvalidName, SelfOverwrite
+from strata.errors import ForeignRows, InvalidName, SelfOverwrite
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,20 @@ def refuse_self_overwrite(target: str, reads: Sequence[str]) -> None:
             raise SelfOverwrite(f"{target} overlaps {source}, which the job reads")
 
 
+def read_paths(df: DataFrame) -> list[str]:
+    """Root folders of the files that ``df`` reads, from its analysed plan; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    paths: list[str] = []
+    for i in range(leaves.length()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths()
+                paths += [roots.apply(k).toString() for k in range(roots.length())]
+    return paths
+
+
 def write_layer(
     df: DataFrame,
     path: str,
@@ -49,7 +63,7 @@ def write_layer(
 ) -> JobResult:
     """Write Parquet and count its rows (and ``metrics``) in the same pass.
 
-    ``reads``       paths the frame comes from; an overwrite that touches one is refused.
+    ``reads``       more paths than those in the frame's plan that an overwrite must not touch.
     ``partition_by``  folder keys. Rows are rebalanced on them first, so a key gets few large
                     files and AQE splits a key that is too big for one task; turn ``rebalance``
                     off when the rows already lie together.
@@ -61,7 +75,7 @@ def write_layer(
     a lost executor makes it run map tasks again.
     """
     if mode == "overwrite":
-        refuse_self_overwrite(path, reads)
+        refuse_self_overwrite(path, [*reads, *read_paths(df)])
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
@@ -78,15 +92,27 @@ def write_layer(
 
 
 def land_day(
-    df: DataFrame, root: str, day: str, key: str = "dt", reads: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    day: str,
+    key: str = "dt",
+    reads: Sequence[str] = (),
+    skip_others: bool = False,
 ) -> JobResult:
     """Replace one day's landing folder ``<key>=<day>/``; other days stay as they are.
 
-    The key also stays in the files, so the folder can be registered as a table of its own.
+    Rows of other days (or none) are refused before anything is written; with ``skip_others`` they
+    are left out and counted as the metric ``others``. The key also stays in the files, so the
+    folder can be registered as a table of its own.
     """
     try:
         date.fromisoformat(day)
     except ValueError:
         raise InvalidName(f"not a date: {day!r}") from None
-    rows = df.where(F.col(key) == day)
-    return write_layer(rows, f"{root.rstrip('/')}/{key}={day}", reads=reads)
+    own = F.col(key).eqNullSafe(day)
+    if not skip_others and not df.where(~own).isEmpty():
+        raise ForeignRows(f"not all rows have {key} {day}")
+    seen = Observation()
+    rows = df.observe(seen, F.count_if(~own).alias("others")).where(own)
+    result = write_layer(rows, f"{root.rstrip('/')}/{key}={day}", reads=reads)
+    return JobResult(result.path, result.rows, result.metrics | seen.get)

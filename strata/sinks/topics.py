@@ -11,6 +11,7 @@ from strata.functions import stamp
 from strata.lake import Lake, check_topic
 from strata.sinks.layers import JobResult, write_layer
 from strata.sources.topics import read_topic, topic_summary
+from strata.workspace import delete_folder
 
 
 def messages(
@@ -38,8 +39,8 @@ def messages(
 
 def publish(df: DataFrame, lake: Lake, topic: str) -> JobResult:
     """Append messages that already carry their offsets to the file-backed log."""
-    check_schema(df, TOPIC_MESSAGES)
-    return write_layer(df, lake.topic_path(topic), mode="append")
+    delete_folder(df.sparkSession, lake.ends_path(topic))
+    return _append(df, lake, topic)
 
 
 def produce(
@@ -53,16 +54,60 @@ def produce(
 ) -> JobResult:
     """Append ``n`` messages after those already in the log. One producer per topic at a time."""
     new = messages(spark, topic, n, prefix, partitions, at)
-    # One number per partition of the topic, so this stays small however long the log is.
-    ends = {
-        row["partition"]: row["max_offset"] + 1
-        for row in topic_summary(_log_or_empty(spark, lake, topic)).collect()
-    }
+    ends = log_ends(spark, lake, topic)
     if ends:
         pairs = [F.lit(x) for p, end in sorted(ends.items()) for x in (p, end)]
         base = F.coalesce(F.create_map(*pairs)[F.col("partition")], F.lit(0))
         new = new.withColumn("offset", (F.col("offset") + base).cast("bigint"))
-    return publish(new, lake, topic)
+    result = _append(new, lake, topic)
+    dealt = {p: (n - p + partitions - 1) // partitions for p in range(partitions)}
+    _keep_ends(spark, lake, topic, {p: ends.get(p, 0) + dealt.get(p, 0) for p in {*ends, *dealt}})
+    return result
+
+
+def append_rows(df: DataFrame, lake: Lake, topic: str, nth: str) -> JobResult:
+    """Append messages to partition 0 after those in the log; ``nth`` numbers them from 0.
+
+    The new end of the log is counted during the write. One producer per topic at a time.
+    """
+    spark = df.sparkSession
+    ends = log_ends(spark, lake, topic)
+    offset = (F.col(nth) + ends.get(0, 0)).cast("bigint")
+    rows = df.withColumns(
+        {"topic": F.lit(check_topic(topic)), "partition": F.lit(0), "offset": offset}
+    ).select(*[c.name for c in TOPIC_MESSAGES])
+    result = _append(rows, lake, topic)
+    last = result.metrics["last"]
+    if last is not None:
+        ends[0] = last + 1
+    _keep_ends(spark, lake, topic, ends)
+    return result
+
+
+def log_ends(spark: SparkSession, lake: Lake, topic: str) -> dict[int, int]:
+    """Next offset of each partition, from the note beside the log.
+
+    Only a log that was last written by ``publish`` has none; then the log itself is asked.
+    """
+    try:
+        rows = spark.read.parquet(lake.ends_path(topic)).collect()
+        return {row["partition"]: row["end"] for row in rows}
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    summary = topic_summary(_log_or_empty(spark, lake, topic)).collect()
+    return {row["partition"]: row["max_offset"] + 1 for row in summary}
+
+
+def _keep_ends(spark: SparkSession, lake: Lake, topic: str, ends: dict[int, int]) -> None:
+    rows = spark.createDataFrame(sorted(ends.items()), "partition int, end bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(lake.ends_path(topic))
+
+
+def _append(df: DataFrame, lake: Lake, topic: str) -> JobResult:
+    check_schema(df, TOPIC_MESSAGES)
+    last = {"last": F.max("offset")}
+    return write_layer(df, lake.topic_path(topic), mode="append", metrics=last)
 
 
 def _log_or_empty(spark: SparkSession, lake: Lake, topic: str) -> DataFrame:

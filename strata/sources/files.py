@@ -24,23 +24,26 @@ def read_layer(
 def read_partitioned(spark: SparkSession, root: str, keys: Mapping[str, str]) -> DataFrame:
     """Scan a root of ``key=value/`` folders, each key with the type asked for.
 
-    Spark guesses key types from folder names (``dt=2026-03-02`` becomes a date). The cast only
-    touches the partition column, so filters on it still prune folders.
+    Spark guesses key types from folder names (``hour=07`` becomes the number 7), and a cast of the
+    guess does not give the text back. So the folders are read with a schema that has the types
+    asked for; filters on the keys prune folders.
     """
-    df = spark.read.parquet(root)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    casts = {k: F.col(k).cast(t) for k, t in keys.items() if types[k] != t}
-    return df.withColumns(casts) if casts else df
+    found = spark.read.parquet(root).schema
+    columns = [Column(f.name, keys.get(f.name, f.dataType.simpleString())) for f in found.fields]
+    return spark.read.schema(ddl(columns)).parquet(root)
 
 
 def read_partition(
     spark: SparkSession, root: str, key: str, value: object | SqlColumn
 ) -> DataFrame:
-    """Rows of one partition; other folders are not opened.
+    """Rows of one partition, the key as text; other folders are not opened.
 
     ``value`` may be a scalar subquery, which Spark runs before it lists what to read.
     """
-    return spark.read.parquet(root).where(F.col(key) == value)
+    wanted = value if isinstance(value, SqlColumn) else F.lit(value)
+    return read_partitioned(spark, root, {key: "string"}).where(
+        F.col(key) == wanted.cast("string")
+    )
 
 
 def file_inventory(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:

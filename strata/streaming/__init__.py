@@ -1,5 +1,7 @@
 from strata.streaming.flows import (
     daily_throughput,
+    late_rows,
+    open_windows,
     run_available,
     stream_files,
     stream_to_bronze,
@@ -9,6 +11,8 @@ from strata.streaming.flows import (
 
 __all__ = [
     "daily_throughput",
+    "late_rows",
+    "open_windows",
     "run_available",
     "stream_files",
     "stream_to_bronze",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from strata.contracts import Column, ddl
+from strata.errors import LateRows
 from strata.functions import utc_date, with_provenance
 from strata.operators import conform_events
 
@@ -54,6 +56,19 @@ def daily_throughput(
     )
 
 
+def open_windows(
+    events: DataFrame, time: str = "ts", late_by: str = "1 day", every: str = "1 day"
+) -> DataFrame:
+    """In batch: windows the watermark of these events has not passed, and their events so far."""
+    watermark = events.agg((F.max(time) - F.expr(f"INTERVAL {late_by}")).alias("t")).scalar()
+    return (
+        events.groupBy(F.window(time, every))
+        .agg(F.count(F.lit(1)).alias("event_count"))
+        .where(F.col("window.end") > watermark)
+        .select(utc_date(F.col("window.start")).alias("event_date"), "event_count")
+    )
+
+
 def to_parquet(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> DataStreamWriter:
@@ -67,8 +82,36 @@ def to_parquet(
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def run_available(writer: DataStreamWriter) -> StreamingQuery:
-    """Work through everything there is now, then stop."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over all batches whose progress is kept.
+
+    Spark counts them after combining inside a task, so one row may stand for several events.
+    """
+    return sum(
+        int(state.get("numRowsDroppedByWatermark", 0))
+        for progress in query.recentProgress
+        for state in json.loads(progress.json)["stateOperators"]
+    )
+
+
+def run_available(writer: DataStreamWriter, allow_late: bool = False) -> StreamingQuery:
+    """Work through everything there is now, then stop.
+
+    The progress of every batch is kept for this run; rows that came behind the watermark raise
+    ``LateRows`` (after the run: what is written stays) unless they are allowed.
+    """
+    spark = SparkSession.active()
+    kept = spark.conf.get(_PROGRESS)
+    spark.conf.set(_PROGRESS, "1000000")
+    try:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        late = late_rows(query)
+    finally:
+        spark.conf.set(_PROGRESS, kept)
+    if late and not allow_late:
+        raise LateRows(f"{late} rows came behind the watermark and are not in the result")
     return query

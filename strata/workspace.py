@@ -34,3 +34,9 @@ def scratch_lake(spark: SparkSession, label: str) -> Lake:
     """A fresh, empty lake with its own schemas."""
     root = scratch_folder(spark, label)
     return Lake(root, re.sub(r"\W", "_", f"{label}_{root[-12:]}_"))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; a missing one is fine."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

