@@ -7,6 +7,7 @@ when one command is to find what another registered.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from collections.abc import Sequence
 from itertools import chain
@@ -17,19 +18,31 @@ from strata import catalog
 from strata.errors import StrataError
 from strata.lake import LAYERS, DatasetRef, Lake
 from strata.operators import describe, row_count
-from strata.plans import build_all, build_model, list_models, run_events, run_flights
+from strata.plans import (
+    build_all,
+    build_gold,
+    build_model,
+    build_silver,
+    ingest_text,
+    list_models,
+    parse_mapping,
+    run_events,
+    run_flights,
+)
 from strata.plans.flights import ingest_csv
-from strata.session import build_session
+from strata.session import build_session, object_store_conf
 from strata.sinks import produce
 from strata.sources import (
     consume,
-    file_inventory,
+    list_files,
     generate_events,
     read_all_topics,
     read_topic,
     topic_summary,
 )
 
+from strata.streaming import run_available, stream_to_bronze, to_parquet
+
 
 def _ref(a: argparse.Namespace) -> DatasetRef:
     return DatasetRef(a.layer, a.project, a.name)
@@ -46,6 +59,14 @@ def _table(spark: SparkSession, lake: Lake, a: argparse.Namespace) -> DataFrame:
     return spark.table(lake.table(_ref(a)))
 
 
+def _stream(spark: SparkSession, lake: Lake, a: argparse.Namespace) -> str:
+    """What a topic's log holds now to bronze; the next run goes on from there."""
+    target = lake.path(DatasetRef("bronze", a.project, a.name))
+    bronze = stream_to_bronze(read_topic(spark, lake, a.topic, stream=True), a.topic)
+    run_available(to_parquet(bronze, target, lake.checkpoint_path(f"{a.project}_{a.name}")))
+    return target
+
+
 _COMMANDS = {
     "flights": lambda s, lake, a: run_flights(s, lake, a.source),
     "events": lambda s, lake, a: run_events(s, lake, generate_events(s, a.n, a.day)),
@@ -63,7 +84,17 @@ _COMMANDS = {
     "models": lambda s, lake, a: list_models(a.project),
     "build": lambda s, lake, a: build_model(s, lake, a.project, a.name),
     "build-all": lambda s, lake, a: build_all(s, lake, a.project),
-    "files": lambda s, lake, a: file_inventory(s, f"{lake.root.rstrip('/')}/{a.prefix}"),
+    "files": lambda s, lake, a: list_files(s, f"{lake.root.rstrip('/')}/{a.prefix}"),
+    "ingest-text": lambda s, lake, a: ingest_text(
+        s, lake, DatasetRef("bronze", a.project, a.name), a.source, multi_line=a.multi_line
+    ),
+    "silver": lambda s, lake, a: build_silver(
+        s, lake, DatasetRef("silver", a.project, a.name), parse_mapping(a.column)
+    ),
+    "gold": lambda s, lake, a: build_gold(
+        s, lake, DatasetRef("gold", a.project, a.name), a.select
+    ),
+    "stream-topic": lambda s, lake, a: _stream(s, lake, a),
     "topics": lambda s, lake, a: topic_summary(read_all_topics(s, lake)),
     "produce": lambda s, lake, a: produce(s, lake, a.topic, a.n, a.prefix),
     "consume": lambda s, lake, a: consume(read_topic(s, lake, a.topic), a.n),
@@ -73,6 +104,7 @@ _COMMANDS = {
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="strata", description=__doc__)
     parser.add_argument("--root", required=True, help="root folder of the lake")
+    parser.add_argument("--endpoint", help="object store; keys come from the environment")
     commands = parser.add_subparsers(dest="command", required=True)
 
     def add(name: str, *arguments: str, **options: dict) -> None:
@@ -106,6 +138,11 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("models", "build-all"):
         add(name, project=project)
     add("build", "name", project=project)
+    add("ingest-text", "name", "source", project=project, multi_line={"action": "store_true"})
+    column = {"action": "append", "required": True, "help": "source:type:name"}
+    add("silver", "name", project=project, column=column)
+    add("gold", "name", "select", project=project)
+    add("stream-topic", "topic", "name", project=project)
     add("files", "prefix", **out)
     add("topics", **out)
     add("produce", "topic", n=ten, prefix={"default": "event_"})
@@ -124,7 +161,11 @@ def _give(result: DataFrame, a: argparse.Namespace) -> None:
 
 def main(arguments: Sequence[str] | None = None) -> int:
     a = _parser().parse_args(arguments)
-    spark = build_session(f"strata-{a.command}")
+    conf = None
+    if a.endpoint:
+        keys = (os.environ["AWS_ACCESS_KEY_ID"], os.environ["AWS_SECRET_ACCESS_KEY"])
+        conf = object_store_conf(a.endpoint, *keys, ssl=a.endpoint.startswith("https:"))
+    spark = build_session(f"strata-{a.command}", conf)
     try:
         result = _COMMANDS[a.command](spark, Lake(a.root), a)
     except StrataError as error:

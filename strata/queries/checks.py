@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.catalog import register_table
 from strata.contracts import FLIGHTS_CONFORM
 from strata.functions import with_provenance
+from strata.lake import DatasetRef
 from strata.operators import conform_flights, lineage, quality_profile
+from strata.plans.datasets import build_gold, build_silver, ingest_text, parse_mapping
 from strata.plans.flights import FLIGHTS, flights_report, run_flights
 from strata.queries import base
 from strata.queries.base import (
@@ -32,6 +36,65 @@ TEXT_FLIGHTS = tuple(
 )
 
 
+@query(
+    """
+SELECT count(*) AS row_count, count(*) FILTER (WHERE l_quantity < 3) AS rejects,
+       CAST(0 AS BIGINT) AS malformed,
+       count(*) FILTER (WHERE l_quantity < 3) AS raw_text_kept
+FROM lineitem
+"""
+)
+def bronze_csv_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text among the delays, columns in another order and one too many: raw text stays in bronze,
+    and silver counts what is no number."""
+    lake = scratch_lake(spark, "dirty")
+    rows = table(spark, sf_dir, "lineitem").selectExpr(*TEXT_FLIGHTS, "l_orderkey AS remark")
+    source = f"{lake.root}/staging/dirty"
+    upper = [F.col(c).alias(c.upper()) for c in sorted(rows.columns)]
+    rows.select(*upper).write.option("header", True).csv(source)
+    columns = [f.source for f in FLIGHTS_CONFORM][:-2]
+    bronze = ingest_text(spark, lake, FLIGHTS, source, columns, at=LOADED_AT)
+    silver = build_silver(spark, lake, FLIGHTS, FLIGHTS_CONFORM)
+    kept = read_layer(spark, lake.path(FLIGHTS)).agg(
+        F.count_if(F.col("dep_delay_new") == "n/a").alias("raw_text_kept")
+    )
+    return kept.select(
+        F.lit(silver.rows).cast("bigint").alias("row_count"),
+        F.lit(silver.metrics["rejects"]).cast("bigint").alias("rejects"),
+        F.lit(bronze.metrics["malformed"]).cast("bigint").alias("malformed"),
+        "raw_text_kept",
+    )
+
+
+@query(
+    """
+SELECT o_orderpriority AS priority, count(*) AS order_count,
+       CAST(sum(o_custkey) AS BIGINT) AS customer_sum
+FROM orders GROUP BY 1
+"""
+)
+def generic_dataset_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from CSV through bronze and silver to gold by a mapping and a SELECT alone."""
+    lake, ref = scratch_lake(spark, "generic"), DatasetRef("bronze", "shop", "orders")
+    source = f"{lake.root}/staging/orders"
+    table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority"
+    ).write.option("header", True).csv(source)
+    ingest_text(spark, lake, ref, source, at=LOADED_AT)
+    mapping = ["o_orderkey:bigint:order_key", "o_custkey:bigint:customer", "o_orderpriority:string:priority"]
+    build_silver(spark, lake, ref, parse_mapping(mapping))
+    register_table(spark, lake, ref.at("silver"))
+    gold = DatasetRef("gold", "shop", "orders_by_priority")
+    build_gold(
+        spark,
+        lake,
+        gold,
+        "SELECT priority, count(*) AS order_count, sum(customer) AS customer_sum"
+        " FROM identifier(:silver || '.shop_orders') GROUP BY priority",
+    )
+    return read_layer(spark, lake.path(gold))
+
+
 @query(
     FLIGHTS_CTE
     + """

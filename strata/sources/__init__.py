@@ -1,7 +1,8 @@
-from strata.sources.csv import read_csv
+from strata.sources.csv import CORRUPT, read_csv, read_csv_text
 from strata.sources.files import (
     file_inventory,
     inventory_by_partition,
+    list_files,
     read_layer,
     read_partition,
     read_partitioned,
@@ -17,6 +18,9 @@ from strata.sources.topics import (
 )
 
 __all__ = [
+    "CORRUPT",
+    "list_files",
+    "read_csv_text",
     "consume",
     "file_inventory",
     "generate_events",

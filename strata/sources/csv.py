@@ -30,3 +30,24 @@ def read_csv(
         schema += f", `{corrupt_column}` string"
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.option("enforceSchema", False).schema(schema).csv(source)
+
+
+CORRUPT = "corrupt_record"
+
+
+def read_csv_text(spark: SparkSession, source: str, multi_line: bool = False) -> DataFrame:
+    """All columns of a CSV source as text, and the text of each line that has too few or too many.
+
+    Nothing is parsed, so nothing can be lost. Names and order come from the header; a file with
+    another header fails the job. ``multi_line`` allows quoted line breaks, but then one task reads
+    a whole file.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    names = [c for c in reader.csv(source).columns if c != CORRUPT]
+    columns = [Column(name, "string") for name in (*names, CORRUPT)]
+    return (
+        reader.option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(ddl(columns))
+        .csv(source)
+    )

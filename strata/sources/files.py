@@ -62,6 +62,14 @@ def file_inventory(spark: SparkSession, path: str, keys: Sequence[str] = ()) ->
     )
 
 
+def list_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """Every file under a prefix, of any kind and also without rows; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
+    return found.select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_bytes"), "modificationTime"
+    )
+
+
 def inventory_by_partition(inventory: DataFrame, *keys: str) -> DataFrame:
     return inventory.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("file_count"),

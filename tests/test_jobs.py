@@ -82,3 +82,21 @@ def test_all_rows_are_given(spark, tmp_path, capsys):
     out = str(tmp_path / "out")
     assert main(["--root", root, "sql", "SELECT * FROM range(100)", "--out", out]) == 0
     assert spark.read.parquet(out).count() == 100
+
+
+def test_any_dataset_by_mapping(spark, tmp_path, capsys):
+    root, source = str(tmp_path / "lake"), tmp_path / "in.csv"
+    source.write_text("Id,Amount,Note\n1,2.5,a\n2,n/a,b\n3,4.5\n")
+    assert main(["--root", root, "ingest-text", "sales", str(source)]) == 0
+    assert "'malformed': 1" in capsys.readouterr().out
+    columns = ["--column", "id:bigint", "--column", "amount:double:paid"]
+    assert main(["--root", root, "silver", "sales", *columns]) == 0
+    assert "'rejects': 1" in capsys.readouterr().out
+    assert main(["--root", root, "gold", "total", f"SELECT sum(paid) AS paid FROM parquet.`{root}/silver/demo/sales`"]) == 0
+    assert [r.paid for r in spark.read.parquet(f"{root}/gold/demo/total").collect()] == [7.0]
+    assert main(["--root", root, "files", "silver"]) == 0
+    assert ".parquet" in capsys.readouterr().out
+    assert main(["--root", root, "produce", "t", "--n", "4"]) == 0
+    assert main(["--root", root, "stream-topic", "t", "messages"]) == 0
+    assert spark.read.parquet(f"{root}/bronze/demo/messages").count() == 4
+    spark.sql("DROP TABLE IF EXISTS gold.demo_total")
