@@ -43,30 +43,39 @@ def distribution(mean: Column) -> Column:
     )
 
 
+def _class(source: Column, names: list[str]) -> Column:
+    """Number of a source in ``names``; all others, NULL among them, are one class, -1."""
+    if not names:
+        return F.lit(-1)
+    numbers = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+    return F.coalesce(numbers[source], F.lit(-1))
+
+
 def rates(
-    df: DataFrame, weights: Mapping[str, float], source_col: str, total: int | None = None
+    df: DataFrame,
+    weights: Mapping[str, float],
+    source_col: str,
+    total: int | None = None,
+    rest_weight: float = 0.0,
 ) -> DataFrame:
-    """``source``, ``mean`` and ``draws`` of every source in ``weights`` that has rows.
+    """``mix_class``, ``mean`` and ``draws`` of every source that has rows, and of the rest.
 
     Weights are shares of the sum of those present; ``total`` is the number of rows aimed at, all
-    rows of ``df`` unless given. One row per weight: bounded by the parameter.
+    rows of ``df`` unless given. One row per weight and one for the rest: bounded by the parameter.
     """
-    present = {
-        r[0]: r[1]
-        for r in df.where(F.col(source_col).isin(list(weights)))
-        .groupBy(source_col)
-        .agg(F.count("*"))
-        .collect()
-    }
-    aim = df.count() if total is None else total
-    share = sum(weights[s] for s in present)
+    names = sorted(weights)
+    class_ = _class(F.col(source_col), names).alias("c")
+    present = {r.c: r.n for r in df.groupBy(class_).agg(F.count("*").alias("n")).collect()}
+    share = {c: rest_weight if c < 0 else weights[names[c]] for c in present}
+    aim = sum(present.values()) if total is None else total
     rows = []
-    for source, n in sorted(present.items()):
-        mean = aim * weights[source] / share / n if share else 0.0
-        draws = max(1, math.ceil(mean / MEAN_PER_DRAW))
-        rows.append((source, mean, draws, mean / draws))
+    for c, n in sorted(present.items()):
+        if share[c]:
+            mean = aim * share[c] / sum(share.values()) / n
+            draws = max(1, math.ceil(mean / MEAN_PER_DRAW))
+            rows.append((c, mean, draws, mean / draws))
     out = df.sparkSession.createDataFrame(
-        rows, "mix_source string, mean double, draws int, per_draw double"
+        rows, "mix_class int, mean double, draws int, per_draw double"
     )
     return out.withColumn("cdf", distribution(F.col("per_draw")))
 
@@ -78,20 +87,22 @@ def mix(
     source_col: str = "source",
     seed: int = 42,
     total: int | None = None,
+    rest_weight: float = 0.0,
     copy_col: str | None = None,
     order_col: str | None = None,
 ) -> DataFrame:
     """Rows of ``df`` repeated to the target weights, in a global random order.
 
-    Sources without a weight, NULL among them, get none. NULL ids count as the empty id; rows with
+    Sources without a weight, NULL among them, share ``rest_weight``. NULL ids count as the empty id; rows with
     the same id and source get the same count. ``copy_col`` and ``order_col``, if named, keep the
     number of the copy (from 0) and the hash sorted by. An empty table stays empty.
     """
     source, mean, draws, per, cdf, count, copy, key = fresh(
         df, "_source", "_mean", "_draws", "_per", "_cdf", "_count", "_copy", "_key"
     )
-    rate = rates(df, weights, source_col, total).toDF(source, mean, draws, per, cdf)
-    rows = df.join(F.broadcast(rate), df[source_col] == rate[source])
+    rate = rates(df, weights, source_col, total, rest_weight).toDF(source, mean, draws, per, cdf)
+    class_ = _class(df[source_col], sorted(weights))
+    rows = df.join(F.broadcast(rate), class_ == rate[source])
     seeded, id_ = F.lit(str(seed)), df[id_col]
 
     def drawn(i: Column) -> Column:

@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 #: One share each, but for the source that would otherwise swamp the mix.
+MIX_REST = 1.0
 MIX_WEIGHTS = {"src0": 3.0} | {f"src{i}": 1.0 for i in range(1, 20)}
 
 
@@ -82,24 +83,29 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WITH weights(source, w) AS (VALUES "
     + ", ".join(f"('{s}', {w}::DOUBLE)" for s, w in MIX_WEIGHTS.items())
     + r"""),
-counts AS (SELECT d.source, w, count(*) AS n FROM documents d JOIN weights USING (source)
-  GROUP BY ALL),
-means AS (SELECT source, (SELECT count(*) FROM documents) * w / (SELECT sum(w) FROM counts) / n
+classed AS (SELECT d.*, w.source AS class, coalesce(w, 1.0) AS w
+  FROM documents d LEFT JOIN weights w ON w.source = d.source),
+counts AS (SELECT class, w, count(*) AS n FROM classed GROUP BY ALL),
+means AS (SELECT coalesce(class, '') AS class, (SELECT count(*) FROM documents) * w / (SELECT sum(w) FROM counts) / n
   AS mean FROM counts),
-terms AS (SELECT source, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
+terms AS (SELECT class, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
   FROM means, range(0, 60) r(k)),
-cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+cdf AS (SELECT class, k, sum(p) OVER (PARTITION BY class ORDER BY k) AS c FROM terms),
 u AS (SELECT *, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':0'),
-  1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u FROM documents),
-drawn AS (SELECT u.*, (SELECT count(*) FROM cdf WHERE cdf.source = u.source
-  AND c <= u.u) AS n FROM u JOIN means USING (source))
+  1, 13))::BIGINT::DOUBLE / 4503599627370496 AS u FROM classed),
+drawn AS (SELECT u.*, (SELECT count(*) FROM cdf
+  WHERE cdf.class = coalesce(u.class, '') AND c <= u.u) AS n FROM u)
 SELECT doc_id, text, lang, source, n_chars, i AS copy,
   md5('order42:' || coalesce(doc_id::VARCHAR, '') || ':' || i::VARCHAR) AS shuffle_key
 FROM (SELECT *, unnest(range(0, n)) AS i FROM drawn)"""
 )
 def op7_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(
-        table(spark, sf_dir, "documents"), MIX_WEIGHTS, copy_col="copy", order_col="shuffle_key"
+        table(spark, sf_dir, "documents"),
+        MIX_WEIGHTS,
+        rest_weight=MIX_REST,
+        copy_col="copy",
+        order_col="shuffle_key",
     )
 
 

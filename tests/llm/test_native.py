@@ -204,6 +204,9 @@ def test_mixing_with_a_large_mean_and_odd_rows(documents):
     assert set(counts) == {"x", "y"} and all(abs(c - 2000) < 250 for c in counts.values())
     assert mixing.mix(documents([]), {"x": 1.0}).count() == 0
     assert mixed.columns == docs.columns
+    rest = mixing.mix(docs, {"x": 1.0}, total=3000, rest_weight=2.0)
+    counts = Counter(r.source for r in rest.collect())
+    assert set(counts) == {"x", "y", None} and abs(counts["x"] - 1000) < 200
 
 
 def test_distribution_is_poisson(spark):
