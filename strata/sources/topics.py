@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,15 +37,18 @@ def kafka_options(
     stream: bool,
     starting: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    ending: Mapping[int, int] | None = None,
 ) -> dict[str, str]:
-    """Source options for a broker; a bounded read ends at the offsets known when it starts."""
+    """Source options for a broker; a bounded read ends at the offsets known when it starts, or at
+    those in ``ending``, by partition: the way to look at first messages without the whole topic."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": check_topic(topic),
         "startingOffsets": starting,
     }
     if not stream:
-        options["endingOffsets"] = "latest"
+        bounds = {topic: {str(p): end for p, end in (ending or {}).items()}}
+        options["endingOffsets"] = json.dumps(bounds) if ending else "latest"
     elif max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return options
