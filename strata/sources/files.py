@@ -36,14 +36,15 @@ def read_partitioned(spark: SparkSession, root: str, keys: Mapping[str, str]) ->
 def read_partition(
     spark: SparkSession, root: str, key: str, value: object | SqlColumn
 ) -> DataFrame:
-    """Rows of one partition, the key as text; other folders are not opened.
+    """Rows of one partition; other folders are not opened.
 
-    ``value`` may be a scalar subquery, which Spark runs before it lists what to read.
+    A text ``value`` is compared with the folder's text, and the key comes back as text. Any other
+    is compared with what Spark makes of the folder names; it may be a scalar subquery, which Spark
+    runs before it lists what to read.
     """
-    wanted = value if isinstance(value, SqlColumn) else F.lit(value)
-    return read_partitioned(spark, root, {key: "string"}).where(
-        F.col(key) == wanted.cast("string")
-    )
+    if isinstance(value, str):
+        return read_partitioned(spark, root, {key: "string"}).where(F.col(key) == value)
+    return spark.read.parquet(root).where(F.col(key) == value)
 
 
 def file_inventory(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
