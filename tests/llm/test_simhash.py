@@ -136,3 +136,65 @@ def test_signature_angle_estimates_similarity():
             (simhash._majority(a, k) ^ simhash._majority(b, k)).bit_count() for k in range(8)
         )
         assert abs(bits - simhash.bits_apart(share)) < 40
+
+
+def shingled(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def survivors(texts, similarity=0.8):
+    """Brute force: the first of each component."""
+    sets = [shingled(t) for t in texts]
+    near = lambda a, b: a == b or len(a & b) >= similarity * len(a | b)
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if near(sets[i], sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [i for i in range(len(sets)) if root[i] == i]
+
+
+def zipf_words(r, n):
+    return [f"w{int(r.paretovariate(0.7))}" for _ in range(n)]
+
+
+def edited(r, words, kind):
+    n = len(words)
+    if kind == 0:
+        return words + zipf_words(r, n // 10)
+    if kind == 1:
+        return words + zipf_words(r, n // 5)
+    if kind == 2:
+        return words[n // 8 :]
+    copy = list(words)
+    for at in r.sample(range(n), n // 50):
+        copy[at] = zipf_words(r, 1)[0]
+    return copy
+
+
+@pytest.mark.parametrize("chunk", [3, 16_384])
+def test_near_copies_equal_brute_force(documents, monkeypatch, chunk):
+    """Appended, cut and replaced copies, a passage in many texts and a large group of copies."""
+    monkeypatch.setattr(simhash, "_CHUNK", chunk)
+    r = random.Random(31)
+    passage, texts = zipf_words(r, 60), []
+    for i in range(80):
+        words = zipf_words(r, r.randint(100, 250))
+        words = words + passage if i % 3 == 0 else words
+        texts += [words, edited(r, words, i % 4)]
+    group = zipf_words(r, 120)
+    texts += [edited(r, group, 3) for _ in range(30)]
+    r.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    kept = sorted(r.doc_id for r in simhash.keep_one(documents(texts)).collect())
+    wanted = survivors(texts)
+    assert kept == wanted
+    assert len(wanted) < 130
