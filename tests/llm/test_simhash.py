@@ -198,3 +198,16 @@ def test_near_copies_equal_brute_force(documents, monkeypatch, chunk):
     wanted = survivors(texts)
     assert kept == wanted
     assert len(wanted) < 130
+
+
+def test_threshold_is_exact(documents):
+    """Pairs of Jaccard similarity exactly 0.8 go, pairs just under it stay."""
+    texts, wanted = [], []
+    for i in range(12):
+        words = [f"t{i}x{k}" for k in range(204 + 100 * (i % 3))]
+        n = len(words) - 4
+        over = i % 2
+        wanted += [len(texts), len(texts) + 1] if over else [len(texts)]
+        texts += [words, words + [f"t{i}y{k}" for k in range(n // 4 + over)]]
+    kept = simhash.keep_one(documents([" ".join(t) for t in texts]))
+    assert sorted(r.doc_id for r in kept.collect()) == wanted
