@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.workspace import scratch_folder
@@ -47,3 +47,21 @@ def any_of(conditions: list[Column]) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, order: list[Column], number_col: str, label: str) -> DataFrame:
+    """``df``, written, with the place of each row in ``order`` from 0 as ``number_col``.
+
+    Rows are dealt by range and sorted there; the ranges' row counts (one number a range, all that
+    is broadcast) give each its offset, so no task sees more than a range.
+    """
+    place, part, before, n = fresh(df, "_place", "_part", "_before", "_n")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = settle(ranged.withColumn(place, F.monotonically_increasing_id()), label)
+    rows = rows.withColumn(part, F.shiftright(place, 33).cast("int"))
+    counts = rows.groupBy(part).agg(F.count("*").alias(n))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    own = F.col(place).bitwiseAND(F.lit(2**33 - 1))
+    joined = rows.join(F.broadcast(offsets), part)
+    return joined.select(*df.columns, (F.col(before) + own).alias(number_col))

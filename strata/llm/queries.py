@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, fingerprint, grammar, lines, mixing, packing, quality, repeats, simhash, warc
+from strata.llm import (
+    chat,
+    decontaminate,
+    fingerprint,
+    grammar,
+    lines,
+    manifest,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    resampling,
+    simhash,
+    warc,
+)
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,3 +260,142 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return rest.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+_PLAIN_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+def _crc32(value: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    byte = f"('0x' || substr(hex(encode({value})), 2 * k + 1, 2))::UINTEGER"
+    bits = "list_concat([{0}], repeat([256::UINTEGER], 8))".format(byte)
+    return f"""xor(list_reduce(list_concat([4294967295::UINTEGER], flatten(list_transform(
+      range(0, octet_length(encode({value}))), lambda k: {bits}))), lambda c, b:
+      CASE WHEN b < 256 THEN xor(c, b)
+        WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END),
+      4294967295::UINTEGER)"""
+
+
+@_query(
+    f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, {_PLAIN_WORDS} AS ws FROM documents),
+f AS (SELECT r, unnest(ws) AS f FROM w),
+g AS (SELECT unnest({_PLAIN_WORDS}) AS f FROM benchmark),
+b AS (SELECT f, {_crc32("f")} % 10000 AS bucket FROM (SELECT f FROM f UNION SELECT f FROM g)),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN b USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM g JOIN b USING (f) GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln(
+    ((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)::DOUBLE)
+    / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM g) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT r, sum(gain)::BIGINT AS weight FROM f JOIN b USING (f) JOIN gains USING (bucket)
+  GROUP BY r),
+scored AS (SELECT doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))
+      ::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN weights USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id)
+    AS place, count(*) FILTER (n_features >= 20) OVER () AS eligible FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+FROM ranked"""
+)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def _field(value: str) -> str:
+    text = f"({value})::VARCHAR"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+_LEAF = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text"))
+
+
+@_query(
+    f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, sha256({_LEAF.format(n_chars="n_chars")}) AS leaf,
+    sha256({_LEAF.format(n_chars="n_chars + 1")}) AS other,
+    {_crc32("doc_id::VARCHAR")} % 7 = 0 AS tampered FROM documents),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows),
+levels AS (
+  SELECT tree, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, max(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM levels WHERE n > 1 GROUP BY tree, pos // 2),
+subroots AS (SELECT tree, h, level AS height FROM levels WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, tree AS pos, h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT max(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY pos // 2),
+nodes AS (SELECT tree, level, pos, h FROM levels UNION ALL SELECT -1, level, pos, h FROM tops),
+climb AS (
+  SELECT doc_id, leaf, tree AS own, tree, 0 AS level, pos,
+    CASE WHEN tampered THEN coalesce(other, leaf) ELSE leaf END AS folded, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, own, CASE WHEN c.tree >= 0 AND c.level = r.height THEN -1 ELSE c.tree END,
+    CASE WHEN c.tree >= 0 AND c.level = r.height THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.tree >= 0 AND c.level = r.height THEN c.tree ELSE c.pos // 2 END,
+    CASE WHEN c.tree >= 0 AND c.level = r.height THEN folded
+      WHEN x.h IS NULL THEN sha256(folded)
+      WHEN c.pos % 2 = 1 THEN sha256(x.h || folded) ELSE sha256(folded || x.h) END,
+    CASE WHEN c.tree >= 0 AND c.level = r.height THEN proof ELSE proof || coalesce(x.h, '') END
+  FROM climb c JOIN subroots r ON r.tree = c.own
+  LEFT JOIN nodes x ON x.tree = c.tree AND x.level = c.level AND x.pos = xor(c.pos, 1)
+  WHERE c.tree >= 0 OR c.level < (SELECT max(level) FROM tops))
+SELECT doc_id, leaf, r.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256,
+  folded AS folded_root, folded = t.h AS verified
+FROM climb c JOIN subroots r ON r.tree = c.own
+JOIN tops t ON t.n = 1 AND c.tree = -1 AND c.level = t.level"""
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    built = manifest.build(
+        table(spark, sf_dir, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        id_col="doc_id",
+        group_col="lang",
+        claimed={"n_chars": claimed},
+    )
+    return manifest.prove(built).withColumnRenamed("id", "doc_id")
+
+
+@_query(
+    f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, {_PLAIN_WORDS} AS ws FROM documents),
+i AS (SELECT item_id, {_PLAIN_WORDS} AS ws FROM benchmark),
+p AS (SELECT DISTINCT item_id, array_to_string(list_slice(ws, k, k + 9), ' ') AS phrase,
+    least(len(ws), 10) AS size
+  FROM i, range(1, greatest(len(ws) - 9, 1) + 1) t(k) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT size FROM p),
+runs AS (SELECT r, k, size, array_to_string(list_slice(ws, k, k + size - 1), ' ') AS phrase
+  FROM w, sizes, range(1, len(ws) - size + 2) t(k)),
+hits AS (SELECT DISTINCT r, k, p.size, item_id FROM runs JOIN p USING (size, phrase)),
+covered AS (SELECT r, count(DISTINCT k + o) AS n_hit FROM hits, range(0, size) t(o) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
+)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
