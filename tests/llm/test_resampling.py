@@ -1,0 +1,93 @@
+"""Importance resampling against a plain Python version."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from strata.llm import resampling
+
+SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return SPLIT.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def features(text, low, high, buckets):
+    w = words(text)
+    runs = [" ".join(w[i : i + n]) for n in range(low, high + 1) for i in range(len(w) - n + 1)]
+    return [zlib.crc32(f.encode()) % buckets for f in runs]
+
+
+def expected(rows, target, low=1, high=1, buckets=10_000, least=20, percent=10, seed=2024):
+    s = Counter(b for _, t in rows for b in features(t, low, high, buckets))
+    t = Counter(b for x in target for b in features(x, low, high, buckets))
+    total, wanted = sum(s.values()), sum(t.values())
+    out = []
+    for i, text in rows:
+        hit = features(text, low, high, buckets)
+        weight = sum(
+            math.floor(
+                1000
+                * math.log((t[b] + 1) * (total + buckets) / ((s[b] + 1) * (wanted + buckets)))
+            )
+            for b in hit
+        )
+        name = "" if i is None else i
+        h = int(hashlib.sha256(f"{seed}:{name}".encode()).hexdigest()[:8], 16)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, len(hit), weight, weight + noise, None, len(words(text)) >= least])
+    ranked = sorted((r for r in out if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for place, row in enumerate(ranked[: percent * len(ranked) // 100], 1):
+        row[4] = place
+    return Counter(tuple(r[:5]) for r in out)
+
+
+def found(df):
+    return Counter((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in df.collect())
+
+
+TEXTS = [f"word{i % 7} and the quick {'bright ' * (i % 5)}tests of item {i} " * 4 for i in range(60)]
+TARGET = ["the quick bright tests", "and word3 again, bright!", None, ""]
+
+
+@pytest.mark.parametrize(("low", "high"), [(1, 1), (1, 3), (2, 2)])
+def test_scores_and_ranks(spark, documents, odd_texts, low, high):
+    texts = [*TEXTS, *odd_texts, "A-Z İstanbul ſ K x0y\x00z " * 9]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    target = spark.createDataFrame([(i, t) for i, t in enumerate(TARGET)], "item_id int, text string")
+    got = resampling.resample(documents(texts), target, low=low, high=high)
+    assert found(got) == expected(rows, TARGET, low, high)
+
+
+def test_ties_go_to_the_smaller_id_and_repeated_rows_stay(spark, documents):
+    text = "one two three four five six seven eight nine ten " * 3
+    rows = [(5, text), (5, text), (None, text), (None, text), (7, text), (3, None), (2, "few words")]
+    target = spark.createDataFrame([(1, "one two")], "item_id int, text string")
+    got = resampling.resample(documents(rows), target, percent=80)
+    assert found(got) == expected(rows, ["one two"], percent=80)
+
+
+def test_small_buckets_seed_and_an_empty_target(spark, documents):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    none = spark.createDataFrame([], "item_id int, text string")
+    got = resampling.resample(documents(TEXTS), none, buckets=13, seed=5, min_words=1, percent=50)
+    assert found(got) == expected(rows, [], buckets=13, seed=5, least=1, percent=50)
+
+
+def test_empty_table_and_clashing_names(spark, documents):
+    target = spark.createDataFrame([(1, "one two")], "item_id int, text string")
+    assert resampling.resample(documents([]), target).collect() == []
+    taken = documents(TEXTS).selectExpr("*", "1 AS rank", "'mine' AS n_words", "doc_id AS score")
+    got = resampling.resample(taken, target, keep=taken.columns)
+    assert got.columns == [*taken.columns, "n_features", "weight", "score_", "rank_"]
+    rows = got.collect()
+    assert all(r["rank"] == 1 and r.n_words == "mine" and r.score == r.doc_id for r in rows)
+    assert sorted(r.rank_ for r in rows if r.rank_) == [1, 2, 3, 4, 5, 6]
+    assert Counter(r.text for r in rows) == Counter(TEXTS)
