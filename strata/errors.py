@@ -33,5 +33,9 @@ class LateRows(StrataError):
     """A stream left out events that came behind its watermark."""
 
 
+class ChangedSource(StrataError):
+    """A file that was ingested before has other content now."""
+
+
 class ForeignRows(StrataError):
     """Rows of other days came with those of the day to land."""

@@ -75,5 +75,20 @@ class Lake:
     def ends_path(self, topic: str) -> str:
         return f"{self.root.rstrip('/')}/_topic_ends/{check_topic(topic)}"
 
+    def manifest_path(self, ref: DatasetRef) -> str:
+        """Where the batches of a dataset that arrived whole are noted."""
+        return f"{self.root.rstrip('/')}/_manifests/{ref.layer}/{ref.project}/{ref.name}"
+
+    def states_path(self, ref: DatasetRef) -> str:
+        """Partial aggregates from which a gold dataset is merged."""
+        return f"{self.root.rstrip('/')}/_states/{ref.project}/{ref.name}"
+
+    def quarantine_path(self, ref: DatasetRef) -> str:
+        return f"{self.root.rstrip('/')}/_quarantine/{ref.project}/{ref.name}"
+
+    def ledger_path(self, flow: str, step: str) -> str:
+        root = self.root.rstrip("/")
+        return f"{root}/_ledger/{check_identifier(flow)}/{check_identifier(step)}"
+
     def checkpoint_path(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{check_identifier(query)}"

@@ -7,7 +7,14 @@ from strata.operators.aggregates import (
     rows_per_key,
     total,
 )
-from strata.operators.conform import conform, conform_events, conform_flights
+from strata.operators.conform import conform, conform_events, conform_flights, faults
+from strata.operators.digests import (
+    differing_buckets,
+    differing_rows,
+    merge_digests,
+    require_same_rows,
+    row_digests,
+)
 from strata.operators.profile import describe, null_profile, profile
 from strata.operators.quality import (
     lineage,
@@ -15,9 +22,38 @@ from strata.operators.quality import (
     reconcile,
     require_reconciled,
 )
+from strata.operators.provenance import (
+    gold_lineage,
+    merge_provenance,
+    provenance,
+    require_lineage,
+    trace,
+)
 from strata.operators.ranking import rank_by, top_by
+from strata.operators.states import (
+    merge_states,
+    partial_states,
+    state_deviation,
+    state_mean,
+    state_sum,
+)
 
 __all__ = [
+    "differing_buckets",
+    "differing_rows",
+    "gold_lineage",
+    "merge_digests",
+    "merge_provenance",
+    "merge_states",
+    "partial_states",
+    "provenance",
+    "require_lineage",
+    "require_same_rows",
+    "row_digests",
+    "state_deviation",
+    "state_mean",
+    "state_sum",
+    "trace",
     "carrier_delay_spread",
     "carrier_summary",
     "conform",
@@ -26,6 +62,7 @@ __all__ = [
     "daily_event_counts",
     "describe",
     "distinct_keys",
+    "faults",
     "lineage",
     "null_profile",
     "profile",

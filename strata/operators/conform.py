@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import EVENTS_CONFORM, FLIGHTS_CONFORM, Conform
@@ -28,6 +28,12 @@ def conform(df: DataFrame, fields: Sequence[Conform], rejects: str | None = None
     return df.select(*columns)
 
 
+def faults(fields: Sequence[Conform]) -> Column:
+    """Per row the silver names of the values that do not fit, in order; empty for a sound row."""
+    found = [F.when(rejected(F.col(f.source), f.type) == 1, F.lit(f.name)) for f in fields]
+    return F.filter(F.array(*found), lambda name: name.isNotNull())
+
+
 def conform_flights(df: DataFrame, rejects: str | None = None) -> DataFrame:
     return conform(df, FLIGHTS_CONFORM, rejects)
 

@@ -11,7 +11,9 @@ from strata.functions import stamp
 from strata.lake import Lake, check_topic
 from strata.sinks.layers import JobResult, write_layer
 from strata.sources.topics import read_topic, topic_summary
-from strata.workspace import delete_folder
+from strata.workspace import delete_folder, is_complete
+
+_ENDS = "partition int, end bigint"
 
 
 def messages(
@@ -39,7 +41,6 @@ def messages(
 
 def publish(df: DataFrame, lake: Lake, topic: str) -> JobResult:
     """Append messages that already carry their offsets to the file-backed log."""
-    delete_folder(df.sparkSession, lake.ends_path(topic))
     return _append(df, lake, topic)
 
 
@@ -87,25 +88,25 @@ def append_rows(df: DataFrame, lake: Lake, topic: str, nth: str) -> JobResult:
 def log_ends(spark: SparkSession, lake: Lake, topic: str) -> dict[int, int]:
     """Next offset of each partition, from the note beside the log.
 
-    Only a log that was last written by ``publish`` has none; then the log itself is asked.
+    The note goes before every append and comes back after it, so a log that was last written by
+    ``publish``, or by a job that was lost on the way, has none; then the log itself is asked.
     """
-    try:
-        rows = spark.read.parquet(lake.ends_path(topic)).collect()
+    note = lake.ends_path(topic)
+    if is_complete(spark, note):
+        rows = spark.read.schema(_ENDS).parquet(note).collect()
         return {row["partition"]: row["end"] for row in rows}
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
     summary = topic_summary(_log_or_empty(spark, lake, topic)).collect()
     return {row["partition"]: row["max_offset"] + 1 for row in summary}
 
 
 def _keep_ends(spark: SparkSession, lake: Lake, topic: str, ends: dict[int, int]) -> None:
-    rows = spark.createDataFrame(sorted(ends.items()), "partition int, end bigint")
+    rows = spark.createDataFrame(sorted(ends.items()), _ENDS)
     rows.coalesce(1).write.mode("overwrite").parquet(lake.ends_path(topic))
 
 
 def _append(df: DataFrame, lake: Lake, topic: str) -> JobResult:
     check_schema(df, TOPIC_MESSAGES)
+    delete_folder(df.sparkSession, lake.ends_path(topic))
     last = {"last": F.max("offset")}
     return write_layer(df, lake.topic_path(topic), mode="append", metrics=last)
 

@@ -36,7 +36,28 @@ def scratch_lake(spark: SparkSession, label: str) -> Lake:
     return Lake(root, re.sub(r"\W", "_", f"{label}_{root[-12:]}_"))
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Was the folder's last write finished? Spark leaves ``_SUCCESS`` behind as its last step."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder and what is in it; a missing one is fine."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under ``path``; none if it is missing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()]
+
+
+def partition_folder(spark: SparkSession, path: str, key: str, value: str) -> str:
+    """The folder that Spark gives a partition, odd characters escaped as Spark does."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path.rstrip('/')}/{escape.escapePathName(key)}={escape.escapePathName(value)}"
