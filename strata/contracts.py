@@ -47,6 +47,20 @@ FLIGHTS_BRONZE = (
     Column("ingest_ts", "timestamp"),
 )
 
+# What a source file had, before any typing.
+FLIGHTS_RAW = (
+    Column("op_unique_carrier", "string"),
+    Column("origin", "string"),
+    Column("dest", "string"),
+    Column("dep_delay_new", "string"),
+    Column("arr_delay_new", "string"),
+    Column("cancelled", "string"),
+    Column("distance", "string"),
+    Column("corrupt_record", "string"),
+    Column("source_file", "string"),
+    Column("ingest_ts", "timestamp"),
+)
+
 FLIGHTS_CONFORM = (
     Conform("op_unique_carrier", "string", "carrier"),
     Conform("origin", "string", "origin"),
@@ -114,6 +128,14 @@ TOPIC_MESSAGES = (
 
 # End of fixed values.
 
+THROUGHPUT = (
+    Column("window_start", "timestamp"),
+    Column("window_end", "timestamp"),
+    Column("event_date", "date"),
+    Column("event_count", "bigint"),
+    Column("kind", "string"),
+)
+
 
 def conformed(fields: Sequence[Conform]) -> tuple[Column, ...]:
     return tuple(Column(f.name, f.type) for f in fields)

@@ -37,5 +37,9 @@ class ChangedSource(StrataError):
     """A file that was ingested before has other content now."""
 
 
+class NoSharedFolder(StrataError):
+    """A cluster session names no folder that all its machines see."""
+
+
 class ForeignRows(StrataError):
     """Rows of other days came with those of the day to land."""

@@ -7,6 +7,7 @@ from strata.functions.columns import (
     typed,
     utc_date,
     wall_clock_stamp,
+    with_names,
     with_provenance,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "typed",
     "utc_date",
     "wall_clock_stamp",
+    "with_names",
     "with_provenance",
 ]

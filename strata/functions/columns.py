@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,19 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, names)])
 
 
+def with_names(
+    df: DataFrame, names: Mapping[str, str], constants: Mapping[str, object] | None = None
+) -> DataFrame:
+    """The columns of ``names`` (old to new) in its order, then constants; all others are left out."""
+    given = dict(constants or {})
+    missing = [old for old in names if old not in df.columns]
+    clashes = [n for n, times in Counter([*names.values(), *given]).items() if times > 1]
+    if missing or clashes:
+        raise SchemaMismatch(f"no columns {missing}; names that clash {clashes}")
+    renamed = [F.col(f"`{old}`").alias(new) for old, new in names.items()]
+    return df.select(*renamed, *[F.lit(value).alias(name) for name, value in given.items()])
+
+
 def typed(column: Column, type_name: str) -> Column:
     """Cast that gives NULL on a value that does not fit, also with ANSI mode on."""
     return column.try_cast(type_name)

@@ -15,14 +15,16 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import catalog
+from strata.contracts import THROUGHPUT, Column
 from strata.errors import StrataError
 from strata.lake import LAYERS, DatasetRef, Lake
-from strata.operators import describe, row_count
+from strata.operators import column_drift, describe, file_schemas, row_count
 from strata.plans import (
     build_all,
     build_gold,
     build_model,
     build_silver,
+    ingest_new,
     ingest_text,
     list_models,
     parse_mapping,
@@ -31,17 +33,28 @@ from strata.plans import (
 )
 from strata.plans.flights import ingest_csv
 from strata.session import build_session, object_store_conf
-from strata.sinks import produce
+from strata.sinks import compact, produce
+from strata.sinks.compaction import TARGET
 from strata.sources import (
     consume,
     list_files,
     generate_events,
     read_all_topics,
+    read_layer,
     read_topic,
     topic_summary,
 )
 
-from strata.streaming import run_available, stream_to_bronze, to_parquet
+from strata.streaming import (
+    corrected_throughput,
+    reject_report,
+    run_available,
+    run_throughput,
+    stream_files,
+    stream_to_bronze,
+    to_parquet,
+    to_silver_or_quarantine,
+)
 
 
 def _ref(a: argparse.Namespace) -> DatasetRef:
@@ -67,8 +80,39 @@ def _stream(spark: SparkSession, lake: Lake, a: argparse.Namespace) -> str:
     return target
 
 
+def _gate(spark: SparkSession, lake: Lake, a: argparse.Namespace) -> DataFrame:
+    """New bronze files to silver, rows that do not fit to quarantine; prints the reject report."""
+    ref = DatasetRef("bronze", a.project, a.name)
+    found = read_layer(spark, lake.path(ref)).schema
+    columns = [Column(f.name, f.dataType.simpleString()) for f in found]
+    bronze = stream_files(spark, lake.path(ref), columns, a.files_per_batch)
+    silver, aside = lake.path(ref.at("silver")), lake.quarantine_path(ref)
+    checkpoint = lake.checkpoint_path(f"{a.project}_{a.name}_gate")
+    fields = parse_mapping(a.column)
+    run_available(to_silver_or_quarantine(bronze, fields, silver, aside, checkpoint))
+    return reject_report(read_layer(spark, aside))
+
+
+def _throughput(spark: SparkSession, lake: Lake, a: argparse.Namespace) -> DataFrame:
+    """What a topic's log holds now to windows and corrections; prints the counts so far."""
+    target = lake.path(DatasetRef("gold", a.project, a.name))
+    log = read_topic(spark, lake, a.topic, stream=True)
+    checkpoint = lake.checkpoint_path(f"{a.project}_{a.name}_throughput")
+    run_throughput(log, target, checkpoint, time="timestamp", late_by=a.late_by, every=a.every)
+    return corrected_throughput(read_layer(spark, target, THROUGHPUT)).orderBy("window_start")
+
+
 _COMMANDS = {
-    "flights": lambda s, lake, a: run_flights(s, lake, a.source),
+    "flights": lambda s, lake, a: run_flights(
+        s, lake, a.source, resume=a.resume, check_rows=a.check_rows
+    ),
+    "ingest-new": lambda s, lake, a: ingest_new(
+        s, lake, DatasetRef("bronze", a.project, a.name), a.source
+    ),
+    "stream-silver": _gate,
+    "stream-throughput": _throughput,
+    "compact": lambda s, lake, a: compact(s, lake.path(_ref(a)), a.key, a.target_bytes),
+    "drift": lambda s, lake, a: column_drift(file_schemas(s, lake.path(_ref(a)))),
     "events": lambda s, lake, a: run_events(s, lake, generate_events(s, a.n, a.day)),
     "ingest": lambda s, lake, a: ingest_csv(
         s, lake, DatasetRef("bronze", a.project, a.name), a.source
@@ -117,7 +161,15 @@ def _parser() -> argparse.ArgumentParser:
 
     project = {"default": "demo"}
     ten = {"type": int, "default": 10}
-    add("flights", "source")
+    out = {"out": {}, "format": {"choices": ("parquet", "csv"), "default": "parquet"}}
+    yes = {"action": "store_true"}
+    add("flights", "source", resume=yes, check_rows=yes)
+    add("ingest-new", "name", "source", project=project)
+    day = {"default": "1 day"}
+    add("stream-throughput", "topic", "name", project=project, late_by=day, every=day, **out)
+    size = {"type": int, "default": TARGET}
+    add("compact", "layer", "name", project=project, key={"required": True}, target_bytes=size)
+    add("drift", "layer", "name", project=project, **out)
     add("events", n={"type": int, "default": 100}, day={})
     add("ingest", "name", "source", project=project)
     add(
@@ -133,7 +185,6 @@ def _parser() -> argparse.ArgumentParser:
         add(name, "layer", "name", project=project)
     add("sample", "layer", "name", project=project, n={"type": int})
     add("tables", "layer")
-    out = {"out": {}, "format": {"choices": ("parquet", "csv"), "default": "parquet"}}
     add("sql", "text", **out)
     for name in ("models", "build-all"):
         add(name, project=project)
@@ -141,6 +192,7 @@ def _parser() -> argparse.ArgumentParser:
     add("ingest-text", "name", "source", project=project, multi_line={"action": "store_true"})
     column = {"action": "append", "required": True, "help": "source:type:name"}
     add("silver", "name", project=project, column=column)
+    add("stream-silver", "name", project=project, column=column, files_per_batch={"type": int, "default": 1000})
     add("gold", "name", "select", project=project)
     add("stream-topic", "topic", "name", project=project)
     add("files", "prefix", **out)

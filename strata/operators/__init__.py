@@ -15,6 +15,12 @@ from strata.operators.digests import (
     require_same_rows,
     row_digests,
 )
+from strata.operators.drift import (
+    column_drift,
+    file_schemas,
+    require_one_schema,
+    schema_versions,
+)
 from strata.operators.profile import describe, null_profile, profile
 from strata.operators.quality import (
     lineage,
@@ -30,6 +36,7 @@ from strata.operators.provenance import (
     trace,
 )
 from strata.operators.ranking import rank_by, top_by
+from strata.operators.sketches import merge_profiles, profile_parts, read_profile
 from strata.operators.states import (
     merge_states,
     partial_states,
@@ -39,6 +46,13 @@ from strata.operators.states import (
 )
 
 __all__ = [
+    "column_drift",
+    "file_schemas",
+    "merge_profiles",
+    "profile_parts",
+    "read_profile",
+    "require_one_schema",
+    "schema_versions",
     "differing_buckets",
     "differing_rows",
     "gold_lineage",

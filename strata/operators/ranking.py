@@ -27,20 +27,20 @@ def rank_by(df: DataFrame, names: Mapping[str, str], ranges: int | None = None)
     and should be a stored table.
     """
     ranges = ranges or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # At most ranges - 1 numbers a column come to the driver, as fixed cuts: computed twice inside
+    # the plan they could differ and tear a range apart.
+    cuts = _cuts(df, list(names), ranges)
     ranked = df
     for column, name in names.items():
-        ranks = _ranks(df, column, name, ranges)
+        ranks = _ranks(df, column, name, cuts[column])
         match = ranked[column].eqNullSafe(ranks["_value"])
         ranked = ranked.join(ranks, match, "left").drop("_value")
     return ranked
 
 
-def _ranks(df: DataFrame, column: str, name: str, ranges: int) -> DataFrame:
+def _ranks(df: DataFrame, column: str, name: str, cuts: Sequence[object]) -> DataFrame:
     values = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
 
-    # At most ranges - 1 numbers come to the driver, as fixed cuts: computed twice inside the
-    # plan they could differ and tear a range apart.
-    cuts = _cuts(values, ranges)
     ranged = values.withColumn("_range", _range_of(F.col("_value"), cuts))
 
     # One row per range, so this window over all of them is at most ranges + 1 rows.
@@ -62,14 +62,24 @@ def _ranks(df: DataFrame, column: str, name: str, ranges: int) -> DataFrame:
     )
 
 
-def _cuts(values: DataFrame, ranges: int) -> list[object]:
-    if values.schema["_value"].dataType.simpleString() == "string":
-        known = values.where(F.col("_value").isNotNull())
-        picked = known.orderBy(F.xxhash64("_value"), "_value").limit(SAMPLE * ranges)
-        texts = sorted((r[0] for r in picked.select("_value").collect()), key=str.encode)
-        return texts[SAMPLE::SAMPLE][: ranges - 1]
-    steps = [i / ranges for i in range(1, ranges)]
-    return sorted(set(values.agg(F.percentile_approx("_value", steps)).first()[0] or []))
+def _cuts(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, list[object]]:
+    """Cut values of each column; all columns of numbers and times share one read of ``df``."""
+    kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
+    cuts: dict[str, list[object]] = {}
+    for c in columns:
+        if kinds[c] == "boolean":
+            cuts[c] = [True]
+        elif kinds[c] == "string":
+            known = df.select(F.col(c).alias("_value")).where(F.col(c).isNotNull()).distinct()
+            picked = known.orderBy(F.xxhash64("_value"), "_value").limit(SAMPLE * ranges)
+            texts = sorted((r[0] for r in picked.collect()), key=str.encode)
+            cuts[c] = texts[SAMPLE::SAMPLE][: ranges - 1]
+    rest = [c for c in columns if c not in cuts]
+    if rest:
+        steps = [i / ranges for i in range(1, ranges)]
+        found = df.agg(*[F.percentile_approx(c, steps) for c in rest]).first()
+        cuts |= {c: sorted(set(values or [])) for c, values in zip(rest, found, strict=True)}
+    return cuts
 
 
 def _range_of(value: Column, cuts: Sequence[object]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.catalog import refresh_table
 from strata.contracts import (
     CARRIER_SUMMARY,
-    FLIGHTS_BRONZE,
+    FLIGHTS_RAW,
     FLIGHTS_SILVER,
     FLIGHTS_STAGING,
     Column,
@@ -18,10 +18,18 @@ from strata.contracts import (
 )
 from strata.functions import snake_case_columns, with_provenance
 from strata.lake import DatasetRef, Lake
-from strata.operators import carrier_summary, conform_flights, reconcile, require_reconciled
+from strata.operators import (
+    carrier_summary,
+    conform_flights,
+    reconcile,
+    require_reconciled,
+    require_same_rows,
+)
 from strata.operators.conform import REJECTS
+from strata.plans.datasets import ingest_text
+from strata.plans.ledger import Ledger, listing_digest
 from strata.sinks import JobResult, write_layer
-from strata.sources import read_csv, read_layer
+from strata.sources import CORRUPT, read_csv, read_layer
 
 FLIGHTS = DatasetRef("bronze", "aviation", "flights")
 FLIGHTS_GOLD = DatasetRef("gold", "aviation", "carrier_summary")
@@ -52,6 +60,14 @@ def ingest_flights(
     return ingest_csv(spark, lake, FLIGHTS, source, FLIGHTS_STAGING, label, at)
 
 
+def land_flights(
+    spark: SparkSession, lake: Lake, source: str, label: str | None = None, at: str | None = None
+) -> JobResult:
+    """Flights as the files have them: text, so that silver sees and counts what does not fit."""
+    columns = [c.name for c in FLIGHTS_RAW if c.name not in (CORRUPT, "source_file", "ingest_ts")]
+    return ingest_text(spark, lake, FLIGHTS, source, columns, label, at)
+
+
 def build_flights_silver(spark: SparkSession, lake: Lake) -> JobResult:
     bronze, silver = lake.path(FLIGHTS), lake.path(FLIGHTS.at("silver"))
     typed = conform_flights(read_layer(spark, bronze), REJECTS)
@@ -78,21 +94,50 @@ def build_flights_gold(spark: SparkSession, lake: Lake, at: str | None = None) -
 
 def flights_report(spark: SparkSession, lake: Lake) -> DataFrame:
     return reconcile(
-        read_layer(spark, lake.path(FLIGHTS), FLIGHTS_BRONZE),
+        read_layer(spark, lake.path(FLIGHTS)),
         read_layer(spark, lake.path(FLIGHTS.at("silver")), FLIGHTS_SILVER),
         read_layer(spark, lake.path(FLIGHTS_GOLD), CARRIER_SUMMARY),
         "flight_count",
     )
 
 
+def check_flights(spark: SparkSession, lake: Lake) -> None:
+    """Row by row: silver is what conforming makes of bronze, nothing lost, doubled or changed."""
+    bronze = conform_flights(read_layer(spark, lake.path(FLIGHTS), FLIGHTS_RAW))
+    silver = read_layer(spark, lake.path(FLIGHTS.at("silver")), FLIGHTS_SILVER)
+    require_same_rows(bronze, silver, silver.columns)
+
+
 def run_flights(
-    spark: SparkSession, lake: Lake, source: str, label: str | None = None, at: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    label: str | None = None,
+    at: str | None = None,
+    resume: bool = False,
+    check_rows: bool = False,
 ) -> dict[str, JobResult]:
-    """Ingest, silver, gold and the row check, in order; an error in one stops the rest."""
-    results = {
-        "bronze": ingest_flights(spark, lake, source, label, at),
-        "silver": build_flights_silver(spark, lake),
-        "gold": build_flights_gold(spark, lake, at),
+    """Raw landing, silver, gold and the row check, in order; an error in one stops the rest.
+
+    Lines with too few or too many fields and values that do not fit are counted, as ``malformed`` of
+    bronze and ``rejects`` of silver. With ``resume`` a step that is finished, from the same files and
+    settings, is not run again. ``check_rows`` compares rows, not only their number, which reads bronze and
+    silver once more.
+    """
+    steps = {
+        "bronze": lambda: land_flights(spark, lake, source, label, at),
+        "silver": lambda: build_flights_silver(spark, lake),
+        "gold": lambda: build_flights_gold(spark, lake, at),
     }
+    if resume:
+        ledger = Ledger(spark, lake, "flights")
+        inputs = {"bronze": [listing_digest(spark, source), str(label), str(at)], "gold": [str(at)]}
+        results = {
+            name: ledger.step(name, inputs.get(name, []), action) for name, action in steps.items()
+        }
+    else:
+        results = {name: action() for name, action in steps.items()}
     require_reconciled(flights_report(spark, lake))
+    if check_rows:
+        check_flights(spark, lake)
     return results

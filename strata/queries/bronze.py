@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import snake_case_columns, with_provenance
+from strata.functions import snake_case_columns, with_names, with_provenance
 from strata.lake import DatasetRef
 from strata.operators import rows_per_key
 from strata.plans.events import EVENTS, build_events_silver, land_events
@@ -135,12 +135,8 @@ def partition_discovery_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id AS id, value, 'events' AS source, '2026-03-02' AS dt FROM events")
 def rename_and_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Renamed columns and constants beside columns of the table."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        "value",
-        F.lit("events").alias("source"),
-        F.lit("2026-03-02").alias("dt"),
-    )
+    names = {"event_id": "id", "value": "value"}
+    return with_names(table(spark, sf_dir, "events"), names, {"source": "events", "dt": "2026-03-02"})
 
 
 @query(

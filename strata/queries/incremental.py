@@ -6,21 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.contracts import FLIGHTS_CONFORM, Column
-from strata.functions import utc_date, with_provenance
+from strata.functions import with_provenance
 from strata.lake import DatasetRef
 from strata.operators import (
+    column_drift,
     conform_events,
     conform_flights,
     differing_rows,
+    file_schemas,
     gold_lineage,
     lineage,
+    merge_profiles,
+    profile_parts,
     provenance,
+    read_profile,
     require_lineage,
+    rows_per_key,
     state_deviation,
     state_mean,
 )
+from strata.operators.sketches import TRACKED
 from strata.plans.events import EVENTS, land_events
-from strata.plans.flights import FLIGHTS, FLIGHTS_GOLD
+from strata.plans.flights import FLIGHTS, FLIGHTS_GOLD, run_flights
 from strata.plans.incremental import ingest_new, merged_gold, update_states
 from strata.queries.base import (
     EVENTS_TABLE,
@@ -32,11 +39,12 @@ from strata.queries.base import (
     rounded,
     rounded_sql,
     sample_events,
+    staged_flights,
     table,
 )
 from strata.queries.checks import TEXT_FLIGHTS
-from strata.sinks import read_batches, write_layer
-from strata.sources import read_layer, read_partitioned
+from strata.sinks import compact, file_bins, read_batches, write_layer
+from strata.sources import list_files, read_layer, read_partitioned
 from strata.streaming import (
     corrected_throughput,
     run_available,
@@ -257,3 +265,152 @@ def ingest_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, lake, FLIGHTS).groupBy("batch_id", "origin").agg(
         F.count(F.lit(1)).alias("row_count")
     )
+
+
+@query(
+    """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS row_count, TRUE AS fewer_files
+FROM events GROUP BY 1
+"""
+)
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that landed in eight drops, each with files of its own, become few files again."""
+    lake = scratch_lake(spark, "compact")
+    rows, path = sample_events(spark, sf_dir), lake.path(EVENTS)
+    for k in range(8):
+        part = rows.where(F.pmod("event_id", F.lit(8)) == k)
+        write_layer(part, path, partition_by=["dt"], mode="append")
+    before = file_bins(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
+    before = {r.folder: r.n for r in before.collect()}
+    compact(spark, path, "dt")
+    after = file_bins(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("n")).collect()
+    fewer = all(r.n < before[r.folder] or before[r.folder] == 1 for r in after)
+    return rows_per_key(read_partitioned(spark, path, {"dt": "string"}), "dt").withColumn(
+        "fewer_files", F.lit(fewer)
+    )
+
+
+@query(
+    """
+WITH early AS (SELECT * FROM lineitem
+  WHERE year(l_shipdate) < (SELECT max(year(l_shipdate)) FROM lineitem)),
+long AS (
+  SELECT 'l_quantity' AS column_name, l_quantity AS v, CAST(l_quantity AS VARCHAR) AS t FROM early
+  UNION ALL SELECT 'l_suppkey', l_suppkey, CAST(l_suppkey AS VARCHAR) FROM early
+  UNION ALL SELECT 'l_returnflag', NULL, l_returnflag FROM early)
+SELECT column_name, count(*) AS row_count, count(t) AS non_null_count, min(v) AS least,
+       max(v) AS most, TRUE AS distinct_within, TRUE AS median_within, TRUE AS top_within
+FROM long GROUP BY 1
+"""
+)
+def profile_of_a_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All years but the last, profiled from stored sketches; the estimates lie within their bounds.
+
+    The exact counts beside them are what the bounds are checked against.
+    """
+    lake = scratch_lake(spark, "sketches")
+    columns = ["l_quantity", "l_suppkey", "l_returnflag"]
+    lines = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    path = f"{lake.root}/profiles"
+    write_layer(profile_parts(lines, ["year"], columns), path, partition_by=["year"])
+    last = lines.agg(F.max("year")).first()[0]
+    merged = merge_profiles(read_layer(spark, path).where(F.col("year") < last))
+    found = read_profile(merged, quantiles=[0.5], top=1)
+
+    long = lines.where(F.col("year") < last).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column_name"),
+                        F.col(c).cast("string").alias("t"),
+                        (F.lit(None) if c == "l_returnflag" else F.col(c)).cast("double").alias("v"),
+                    )
+                    for c in columns
+                ]
+            )
+        )
+    )
+    asked = found.select(
+        "column_name",
+        F.col("quantile_values")[0].alias("median"),
+        F.col("top_values")[0]["item"].alias("top"),
+    )
+    # Three rows of estimates meet all values once.
+    exact = long.join(F.broadcast(asked), "column_name").groupBy("column_name").agg(
+        F.count_distinct("t").alias("exact_distinct"),
+        F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("v") <= F.col("median")).cast("double")).alias("up_to"),
+        F.count_if(F.col("t") == F.col("top")).alias("exact_top"),
+    )
+    distinct_within = F.abs(F.col("distinct_count") - F.col("exact_distinct")) <= F.greatest(
+        F.lit(1), 0.08 * F.col("exact_distinct")
+    )
+    median_within = (F.col("below") <= 0.55) & (F.col("up_to") >= 0.45)
+    counted = F.col("top_values")[0]["count"]
+    top_within = F.abs(counted - F.col("exact_top")) <= F.col("row_count") / TRACKED
+    return found.join(exact, "column_name").select(
+        "column_name",
+        "row_count",
+        "non_null_count",
+        "least",
+        "most",
+        distinct_within.alias("distinct_within"),
+        F.coalesce(median_within, F.lit(True)).alias("median_within"),
+        top_within.alias("top_within"),
+    )
+
+
+@query(
+    """
+WITH kinds(column_name, data_type, flags, flags_without) AS (VALUES
+  ('l_orderkey', 'int64', 'ANR', ''), ('l_quantity', 'double', 'AN', ''),
+  ('l_quantity', 'string', 'R', ''), ('l_tax', 'double', 'A', 'NR'))
+SELECT column_name, data_type, count(*) AS row_count,
+       flags_without <> '' AS missing_somewhere
+FROM kinds JOIN lineitem ON contains(flags, l_returnflag) GROUP BY ALL
+"""
+)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three producers in one folder, one with text for a number, one with a column more."""
+    lake = scratch_lake(spark, "drift")
+    lines, path = table(spark, sf_dir, "lineitem"), f"{lake.root}/mixed"
+    text = F.col("l_quantity").cast("string").alias("l_quantity")
+    for flag, columns in {
+        "A": ["l_orderkey", "l_quantity", "l_tax"],
+        "N": ["l_orderkey", "l_quantity"],
+        "R": [text, "l_orderkey"],
+    }.items():
+        write_layer(lines.where(F.col("l_returnflag") == flag).select(*columns), path, mode="append")
+    found = column_drift(file_schemas(spark, path))
+    return found.select(
+        "column_name", "data_type", "row_count", (F.col("files_without") > 0).alias("missing_somewhere")
+    )
+
+
+@query("SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, TRUE AS has_bytes FROM events")
+def list_files_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file of the landing folders, by listing alone."""
+    lake = scratch_lake(spark, "listing")
+    land_events(sample_events(spark, sf_dir), lake)
+    files = list_files(spark, lake.path(EVENTS))
+    day = F.regexp_extract("file_path", "/dt=([^/]*)/", 1)
+    return files.groupBy(day.alias("dt")).agg((F.min("file_bytes") > 0).alias("has_bytes"))
+
+
+@query(
+    FLIGHTS_CTE
+    + f"""
+SELECT op_unique_carrier AS carrier, count(*) AS flight_count,
+       {rounded_sql("avg(arr_delay_new)", 6)} AS avg_arr_delay_minutes
+FROM flights GROUP BY 1
+"""
+)
+def resumed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights flow run twice: the second time every step is skipped, rows are compared too."""
+    lake = scratch_lake(spark, "resumed")
+    source = staged_flights(spark, sf_dir, lake)
+    for _ in range(2):
+        run_flights(spark, lake, source, "staging/flights", LOADED_AT, resume=True, check_rows=True)
+    gold = read_layer(spark, lake.path(FLIGHTS_GOLD))
+    return gold.select("carrier", "flight_count", rounded("avg_arr_delay_minutes", 6))

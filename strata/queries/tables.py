@@ -70,10 +70,9 @@ def table_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = register_table(spark, lake, RAW_EVENTS, location=f"{sf_dir}/events.parquet")
     found = sample(spark, lake, RAW_EVENTS)
     key = ["event_id", "ts", "user_id", "value"]
-    known = spark.table(name).select(*key, F.lit(1).alias("known")).distinct()
-    return found.join(known, key, "left").agg(
-        F.count("*").alias("n"), F.count("known").alias("of_the_table")
-    )
+    counted = found.agg(F.count("*").alias("n"))
+    known = found.join(spark.table(name).select(*key), key, "left_semi")
+    return counted.select("n", known.agg(F.count("*")).scalar().alias("of_the_table"))
 
 
 @query(

@@ -10,6 +10,8 @@ from strata.sources.files import (
 from strata.sources.generated import generate_events
 from strata.sources.topics import (
     consume,
+    consume_kafka,
+    first_ends,
     kafka_options,
     read_all_topics,
     read_kafka,
@@ -22,6 +24,8 @@ __all__ = [
     "list_files",
     "read_csv_text",
     "consume",
+    "consume_kafka",
+    "first_ends",
     "file_inventory",
     "generate_events",
     "inventory_by_partition",

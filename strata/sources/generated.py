@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import stamp
+from strata.functions import stamp, with_names
 
 
 def generate_events(
@@ -16,9 +16,4 @@ def generate_events(
         dt = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()), "yyyy-MM-dd")
     else:
         dt = F.lit(day)
-    return spark.range(n).select(
-        F.col("id").alias("event_id"),
-        stamp(at).alias("ts"),
-        F.lit(1.0).alias("value"),
-        dt.alias("dt"),
-    )
+    return with_names(spark.range(n), {"id": "event_id"}, {"ts": stamp(at), "value": 1.0, "dt": dt})

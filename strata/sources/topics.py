@@ -63,13 +63,31 @@ def read_kafka(
     return raw.select(*[F.col(c.name).cast(c.type).alias(c.name) for c in TOPIC_MESSAGES])
 
 
-def consume(log: DataFrame, n: int = 10) -> DataFrame:
+def first_ends(starts: Mapping[int, int], n: int) -> dict[int, int]:
+    """Where a bounded read of the first ``n`` messages may stop, from each partition's first offset:
+    no later message of a partition can be among them. Offsets may have gaps, so it is an upper
+    bound only for logs without (a compacted topic needs the whole range)."""
+    return {partition: start + n for partition, start in starts.items()}
+
+
+def consume_kafka(
+    spark: SparkSession, servers: str, topic: str, starts: Mapping[int, int], n: int = 10
+) -> DataFrame:
+    """First ``n`` messages of a broker topic in one bounded read: at most ``n`` per partition."""
+    log = read_kafka(spark, servers, topic, ending=first_ends(starts, n))
+    return consume(log, n, look_first=False)
+
+
+def consume(log: DataFrame, n: int = 10, look_first: bool = True) -> DataFrame:
     """First ``n`` messages in log order. Each task keeps ``n`` rows, so ``n`` is for looking.
 
     A first look at the three order columns finds the highest offset that can be among them;
-    with it the scan for whole messages skips what lies beyond.
+    with it the scan for whole messages skips what lies beyond. A source that cannot leave columns
+    unread (a broker) is read once without that look: turn ``look_first`` off.
     """
     order = ["topic", "partition", "offset"]
+    if not look_first:
+        return log.orderBy(*order).limit(n)
     last = log.select(*order).orderBy(*order).limit(n).agg(F.max("offset")).scalar()
     return log.where(F.col("offset") <= last).orderBy(*order).limit(n)
 

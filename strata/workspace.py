@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from strata.errors import NoSharedFolder
 from strata.lake import Lake
 
 _FALLBACK = "/tmp/strata-scratch"
@@ -25,9 +26,19 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         f"{scratch_root(spark)}/strata-{label}-{uuid.uuid4().hex[:12]}"
     )
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place = fs.makeQualified(path).toString()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and place.startswith("file:") and not _one_machine(spark.sparkContext.master):
+        raise NoSharedFolder(
+            "executors do not share the driver's disk: set spark.checkpoint.dir to a shared folder"
+        )
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    return fs.makeQualified(path).toString()
+    return place
+
+
+def _one_machine(master: str) -> bool:
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def scratch_lake(spark: SparkSession, label: str) -> Lake:

@@ -100,3 +100,31 @@ def test_any_dataset_by_mapping(spark, tmp_path, capsys):
     assert main(["--root", root, "stream-topic", "t", "messages"]) == 0
     assert spark.read.parquet(f"{root}/bronze/demo/messages").count() == 4
     spark.sql("DROP TABLE IF EXISTS gold.demo_total")
+
+
+def test_new_files_gate_compaction_and_drift(spark, tmp_path, capsys):
+    source, root = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    (source / "a.csv").write_text("Id,Amount\n1,10\n2,n/a\n")
+
+    def run(*arguments):
+        assert main(["--root", root, *arguments]) == 0
+        return capsys.readouterr().out
+
+    assert "rows=2" in run("ingest-new", "orders", str(source))
+    assert "rows=0" in run("ingest-new", "orders", str(source))
+    columns = ["--column", "id:bigint", "--column", "amount:double"]
+    assert run("stream-silver", "orders", *columns).splitlines() == ["|column_name|row_count|", "|amount|1|"]
+    assert "|amount|string|1|2|0|" in run("drift", "bronze", "orders")
+    for k in range(3):
+        spark.range(2).selectExpr(f"{k} AS n", "'x' AS dt").coalesce(1).write.mode("append").partitionBy(
+            "dt"
+        ).parquet(f"{root}/silver/demo/many")
+    assert run("compact", "silver", "many", "--key", "dt").strip() == "dt=x: (3, 1)"
+
+
+def test_throughput_of_a_topic(spark, tmp_path, capsys):
+    root = str(tmp_path / "lake")
+    assert main(["--root", root, "produce", "t", "--n", "5"]) == 0
+    assert main(["--root", root, "stream-throughput", "t", "counts", "--late-by", "0 seconds", "--every", "1 second"]) == 0
+    assert "|window_start|window_end|event_date|event_count|late_count|" in capsys.readouterr().out
