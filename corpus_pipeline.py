@@ -30,7 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: fingerprints of 3-word shingles that differ in
+    3 bits or fewer are linked, and of what is linked the smallest id stays (NULL ids last)."""
     return simhash.keep_one(docs)
 
 

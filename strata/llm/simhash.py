@@ -15,9 +15,7 @@ come from alternating large-star and small-star steps, each written to the share
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -42,21 +40,11 @@ def _hashes(pieces: list[bytes], seed: int = SEED) -> np.ndarray:
     return np.frombuffer(joined, ">u8").astype(np.uint64)
 
 
-def _mixed(h: np.ndarray, k: int) -> np.ndarray:
-    """Another hash of the same items for ``k`` > 0."""
-    if k == 0:
-        return h
-    x = h + np.uint64((k * 0x9E3779B97F4A7C15) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _majority(h: np.ndarray, k: int = 0) -> int:
+def _majority(h: np.ndarray) -> int:
     """The fingerprint of hashes: a bit is 1 if set in over half of them; none gives zero."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 15):
-        part = _mixed(h[at : at + (1 << 15)], k).astype(">u8").view(np.uint8).reshape(-1, 8)
+        part = h[at : at + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big")
 
@@ -87,19 +75,30 @@ def _signed(x: int) -> int:
 
 
 def fingerprints(
-    df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    size: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keyed: bool = False,
 ) -> DataFrame:
-    """``doc_id`` and the 64-bit ``fingerprint`` of every whole text; NULL and empty give zero."""
+    """``doc_id`` and the 64-bit ``fingerprint`` of every whole text; NULL and empty give zero.
+
+    ``keyed`` adds ``text_key``, a hash that tells the texts of one id apart.
+    """
+    more = [text_key(F.col(text_col)).alias("text_key")] if keyed else []
+    names = ["doc_id", "fingerprint", *(["text_key"] if keyed else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_signed(fingerprint(t, size)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fingerprint"]
+                [batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]], names=names
             )
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    rows = df.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *more
+    )
+    return rows.mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
 
 
 def cell_keys(fp: Column, table: Column | int = 0) -> Column:
@@ -281,377 +280,39 @@ def linked_documents(
     )
 
 
-# --- near-duplicates by similarity: what the pipeline uses ---------------------------------------
-
-WORDS = 8
-
-
-def bits_apart(similarity: float, bits: int = 64 * WORDS) -> int:
-    """About how many bits two majority signatures of sets with this Jaccard similarity differ in."""
-    cosine = 2 * similarity / (1 + similarity)
-    return math.floor(bits * math.acos(cosine) / math.pi)
-
-
-#: Texts in the sample that tells common shingles, most common shingles, rows of a shingle per chunk.
-SAMPLED, COMMON, _CHUNK = 10_000, 65_536, 16_384
-_SKETCH = 64 * WORDS
-_ROWS, _BLOCK = 500, 1 << 19
-
-#: Reference sketches: fixed random numbers.
-_REFERENCES = np.random.default_rng(65).integers(0, 2**64, (16, WORDS), dtype=np.uint64)
-
-
-def _runs(text: str | None, size: int) -> np.ndarray:
-    """The hashes of a text's distinct shingles, sorted."""
-    return np.unique(_hashes(shingles(words_of(text), size)))
-
-
-def _sketch(runs: np.ndarray) -> bytes:
-    """Parity of the number of shingles per bit, by nine bits of their hash.
-
-    Two sketches differ in no more bits than their sets differ in shingles.
-    """
-    odd = np.bincount((runs % _SKETCH).astype(np.int64), minlength=_SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    values = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-
-
-def _common(df: DataFrame, size: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles by a sample of texts, sorted, and their levels, higher for more common ones.
-
-    They only give the order of shingles, and any order gives exact results.
-    """
-    share = max(1, df.count() // SAMPLED)
-    text = F.col(text_col)
-    sample = df.where(F.pmod(text_key(text), F.lit(share)) == 0).select(text.alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                texts = set(batch.column(0).slice(at, _ROWS).to_pylist())
-                found = np.concatenate([_runs(t, size) for t in texts])
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["token"])
-
-    counts = sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("n"))
-    rows = counts.where("n > 1").orderBy(F.desc("n"), "token").limit(COMMON).collect()
-    tokens = np.array([r.token for r in rows], np.int64).view(np.uint64)
-    levels = np.array([r.n.bit_length() for r in rows], np.int64)
-    order = np.argsort(tokens)
-    return tokens[order], levels[order]
-
-
-def _prefix(runs: np.ndarray, common: tuple[np.ndarray, np.ndarray], share: Fraction) -> np.ndarray:
-    """The first shingles, uncommon ones first, of which similar sets have one in common."""
-    tokens, levels = common
-    level = np.zeros(len(runs), np.int64)
-    if len(tokens):
-        at = np.minimum(np.searchsorted(tokens, runs), len(tokens) - 1)
-        level = np.where(tokens[at] == runs, levels[at], 0)
-    length = len(runs) - math.ceil(share * len(runs)) + 1
-    return runs[np.argsort(level, kind="stable")][: min(length, len(runs))]
-
-
-def _needed(a: np.ndarray, b: np.ndarray, share: Fraction) -> np.ndarray:
-    """The overlap that sets of these sizes need."""
-    p, q = share.as_integer_ratio()
-    return -(-p * (a + b) // (p + q))
-
-
-def _room(a: dict, b: dict, share: Fraction) -> np.ndarray:
-    """Whether lengths and places of a common shingle leave room for the overlap."""
-    p, q = share.as_integer_ratio()
-    lengths = (q * a["n"] >= p * b["n"]) & (q * b["n"] >= p * a["n"])
-    # The common shingle met here need not be the first: those before it may be shared as well.
-    before = np.minimum(a["place"], b["place"])
-    after = np.minimum(a["n"] - a["place"], b["n"] - b["place"])
-    return lengths & (before + after >= _needed(a["n"], b["n"], share))
-
-
-def described(
-    df: DataFrame, size: int, share: Fraction, id_col: str, text_col: str
-) -> DataFrame:
-    """Per row ``row_id``, ``text_key``, ``node`` (equal for equal word sequences), ``n`` shingles,
-    their ``sketch`` and the ``prefix`` that tells candidates, empty if a row before in the same
-    task had it."""
-    common = _common(df, size, text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                nodes, sizes, sketches, prefixes = [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    words = words_of(text)
-                    nodes.append(_signed(xxhash.xxh64_intdigest(b" ".join(words), SEED)))
-                    runs = np.unique(_hashes(shingles(words, size)))
-                    sizes.append(len(runs))
-                    sketches.append(_sketch(runs))
-                    known = nodes[-1] in seen
-                    prefixes.append(runs[:0] if known else _prefix(runs, common, share))
-                    seen.add(nodes[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        batch.column(2),
-                        pa.array(nodes, pa.int64()),
-                        pa.array(sizes, pa.int32()),
-                        pa.array(sketches, pa.binary()),
-                        _lists(prefixes),
-                    ],
-                    names=["row_id", "text_key", "node", "n", "sketch", "prefix"],
-                )
-
-    text = F.col(text_col)
-    rows = df.select(
-        F.col(id_col).cast("bigint").alias("row_id"),
-        text.alias("text"),
-        text_key(text).alias("text_key"),
-    )
-    return rows.mapInArrow(
-        run,
-        "row_id bigint, text_key bigint, node bigint, n int, sketch binary, prefix array<bigint>",
-    )
-
-
-def _sharing(signed: DataFrame, share: Fraction) -> DataFrame:
-    """A row per node and prefix shingle that another node has too, with their number ``m``, and
-    ``before``: the node before, by number of shingles, if it may be similar."""
-
-    def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts)
-        got = {k: table.column(k).to_numpy() for k in ("token", "n", "node", "place")}
-        token, node = got["token"], got["node"]
-        own = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-        got = {k: v[own] for k, v in got.items()}  # equal texts in several tasks gave equal rows
-        token = got["token"]
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        m = np.diff(np.append(start, len(token)))
-        m = np.repeat(m, m)
-        got["n"], got["place"] = got["n"].astype(np.int64), got["place"].astype(np.int64)
-        last = {k: np.roll(v, 1) for k, v in got.items()}
-        near = _room(got, last, share)
-        near[start] = False
-        many = m > 1
-        before = pa.array(last["node"][many], mask=~near[many])
-        columns = [pa.array(got[k][many]) for k in ("token", "node", "n", "place")]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(m[many]), before], names=["token", "node", "n", "place", "m", "before"]
-        )
-
-    rows = signed.select("node", "n", F.posexplode("prefix").alias("place", "token"))
-    rows = rows.select("token", "n", "node", "place")
-    rows = rows.repartition(partitions(signed.sparkSession), "token")
-    rows = rows.sortWithinPartitions("token", "n", "node")
-    return rows.mapInArrow(
-        _whole_groups(found),
-        "token bigint, node bigint, n bigint, place bigint, m bigint, before bigint",
-    )
-
-
-def _largest(group: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Whether a row has the label that most rows of its group have (one of them, if several)."""
-    order = np.lexsort((label, group))
-    g, x = group[order], label[order]
-    new = np.concatenate([[True], (g[1:] != g[:-1]) | (x[1:] != x[:-1])])
-    run = np.cumsum(new) - 1
-    count, g = np.bincount(run), g[new]
-    top = np.lexsort((-count, g))
-    first = np.concatenate([[True], g[top][1:] != g[top][:-1]])
-    out = np.isin(run, top[first])
-    return out[np.argsort(order)]
-
-
-def _across(sharing: DataFrame, labels: DataFrame, share: Fraction) -> DataFrame:
-    """Pairs ``a`` > ``b`` of nodes with a prefix shingle in common that may be similar and have
-    different labels.
-
-    A shingle with many nodes is cut into chunks and every pair of chunks is one group. Pairs are
-    discarded by lengths and places, by the tables of distances to reference sketches, by sketches.
-    """
-    rows = sharing.drop("before").join(labels.select("node", "label"), "node")
-    mixed = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    rows = rows.join(mixed.where("x <> y").select("token"), "token")
-    rows = rows.join(labels.select("node", "sketch"), "node")
-    rows = rows.withColumn("chunks", F.ceil(F.col("m") / _CHUNK).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    low, high = F.least("chunk", "other"), F.greatest("chunk", "other")
-    rows = rows.select(
-        F.xxhash64("token", low, high).alias("group"),
-        (F.col("chunk") < F.col("other")).cast("byte").alias("lower"),
-        (low < high).cast("byte").alias("two"),
-        *("node", "n", "place", "label", "sketch"),
-    )
-
-    def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts)
-        names = ("group", "lower", "two", "node", "n", "place", "label")
-        all_ = {k: table.column(k).to_numpy() for k in names}
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64)
-        sketch = sketch.reshape(-1, WORDS)
-        pivot = np.stack(
-            [np.bitwise_count(sketch ^ r).sum(axis=1, dtype=np.int16) for r in _REFERENCES], axis=1
-        )
-        order = np.lexsort((all_["n"], all_["group"]))
-        all_ = {k: v[order] for k, v in all_.items()}
-        sketch, pivot = sketch[order], pivot[order]
-        group = np.cumsum(np.concatenate([[0], all_["group"][1:] != all_["group"][:-1]]))
-        largest = _largest(group, all_["label"])
-        p, q = share.as_integer_ratio()
-        # Nodes of a group's largest label need not meet each other: only the others look for partners.
-        rest = np.flatnonzero(~largest)
-        key, n = (group << 32) + all_["n"], all_["n"][rest]
-        low = np.searchsorted(key, (group[rest] << 32) - -p * n // q)
-        count = np.searchsorted(key, (group[rest] << 32) + q * n // p, "right") - low
-        ends, at, seen = np.cumsum(count), 0, [np.zeros((0, 2), np.int64)]
-        while at < len(rest):
-            upto = np.searchsorted(ends, ends[at] - count[at] + _BLOCK, "right")
-            part = slice(at, max(at + 1, upto))
-            x = np.repeat(rest[part], count[part])
-            skipped = np.repeat(ends[part] - count[part] - low[part], count[part])
-            y = np.arange(len(x)) + ends[at] - count[at] - skipped
-            near = (largest[y] | (x < y)) & (all_["label"][x] != all_["label"][y])
-            near &= (all_["two"][x] == 0) | (all_["lower"][x] != all_["lower"][y])
-            x, y = x[near], y[near]
-            near = _room(*({k: all_[k][z] for k in ("n", "place")} for z in (x, y)), share)
-            x, y = x[near], y[near]
-            n = all_["n"][x] + all_["n"][y]
-            most = n - 2 * _needed(all_["n"][x], all_["n"][y], share)
-            near = np.abs(pivot[x] - pivot[y]).max(axis=1, initial=0) <= most
-            x, y, most = x[near], y[near], most[near]
-            near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64) <= most
-            x, y = all_["node"][x[near]], all_["node"][y[near]]
-            seen.append(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1))
-            at = part.stop
-        seen = np.concatenate(seen)
-        seen = np.unique(seen, axis=0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(seen[:, 0]), pa.array(seen[:, 1])], names=["a", "b"]
-        )
-
-    rows = rows.repartition(partitions(rows.sparkSession), "group").sortWithinPartitions("group")
-    return rows.mapInArrow(_whole_groups(found), "a bigint, b bigint").distinct()
-
-
-def _close(pairs: DataFrame, nodes: DataFrame, share: Fraction) -> DataFrame:
-    """The ``pairs`` that sketches do not tell to be less similar than ``share``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, WORDS)
-                for k in ("sa", "sb")
-            )
-            n, m = (batch.column(k).to_numpy().astype(np.int64) for k in ("na", "nb"))
-            most = n + m - 2 * _needed(n, m, share)
-            near = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    one = [F.col("n").alias("na"), F.col("sketch").alias("sa")]
-    two = [F.col("n").alias("nb"), F.col("sketch").alias("sb")]
-    rows = pairs.join(nodes.select(F.col("node").alias("a"), *one), "a")
-    rows = rows.join(nodes.select(F.col("node").alias("b"), *two), "b")
-    return rows.mapInArrow(run, "a bigint, b bigint")
-
-
-def _similar(
-    pairs: DataFrame, nodes: DataFrame, df: DataFrame, size: int, share: Fraction,
-    id_col: str, text_col: str,
-) -> DataFrame:
-    """The ``pairs`` whose whole shingle sets have the Jaccard similarity ``share`` or more."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    asked = nodes.select("node", "row").join(asked.distinct(), "node")
-    asked = asked.select("node", F.col("row.row_id").alias("row_id"), F.col("row.text_key").alias("text_key"))
-    texts = df.select(
-        F.col(id_col).cast("bigint").alias("id"), text_key(F.col(text_col)).alias("key"),
-        F.col(text_col).alias("text"),
-    )
-    same = (texts["key"] == asked["text_key"]) & texts["id"].eqNullSafe(asked["row_id"])
-    texts = texts.join(asked, same).select("node", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                runs = [_runs(t, size) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(runs)], names=["node", "runs"])
-
-    sets = texts.mapInArrow(run, "node bigint, runs array<bigint>")
-    sets = sets.groupBy("node").agg(F.first("runs").alias("runs"))
-    p, q = share.as_integer_ratio()
-    enough = f"{p + q} * size(array_intersect(x, y)) >= {p} * (size(x) + size(y))"
-    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("runs").alias("x")), "a")
-    rows = rows.join(sets.select(F.col("node").alias("b"), F.col("runs").alias("y")), "b")
-    return rows.where(enough).select("a", "b")
-
-
-def similar_nodes(
-    nodes: DataFrame, sharing: DataFrame, df: DataFrame, size: int, share: Fraction,
-    id_col: str, text_col: str,
-) -> DataFrame:
-    """``node`` and ``root`` of every node with a similar one.
-
-    Nodes of a prefix shingle are first compared in a row, each with the one before. What that
-    links needs no further comparison: then all pairs across different components are compared.
-    So a group of near copies costs a few comparisons per copy, not all its pairs.
-    """
-    args = (nodes, df, size, share, id_col, text_col)
-    a, b = F.greatest("node", "before").alias("a"), F.least("node", "before").alias("b")
-    row = settle(sharing.where("before IS NOT NULL").select(a, b).distinct(), "in-a-row")
-    first = settle(_similar(settle(_close(row, nodes, share), "close"), *args), "first-links")
-    roots = components(first)
-    labels = nodes.join(roots, "node", "left").select(
-        "node", "sketch", F.coalesce("root", "node").alias("label")
-    )
-    labels = settle(labels, "labels")
-    pairs = _across(sharing, labels, share).join(row, ["a", "b"], "left_anti")
-    more = settle(_similar(settle(pairs, "across"), *args), "more-links")
-    return roots if more.isEmpty() else components(first.unionByName(more))
-
-
 def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def keep_one(
     df: DataFrame,
-    size: int = 5,
-    similarity: float = 0.8,
+    size: int = 3,
+    distance: int = DISTANCE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``df`` with one row of each group of near-duplicates, the one with the smallest id.
 
-    Two texts are near-duplicates when the Jaccard similarity of their sets of ``size``-word
-    shingles, told apart by 64 bits of their hash, is at least ``similarity``: all such pairs, and
-    no others; groups are connected components. Texts with equal words are always one group, so all
-    texts without words are. Of rows with the same smallest id one stays, of wholly equal rows too.
-    NULL ids are larger than any other. An empty table stays empty.
+    Groups are the components of ``linked_documents``: fingerprints of ``size``-word shingles that
+    differ in ``distance`` bits or fewer are linked. Texts without words are one group. Of rows with
+    the same smallest id the one with the smaller hash of its text stays, of wholly equal rows one.
+    NULL ids are larger than any other. All columns stay as they are, whatever their names. An empty
+    table stays empty.
     """
-    share = Fraction(str(similarity))
     id_, key, copies = fresh(df, "_kept_id", "_kept_text", "_copies")
-    signed = settle(described(df, size, share, id_col, text_col), "described")
-    nodes = signed.groupBy("node").agg(
-        F.first("n").alias("n"),
-        F.first("sketch").alias("sketch"),
-        F.min(F.struct("row_id", "text_key")).alias("row"),
+    prints = settle(fingerprints(df, size, id_col, text_col, keyed=True), "fingerprints")
+    nodes = prints.select(F.col("fingerprint").alias("node")).distinct()
+    nodes = settle(nodes.withColumn("fps", F.array("node")), "nodes")
+    roots = components(edges(nodes, distance))
+    rows = prints.groupBy("fingerprint", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    rows = rows.join(roots, rows["fingerprint"] == roots["node"], "left")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "n")
+    kept = rows.groupBy(F.coalesce("root", "fingerprint").alias("group")).agg(
+        F.min(order).alias("kept")
     )
-    nodes = settle(nodes, "nodes")
-    sharing = settle(_sharing(signed, share), "sharing")
-    roots = similar_nodes(nodes, sharing, df, size, share, id_col, text_col)
-    rows = signed.groupBy("node", "row_id", "text_key").agg(F.count("*").alias("n"))
-    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    order = F.struct(F.col("row_id").isNull().alias("unknown"), "row_id", "text_key", "n")
-    kept = rows.groupBy("root").agg(F.min(order).alias("kept"))
     kept = settle(
         kept.select(
-            F.col("kept.row_id").alias(id_),
+            F.col("kept.doc_id").alias(id_),
             F.col("kept.text_key").alias(key),
             F.col("kept.n").alias(copies),
         ),
