@@ -20,6 +20,9 @@ UNESCAPE = rf"([<\[])\\(?=\\*(?:{_REST}))"
 
 START, ROLE_END, END = "<|turn|>", "<|text|>", "<|end|>"
 
+#: Placeholders begin with this, so that no kind of part can spell another control string.
+PLACEHOLDER = "<|part:"
+
 #: Tokens that one unit (image tile, second of audio, page) of an attachment expands to.
 UNIT_TOKENS = {"image": 256, "audio": 25, "document": 512}
 
@@ -49,7 +52,7 @@ def text_part(text: Column) -> Column:
 def _visit(part: Column) -> Column:
     """What a part leaves in the formatted text."""
     return F.when(part["kind"] == "text", escape(part["text"])).otherwise(
-        F.concat(F.lit("<|"), escape(F.coalesce(part["kind"], F.lit("unknown"))), F.lit("|>"))
+        F.concat(F.lit(PLACEHOLDER), escape(F.coalesce(part["kind"], F.lit("unknown"))), F.lit("|>"))
     )
 
 
@@ -73,7 +76,9 @@ def format_chat(
     ``loss_spans`` are (turn, start, length) in code points of ``formatted``, one per message of
     ``learn_role``. ``attachments`` list (turn, part, kind, ref, tokens) in order. NULL text, role
     and parts count as empty; NULL turns come first, equal turns in order of role and parts;
-    repeated rows are repeated turns; NULL conversation ids form one conversation.
+    repeated rows are repeated turns; NULL conversation ids form one conversation. A part of any
+    kind (NULL is "unknown") leaves a placeholder that is no other control string. Texts of any length are
+    kept whole. An empty table gives no rows.
     """
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
     attached = F.filter(

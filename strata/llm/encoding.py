@@ -3,7 +3,8 @@
 A byte-level pre-tokenizer never joins what stands before a single space or line break with what
 follows it, nor a letter or digit with the punctuation after it. So a text whose white space is
 only single spaces and line breaks is cut there into units, each distinct unit goes to the library
-once, and the ids are put together from a table of known units. Texts with other white space go to
+once, and the ids are put together from a table of known units. Texts with other white space, or with
+the string of an added token (such as ``<|endoftext|>``, which the library gives its own id), go to
 the library whole. Both ways give the library's ids. All of it works on a batch's bytes at once.
 """
 
@@ -77,7 +78,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content.encode() for t in added if t.content]
         self._limit = limit
         self._keys = np.empty(0, np.uint64)  # hashes of known units, sorted
         self._at = np.empty(0, np.int64)  # where their ids begin
@@ -189,6 +191,16 @@ class Encoder:
             at = stop
         return np.concatenate(flat), np.concatenate(sizes)
 
+    def _added_tokens(self, data: np.ndarray) -> list[int]:
+        """Where strings of added tokens begin; one that two texts form together does no harm."""
+        raw, found = data.tobytes(), []
+        for token in self._added:
+            at = raw.find(token)
+            while at >= 0:
+                found.append(at)
+                at = raw.find(token, at + 1)
+        return found
+
     def _stretch(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begin, end = bounds[:-1], bounds[1:]
         kind = _CLASS[data]
@@ -197,6 +209,7 @@ class Encoder:
         edge[bounds] = True
         odd = kind == 8
         odd[_wide_spaces(data)] = True
+        odd[self._added_tokens(data)] = True
         odd[:-1] |= space[:-1] & (space[1:] | edge[1:-1])
         odd[-1] |= space[-1]
         odd |= space & edge[:-1]

@@ -3,8 +3,8 @@
 Documents are range-partitioned by id and encoded in that order; every ``SHARD`` tokens or so close
 a shard, which is one row of a Parquet file: the documents' ids and lengths, and the token ids as a
 grammar. Frequent id pairs are replaced by nonterminals round by round (many pairs that do not
-overlap in one round), the rules and the number of tokens each symbol expands to are stored, and a
-reader decodes only the symbols that cover the tokens asked for. A shard is built from its own
+overlap in one round, ``ROUNDS`` rounds), the rules and the number of tokens each expands to are
+stored, and a ranged reader expands only the symbols that cover the tokens asked for. A shard is built from its own
 tokens alone, so a lost executor costs its unfinished shards.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import partitions
@@ -30,7 +30,7 @@ _BUCKETS = 1 << 20
 
 SHARD_SCHEMA = (
     "part int, shard int, n_tokens bigint, terminals int, doc_ids binary, doc_nulls binary, "
-    "doc_tokens binary, rules binary, n_symbols bigint, symbols_low binary, symbols_high binary"
+    "doc_tokens binary, rules binary, rule_lengths binary, n_symbols bigint, symbols_low binary, symbols_high binary"
 )
 
 
@@ -79,36 +79,60 @@ def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS) -> tuple[np.
     return symbols, np.concatenate(rules)
 
 
-def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every symbol its length in tokens and its place in the table of all expansions."""
-    texts: list[np.ndarray] = []
+def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
+    """How many tokens each rule expands to."""
+    lengths = np.ones(terminals + len(rules), np.int64)
+    for k, (left, right) in enumerate(rules.tolist(), terminals):
+        lengths[k] = lengths[left] + lengths[right]
+    return lengths[terminals:]
+
+
+def _expanded(
+    part: np.ndarray, rules: np.ndarray, terminals: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """A table of the expansions that ``part`` needs, and where each symbol's begins in it."""
+    needed = np.zeros(len(rules), bool)
+    needed[part[part >= terminals] - terminals] = True
+    pairs = rules.tolist()
+    for k in range(len(rules) - 1, -1, -1):
+        if needed[k]:
+            for symbol in pairs[k]:
+                if symbol >= terminals:
+                    needed[symbol - terminals] = True
+    texts: dict[int, np.ndarray] = {}
 
     def text(symbol: int) -> np.ndarray:
-        if symbol < terminals:
-            return np.array([symbol], np.uint32)
-        return texts[symbol - terminals]
+        return np.array([symbol], np.uint32) if symbol < terminals else texts[symbol]
 
-    for left, right in rules:
-        texts.append(np.concatenate([text(left), text(right)]))
-    own = np.array([len(t) for t in texts], np.int64)
-    lengths = np.concatenate([np.ones(terminals, np.int64), own])
-    table = np.concatenate([np.arange(terminals, dtype=np.uint32), *texts])
-    return lengths, np.cumsum(lengths) - lengths, table
+    places, at = np.arange(terminals + len(rules)), terminals
+    for k in np.flatnonzero(needed).tolist():
+        left, right = pairs[k]
+        texts[terminals + k] = np.concatenate([text(left), text(right)])
+        places[terminals + k] = at
+        at += len(texts[terminals + k])
+    return np.concatenate([np.arange(terminals, dtype=np.uint32), *texts.values()]), places
 
 
 def decode(
-    symbols: np.ndarray, rules: np.ndarray, terminals: int, start: int = 0, count: int | None = None
+    symbols: np.ndarray,
+    rules: np.ndarray,
+    terminals: int,
+    start: int = 0,
+    count: int | None = None,
+    lengths: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Tokens ``start`` to ``start + count``; only the symbols that cover them are expanded."""
-    lengths, places, table = expansions(rules, terminals)
-    ends = np.cumsum(lengths[symbols])
+    """Tokens ``start`` to ``start + count``. With the stored ``lengths`` of the rules, only the
+    symbols that cover the tokens asked for, and the rules under them, are expanded."""
+    own = rule_lengths(rules, terminals) if lengths is None else lengths
+    sizes = np.concatenate([np.ones(terminals, np.int64), own])[symbols]
+    ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     stop = total if count is None else min(total, start + count)
     if start >= stop:
         return np.empty(0, np.uint32)
     first, last = np.searchsorted(ends, [start, stop - 1], side="right")
-    part = symbols[first : last + 1]
-    sizes = lengths[part]
+    part, sizes = symbols[first : last + 1], sizes[first : last + 1]
+    table, places = _expanded(part, rules, terminals)
     before = int(ends[first] - sizes[0])
     offsets = np.repeat(places[part] - (np.cumsum(sizes) - sizes), sizes)
     offsets += np.arange(len(offsets))
@@ -170,6 +194,7 @@ def write_ids(
                 "doc_nulls": np.packbits([i is None for i in ids]).tobytes(),
                 "doc_tokens": np.array(sizes, "<u4").tobytes(),
                 "rules": rules.astype("<u4").tobytes(),
+                "rule_lengths": rule_lengths(rules, terminals).astype("<u4").tobytes(),
                 "n_symbols": len(symbols),
                 "symbols_low": low,
                 "symbols_high": high,
@@ -200,7 +225,7 @@ def write_ids(
             ("shard", pa.int32()),
             ("n_tokens", pa.int64()),
             ("terminals", pa.int32()),
-            *[(c, pa.binary()) for c in ("doc_ids", "doc_nulls", "doc_tokens", "rules")],
+            *[(c, pa.binary()) for c in ("doc_ids", "doc_nulls", "doc_tokens", "rules", "rule_lengths")],
             ("n_symbols", pa.int64()),
             *[(c, pa.binary()) for c in ("symbols_low", "symbols_high")],
         ]
@@ -211,7 +236,57 @@ def write_ids(
     rows.mapInArrow(shards, SHARD_SCHEMA).write.option("compression", "none").parquet(path)
 
 
-def read_ids(spark, path: str) -> DataFrame:
+def _tokens(row: dict, start: int = 0, count: int | None = None) -> np.ndarray:
+    """Tokens of a shard's row."""
+    symbols = unpack(row["symbols_low"], row["symbols_high"], row["n_symbols"])
+    rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+    lengths = np.frombuffer(row["rule_lengths"], "<u4").astype(np.int64)
+    return decode(symbols, rules, row["terminals"], start, count, lengths)
+
+
+def _shard_starts(files: DataFrame) -> DataFrame:
+    """``part``, ``shard``, ``n_tokens`` and ``before``, the tokens of all shards before."""
+    order = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = files.select("part", "shard", "n_tokens").withColumn(
+        "before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))
+    )
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_before")
+    )
+    return shards.join(parts, "part").select(
+        "part", "shard", "n_tokens", (F.col("before") + F.col("part_before")).alias("before")
+    )
+
+
+def read_range(spark: SparkSession, path: str, start: int, count: int) -> DataFrame:
+    """Tokens ``start`` to ``start + count`` of all, as rows of ``start`` and ``ids``, one per shard.
+
+    Shards outside the range are not decoded, and of the others only the symbols that cover it.
+    """
+    files = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    end = F.col("before") + F.col("n_tokens")
+    asked = _shard_starts(files).where((end > start) & (F.col("before") < start + count))
+    rows = files.drop("n_tokens").join(asked, ["part", "shard"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                at = max(0, start - row["before"])
+                ids = _tokens(row, at, start + count - row["before"] - at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["before"] + at], pa.int64()),
+                        pa.array([ids], pa.list_(pa.int64())),
+                    ],
+                    names=["start", "ids"],
+                )
+
+    return rows.mapInArrow(cut, "start bigint, ids array<bigint>")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document from the files: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``.
 
     ``start`` counts the ids of all documents before it. Shards are summed within their part, parts
@@ -221,9 +296,7 @@ def read_ids(spark, path: str) -> DataFrame:
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                symbols = unpack(row["symbols_low"], row["symbols_high"], row["n_symbols"])
-                rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-                flat = decode(symbols, rules, row["terminals"]).astype("<u4", copy=False)
+                flat = _tokens(row).astype("<u4", copy=False)
                 data = memoryview(flat).cast("B")
                 sizes = np.frombuffer(row["doc_tokens"], "<u4").astype(np.int64)
                 ends = np.cumsum(sizes)
@@ -247,18 +320,7 @@ def read_ids(spark, path: str) -> DataFrame:
                 )
 
     files = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    order = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = files.select("part", "shard", "n_tokens").withColumn(
-        "before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))
-    )
-    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_before")
-    )
-    starts = shards.join(parts, "part").select(
-        "part", "shard", (F.col("before") + F.col("part_before")).alias("before")
-    )
+    starts = _shard_starts(files).drop("n_tokens")
     docs = files.mapInArrow(
         documents,
         "part int, shard int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint",

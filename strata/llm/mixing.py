@@ -95,10 +95,12 @@ def mix(
 
     Sources without a weight, NULL among them, share ``rest_weight``. NULL ids count as the empty id; rows with
     the same id and source get the same count. ``copy_col`` and ``order_col``, if named, keep the
-    number of the copy (from 0) and the hash sorted by. An empty table stays empty.
+    number of the copy (from 0) and the hash sorted by; underscores are added to a name that ``df``
+    has. An empty table stays empty.
     """
-    source, mean, draws, per, cdf, count, copy, key = fresh(
-        df, "_source", "_mean", "_draws", "_per", "_cdf", "_count", "_copy", "_key"
+    named = [c for c in (copy_col, order_col) if c]
+    source, mean, draws, per, cdf, count, copy, key, first, *named = fresh(
+        df, "_source", "_mean", "_draws", "_per", "_cdf", "_count", "_copy", "_key", "_first", *named
     )
     rate = rates(df, weights, source_col, total, rest_weight).toDF(source, mean, draws, per, cdf)
     class_ = _class(df[source_col], sorted(weights))
@@ -110,9 +112,8 @@ def mix(
             F.filter(F.col(cdf), lambda c: c <= uniform(seeded, id_, i))
         )
 
-    first = uniform(seeded, id_, F.lit(0))
-    rows = rows.withColumn("_u" + key, first)
-    single = F.size(F.filter(F.col(cdf), lambda c: c <= F.col("_u" + key)))
+    rows = rows.withColumn(first, uniform(seeded, id_, F.lit(0)))
+    single = F.size(F.filter(F.col(cdf), lambda c: c <= F.col(first)))
     several = F.aggregate(
         F.sequence(F.lit(0), F.col(draws) - 1), F.lit(0), lambda a, i: a + drawn(i)
     )
@@ -132,6 +133,7 @@ def mix(
         ),
     )
     rows = rows.repartitionByRange(partitions(df.sparkSession), key).sortWithinPartitions(key)
-    extra = [F.col(copy).cast("long").alias(copy_col)] if copy_col else []
-    extra += [F.col(key).alias(order_col)] if order_col else []
-    return rows.select(*[df[c] for c in df.columns], *extra)
+    extra = [F.col(copy).cast("long")] if copy_col else []
+    extra += [F.col(key)] if order_col else []
+    out = [c.alias(name) for c, name in zip(extra, named, strict=True)]
+    return rows.select(*[df[c] for c in df.columns], *out)

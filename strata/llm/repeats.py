@@ -213,6 +213,7 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("k1"),
         F.xxhash64(text).alias("k2"),
         text.cast("binary").alias("data"),
+        F.col(id_col).isNull().alias("unknown"),
     )
 
 
@@ -391,19 +392,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["k1", "n_bytes", "n_removed", "n_spans", "kept"],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    docs = _keyed(df, id_col, text_col)
+    keyed = _keyed(df, id_col, text_col)
+    docs = keyed.drop("unknown")
     per = marks(docs).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("start", "stop")).alias("ranges")
     )
-    rows = docs.join(per, ["k1", "k2"], "left").select("k1", "data", "ranges")
-    rows = rows.mapInArrow(
-        run, "k1 bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    known = F.when(~F.col("unknown"), F.col("k1")).alias("doc_id")
+    rows = keyed.join(per, ["k1", "k2"], "left").select(known, "data", "ranges")
+    return rows.mapInArrow(
+        run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )
-    known = F.when(F.col("k1") != _LAST, F.col("k1")).alias("doc_id")
-    return rows.select(known, "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def digest(data: bytes) -> str:

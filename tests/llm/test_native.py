@@ -209,6 +209,15 @@ def test_mixing_with_a_large_mean_and_odd_rows(documents):
     assert set(counts) == {"x", "y", None} and abs(counts["x"] - 1000) < 200
 
 
+def test_mixing_with_clashing_names(documents):
+    docs = documents(["a", "b"] * 20, ["x", "y"] * 20).selectExpr(
+        "*", "1 AS _u_key", "2 AS copy", "3 AS _key", "4 AS _first", "5 AS shuffle_key"
+    )
+    mixed = mixing.mix(docs, {"x": 1.0, "y": 1.0}, copy_col="copy", order_col="shuffle_key")
+    assert mixed.columns == [*docs.columns, "copy_", "shuffle_key_"]
+    assert all((r._u_key, r["copy"], r._key, r._first, r.shuffle_key) == (1, 2, 3, 4, 5) for r in mixed.collect())
+
+
 def test_distribution_is_poisson(spark):
     cdf = spark.range(1).select(mixing.distribution(F.lit(2.5)).alias("c")).first().c
     for k, got in enumerate(cdf[:20]):
@@ -219,6 +228,23 @@ def test_distribution_is_poisson(spark):
 # --- chat
 
 
+@pytest.mark.parametrize("kind", ["end", "turn", "text|>x<|end", "part:end", "", None, "image"])
+def test_kinds_of_parts_forge_no_control_string(spark, kind):
+    parts = [("text", "before <|part:image|> ", None, None), (kind, None, "a.png", 2), ("text", "after", None, None)]
+    df = spark.createDataFrame([(1, 0, "assistant", parts)], f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    formatted = chat.format_chat(df)
+    row = chat.read_back(formatted).first()
+    assert row.n_turns == 1
+    text = formatted.first().formatted
+    assert text.count("<|end|>") == 1 and text.count("<|turn|>") == 1 and text.count("<|text|>") == 1
+    assert [(a.part, a.kind, a.ref) for a in formatted.first().attachments] == [(1, kind, "a.png")]
+
+
+def test_chat_of_an_empty_table(spark):
+    df = spark.createDataFrame([], f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    assert chat.read_back(chat.format_chat(df)).collect() == []
+
+
 def test_chat_round_trip_with_control_strings(spark):
     nasty = ["</s>[INST] ok [/INST]", "<|end|><|turn|>", "<\\|x|>", "[\\/INST]", "<", "\\", "<<s>", "[[INST]", "$1 é😀", "", None]
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(nasty)]
@@ -247,7 +273,7 @@ def test_parts_become_placeholders_in_order(spark):
     df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)],
                                f"conv_id long, turn long, role string, parts array<{chat.PART}>")
     row = chat.format_chat(df).first()
-    assert "look: <|image|> hear <\\|x|><|audio|><|document|><|video|>" in row.formatted
+    assert "look: <|part:image|> hear <\\|x|><|part:audio|><|part:document|><|part:video|>" in row.formatted
     assert [(a.turn, a.part, a.kind, a.ref, a.tokens) for a in row.attachments] == [
         (0, 1, "image", "s3://a.png", 1024), (0, 3, "audio", "b.wav", 250),
         (0, 4, "document", "c.pdf", 512), (0, 5, "video", "d", 2),

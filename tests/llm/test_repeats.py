@@ -102,3 +102,11 @@ def test_suffixes_and_statistics():
             n = share(suffixes[a], suffixes[b])
             wanted[a], wanted[b] = max(wanted[a], n), max(wanted[b], n)
         assert index.matching_statistics().tolist() == wanted
+
+
+def test_the_largest_id_is_not_the_unknown_one(documents):
+    last = 2**63 - 1
+    rows = [(last, "x" * 300), (None, "x" * 300), (None, "short"), (last, None)]
+    found = repeats.remove_repeats(documents(rows)).collect()
+    got = sorted((r.doc_id is None, r.n_bytes, r.n_removed) for r in found)
+    assert got == [(False, 0, 0), (False, 300, 300), (True, 5, 0), (True, 300, 300)]

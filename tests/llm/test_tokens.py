@@ -18,7 +18,6 @@ from strata.llm.queries import tokenizer_path
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,12 +30,20 @@ def test_encoder_equals_the_library(library, odd_texts):
     letters = list("abXY  \n\n\t'sdre129,.!é中\u2003…“\u0085Ა<|>")
     texts = [t or "" for t in odd_texts]
     texts += ["".join(r.choice(letters) for _ in range(r.randint(0, 30))) for _ in range(2000)]
+    end = "<|endoftext|>"
+    texts += [end, end + end, f"one {end} two", f"{end} first", f"last {end}", f"glued{end}glued", "<|endof"]
+    texts += ["text|>", f"with\ttab {end}", f"{end}\n{end} ", "no <|endoftext> token"]
     small = Encoder(tokenizer_path(), limit=50)
     for encoder in (Encoder(tokenizer_path()), small):
         for _ in range(2):
             assert encoder.lists(texts) == [library(t) for t in texts]
 
 
+def test_added_tokens_have_their_own_id(library):
+    assert Encoder(tokenizer_path()).lists(["one <|endoftext|> two"]) == [[505, 220, 50256, 734]]
+    assert library("one <|endoftext|> two") == [505, 220, 50256, 734]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 40_000])
 def test_grammar_round_trip_and_random_access(n):
     r = np.random.default_rng(n)
@@ -57,6 +64,30 @@ def test_equal_ids_are_replaced_without_overlap():
     assert len(symbols) < 400 and (grammar.decode(symbols, rules, 300) == ids).all()
 
 
+@pytest.mark.parametrize("shard", [40, 1 << 21])
+def test_a_range_is_what_the_whole_has_there(spark, documents, odd_texts, library, tmp_path, shard):
+    texts = [*odd_texts, *["the same few words again"] * 30]
+    path = str(tmp_path / "ids")
+    grammar.write_ids(documents(texts), path, tokenizer_path(), shard_tokens=shard)
+    whole = [x for t in texts for x in (*library(t), 0)]
+    for start, count in [(0, 5), (len(whole) - 3, 50), (7, 400), (0, len(whole)), (len(whole), 9), (3, 0)]:
+        rows = grammar.read_range(spark, path, start, count).orderBy("start").collect()
+        assert [x for r in rows for x in r.ids] == whole[start : start + count]
+        at = start
+        for r in rows:
+            assert r.start == at
+            at += len(r.ids)
+
+
+def test_only_needed_rules_are_expanded(monkeypatch):
+    ids = np.tile(np.arange(50, dtype=np.uint32), 2000)
+    symbols, rules = grammar.compress(ids, 300)
+    lengths = grammar.rule_lengths(rules, 300)
+    assert int(lengths[symbols[symbols >= 300] - 300].sum() + (symbols < 300).sum()) == len(ids)
+    monkeypatch.setattr(grammar, "rule_lengths", None)  # stored lengths are enough
+    assert (grammar.decode(symbols, rules, 300, 999, 3, lengths) == ids[999:1002]).all()
+
+
 @pytest.mark.parametrize("shard", [50, 1 << 21])
 def test_files_give_back_every_document(spark, documents, odd_texts, library, tmp_path, shard):
     docs = documents([(1000 - 7 * i, t) for i, t in enumerate(odd_texts)] + [(None, "no id")])
