@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import partitions, settle
@@ -207,13 +207,17 @@ class RunIndex:
 _CONTEXT = "anchor bigint, body bigint, k1 bigint, k2 bigint, first int, last int"
 
 
+def _text_key(text: Column, unknown: Column) -> Column:
+    """Tells texts of one id apart, and texts without an id from those of the largest one."""
+    return F.when(unknown, F.xxhash64(text, F.lit(1))).otherwise(F.xxhash64(text))
+
+
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return df.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("k1"),
-        F.xxhash64(text).alias("k2"),
+        _text_key(text, F.col(id_col).isNull()).alias("k2"),
         text.cast("binary").alias("data"),
-        F.col(id_col).isNull().alias("unknown"),
     )
 
 
@@ -395,13 +399,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    keyed = _keyed(df, id_col, text_col)
-    docs = keyed.drop("unknown")
+    docs = _keyed(df, id_col, text_col)
     per = marks(docs).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("start", "stop")).alias("ranges")
     )
-    known = F.when(~F.col("unknown"), F.col("k1")).alias("doc_id")
-    rows = keyed.join(per, ["k1", "k2"], "left").select(known, "data", "ranges")
+    rows = docs.join(per, ["k1", "k2"], "left")
+    unknown = (F.col("k1") == _LAST) & (F.col("k2") == F.xxhash64("data", F.lit(1)))
+    rows = rows.select(F.when(~unknown, F.col("k1")).alias("doc_id"), "data", "ranges")
     return rows.mapInArrow(
         run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )
