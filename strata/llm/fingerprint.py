@@ -1,9 +1,10 @@
 """Merkle fingerprints of documents, and the likeness of two texts by their trees.
 
-A text is a list of paragraphs (lines), a paragraph a list of leaves (up to ``LEAF`` code points),
-``SECTION`` paragraphs make a section. Each inner node hashes the hashes below it. Equal roots mean
-equal texts; where roots differ, only branches with differing hashes need a look. Everything is a
-DataFrame expression.
+A text is a list of paragraphs (lines), each hashed whole; ``SECTION`` paragraphs make a section.
+Each inner node hashes the hashes below it, 128 bits wide, so equal roots mean equal texts; where
+roots differ, only branches with differing hashes need a look. Below a paragraph stand short digests
+of its pieces of up to ``LEAF`` code points, from which likeness is told and no hash is built.
+Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -28,38 +29,31 @@ def leaves(text: Column) -> Column:
     )
 
 
-def tree(leaf_digests: Column) -> Column:
-    """The fingerprint: root, sections, paragraphs and leaves, from the digests of the leaves.
+def paragraphs(text: Column) -> Column:
+    """The digest of every whole paragraph; NULL counts as the empty text."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.md5(line))
+
+
+def render(df: DataFrame, paragraph_col: str, leaf_col: str, out: str) -> DataFrame:
+    """Adds the fingerprint of the digests in ``paragraph_col`` and ``leaf_col``.
 
     ``root;section,...;paragraph,...;leaf leaf,leaf,...``: commas part paragraphs or sections,
     spaces the leaves of one paragraph.
     """
-    lines = F.transform(leaf_digests, lambda x: F.array_join(x, " "))
-    paragraphs = F.transform(lines, lambda x: F.substring(F.md5(x), 1, 16))
-    section_starts = F.sequence(F.lit(0), F.size(leaf_digests) - 1, F.lit(SECTION))
-    return F.struct(lines.alias("lines"), paragraphs.alias("paragraphs"), section_starts.alias("at"))
-
-
-def render(df: DataFrame, leaf_col: str, out: str) -> DataFrame:
-    """Adds the fingerprint of the leaf digests in ``leaf_col``."""
-    t, s = fresh(df, "_tree", "_sections")
-    df = df.withColumn(t, tree(F.col(leaf_col)))
-    paragraphs = F.col(t)["paragraphs"]
-    sections = F.transform(
-        F.col(t)["at"],
-        lambda i: F.substring(
-            F.md5(F.array_join(F.slice(paragraphs, i + 1, SECTION), ",")), 1, 16
-        ),
-    )
+    (s,) = fresh(df, "_sections")
+    own = F.col(paragraph_col)
+    starts = F.sequence(F.lit(1), F.size(own), F.lit(SECTION))
+    sections = F.transform(starts, lambda i: F.md5(F.array_join(F.slice(own, i, SECTION), ",")))
+    lines = F.transform(leaf_col, lambda x: F.array_join(x, " "))
     df = df.withColumn(s, F.array_join(sections, ","))
     fingerprint = F.concat_ws(
         ";",
         F.sha2(F.col(s), 256),
         F.col(s),
-        F.array_join(paragraphs, ","),
-        F.array_join(F.col(t)["lines"], ","),
+        F.array_join(own, ","),
+        F.array_join(lines, ","),
     )
-    return df.withColumn(out, fingerprint).drop(t, s)
+    return df.withColumn(out, fingerprint).drop(s)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -84,8 +78,10 @@ def fingerprints(df: DataFrame, text_col: str = "text", out: str = "fingerprint"
     NULL and empty texts have the tree of one empty paragraph; equal texts have equal
     fingerprints, so repeated rows have too. An empty table stays empty.
     """
-    (leaf,) = fresh(df, "_leaves")
-    return render(df.withColumn(leaf, leaves(F.col(text_col))), leaf, out).drop(leaf)
+    paragraph, leaf = fresh(df, "_paragraphs", "_leaves")
+    text = F.col(text_col)
+    rows = df.withColumns({paragraph: paragraphs(text), leaf: leaves(text)})
+    return render(rows, paragraph, leaf, out).drop(paragraph, leaf)
 
 
 def differing(old: Column, new: Column) -> Column:
@@ -104,7 +100,7 @@ def differing(old: Column, new: Column) -> Column:
         ),
         lambda i: i >= 0,
     )
-    paragraphs = F.flatten(
+    changed = F.flatten(
         F.transform(
             changed_sections,
             lambda s: F.filter(
@@ -119,7 +115,7 @@ def differing(old: Column, new: Column) -> Column:
         )
     )
     same = F.split(old, ";")[0] == F.split(new, ";")[0]
-    return F.when(same, F.array().cast("array<int>")).otherwise(paragraphs)
+    return F.when(same, F.array().cast("array<int>")).otherwise(changed)
 
 
 def with_next(
@@ -187,6 +183,8 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
+        paragraphs(F.col("text")).alias("paragraphs"),
+        paragraphs(F.col("edited")).alias("edited_paragraphs"),
         leaves(F.col("text")).alias("leaves"),
         leaves(F.col("edited")).alias("edited_leaves"),
         F.array_distinct(F.flatten(leaves(F.col("next_text")))).alias("next_set"),
@@ -202,7 +200,8 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "near_next": likeness(F.col("own_set"), F.col("next_set")),
         }
     ).drop("own_set", "edited_set", "next_set")
-    rows = render(render(rows, "leaves", "fingerprint"), "edited_leaves", "edited_fingerprint")
+    rows = render(rows, "paragraphs", "leaves", "fingerprint")
+    rows = render(rows, "edited_paragraphs", "edited_leaves", "edited_fingerprint")
     return rows.select(
         "doc_id",
         "n_chars",

@@ -64,17 +64,16 @@ n AS (SELECT d.doc_id, d.text, x.text AS next_text, length(d.text) AS n_chars
 e AS (SELECT *, substr(text, 1, n_chars - n_chars // 2)
     || substr(next_text, 1, n_chars // 2) AS edited FROM n),
 t AS (
-  SELECT doc_id, k, list_transform(string_split(v, chr(10)), lambda l: list_transform(
-    regexp_extract_all(l, '[^\n]{1,32}'), lambda p: substr(md5(p), 1, 8))) AS leaves
+  SELECT doc_id, k, list_transform(string_split(v, chr(10)), lambda l: md5(l)) AS paragraphs,
+    list_transform(string_split(v, chr(10)), lambda l: list_transform(
+      regexp_extract_all(l, '[^\n]{1,32}'), lambda p: substr(md5(p), 1, 8))) AS leaves
   FROM (SELECT doc_id, 'own' AS k, text AS v FROM e UNION ALL SELECT doc_id, 'edited', edited
     FROM e UNION ALL SELECT doc_id, 'next', next_text FROM e)),
 p AS (
   SELECT *, list_transform(leaves, lambda x: array_to_string(x, ' ')) AS lines FROM t),
-q AS (
-  SELECT *, list_transform(lines, lambda x: substr(md5(x), 1, 16)) AS paragraphs FROM p),
 s AS (
-  SELECT *, array_to_string(list_transform(range(0, len(lines), 8), lambda i: substr(md5(
-    array_to_string(list_slice(paragraphs, i + 1, i + 8), ',')), 1, 16)), ',') AS sections FROM q),
+  SELECT *, array_to_string(list_transform(range(0, len(lines), 8), lambda i: md5(
+    array_to_string(list_slice(paragraphs, i + 1, i + 8), ','))), ',') AS sections FROM p),
 f AS (
   SELECT doc_id, k, list_distinct(flatten(leaves)) AS leaf_set, sha256(sections) || ';' || sections
     || ';' || array_to_string(paragraphs, ',') || ';' || array_to_string(lines, ',') AS fp FROM s)

@@ -180,6 +180,32 @@ def test_branches_locate_edits(spark):
     assert [r["at"] for r in rows] == [[3, 17], []]
 
 
+def test_texts_with_the_same_leaf_digest_differ_in_their_roots(spark):
+    met, i = {}, 0
+    while (key := hashlib.md5(f"leaf {i}".encode()).hexdigest()[:8]) not in met:
+        met[key], i = i, i + 1
+    pair = [f"leaf {met[key]}", f"leaf {i}"]
+    df = spark.createDataFrame([(t,) for t in pair], "text string")
+    one, other = (r.fingerprint.split(";") for r in fingerprint.fingerprints(df).collect())
+    assert one[3] == other[3]
+    assert one[0] != other[0]
+
+
+def test_every_inner_node_hashes_the_nodes_below_it(spark, odd_texts):
+    texts = [*odd_texts, "\n".join(f"paragraph {i}" for i in range(20))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in fingerprint.fingerprints(df).collect():
+        root, sections, paragraphs, _ = row.fingerprint.split(";")
+        below = [hashlib.md5(p.encode()).hexdigest() for p in (row.text or "").split("\n")]
+        above = [
+            hashlib.md5(",".join(below[i : i + 8]).encode()).hexdigest()
+            for i in range(0, len(below), 8)
+        ]
+        assert paragraphs == ",".join(below)
+        assert sections == ",".join(above)
+        assert root == hashlib.sha256(",".join(above).encode()).hexdigest()
+
+
 # --- mixing
 
 
