@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -64,6 +64,17 @@ def test_equal_ids_are_replaced_without_overlap():
     assert len(symbols) < 400 and (grammar.decode(symbols, rules, 300) == ids).all()
 
 
+@pytest.mark.parametrize("repeats, least_per_symbol", [(1, 1), (40, 15), (1000, 250)])
+def test_rounds_go_on_until_no_pair_is_frequent(repeats, least_per_symbol):
+    passage = np.random.default_rng(3).integers(0, 300, 2000).astype(np.uint32)
+    ids = np.tile(passage, repeats)
+    symbols, rules = grammar.compress(ids, 300)
+    pairs = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True))
+    assert max(pairs.values()) < grammar.FREQUENT
+    assert len(ids) >= least_per_symbol * len(symbols)
+    assert (grammar.decode(symbols, rules, 300) == ids).all()
+
+
 @pytest.mark.parametrize("shard", [40, 1 << 21])
 def test_a_range_is_what_the_whole_has_there(spark, documents, odd_texts, library, tmp_path, shard):
     texts = [*odd_texts, *["the same few words again"] * 30]
