@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.contracts import Column
-from strata.functions import utc_date
+from strata.functions import utc_date, with_provenance
 from strata.lake import Lake
+from strata.operators import conform_flights
 from strata.sources import read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +79,10 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*FLIGHTS)
 
 
+def silver_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform_flights(with_provenance(flights(spark, sf_dir), "lineitem.parquet", LOADED_AT))
+
+
 def staged_flights(spark: SparkSession, sf_dir: str, lake: Lake) -> str:
     """The flights as CSV files with upper-case headers; returns their folder."""
     path = f"{lake.root}/staging/flights"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import snake_case_columns, with_names, with_provenance
 from strata.lake import DatasetRef
 from strata.operators import rows_per_key
-from strata.plans.events import EVENTS, build_events_silver, land_events
+from strata.plans.events import EVENTS, land_events
 from strata.plans.flights import FLIGHTS, ingest_csv, ingest_flights
 from strata.queries.base import (
     EVENTS_TABLE,
@@ -21,6 +21,7 @@ from strata.queries.base import (
     staged_flights,
     table,
 )
+from strata.queries.layers import conformed_events, landed_events
 from strata.sinks import land_day, write_layer
 from strata.sources import (
     file_inventory,
@@ -126,8 +127,7 @@ SELECT event_id, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt FROM events
 """
 )
 def partition_discovery_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = scratch_lake(spark, "discovery")
-    land_events(sample_events(spark, sf_dir), lake)
+    lake = landed_events(spark, sf_dir)
     found = read_partitioned(spark, lake.path(EVENTS), {"dt": "string"})
     return found.select("event_id", "value", "dt")
 
@@ -164,8 +164,7 @@ FROM events GROUP BY 1
 """
 )
 def lake_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = scratch_lake(spark, "inventory")
-    land_events(sample_events(spark, sf_dir), lake)
+    lake = landed_events(spark, sf_dir)
     files = file_inventory(spark, lake.path(EVENTS), ["dt"])
     return files.groupBy(F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(
         F.sum("row_count").alias("row_count"),
@@ -181,9 +180,7 @@ FROM events GROUP BY 1
 """
 )
 def lake_inventory_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = scratch_lake(spark, "inventory")
-    land_events(sample_events(spark, sf_dir), lake)
-    build_events_silver(spark, lake, LOADED_AT)
+    lake = conformed_events(spark, sf_dir)
     files = file_inventory(spark, lake.path(EVENTS.at("silver")), ["event_date"])
     return inventory_by_partition(files, "event_date").select(
         "event_date", "row_count", (F.col("total_bytes") > 0).alias("has_bytes")

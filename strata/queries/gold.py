@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import with_provenance
 from strata.operators import (
     carrier_summary,
     conform_events,
-    conform_flights,
     daily_event_counts,
     distinct_keys,
     rank_by,
@@ -21,11 +19,11 @@ from strata.plans.flights import FLIGHTS_GOLD, run_flights
 from strata.queries.base import (
     FLIGHTS_CTE,
     LOADED_AT,
-    flights,
     query,
     rounded,
     rounded_sql,
     sample_events,
+    silver_flights,
     staged_flights,
 )
 from strata.sinks import write_layer
@@ -48,10 +46,6 @@ FROM flights GROUP BY 1
 )
 
 
-def silver_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform_flights(with_provenance(flights(spark, sf_dir), "lineitem.parquet", LOADED_AT))
-
-
 def _rounded(summary: DataFrame) -> DataFrame:
     return summary.select(
         "carrier",

@@ -5,24 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import with_provenance
-from strata.operators import conform_events, conform_flights, null_profile, rows_per_key
-from strata.plans.events import build_events_silver, land_events
-from strata.queries.base import FLIGHTS_CTE, LOADED_AT, flights, query, sample_events
+from strata.operators import conform_events, null_profile, rows_per_key
+from strata.plans.events import EVENTS, build_events_silver, land_events
+from strata.queries.base import FLIGHTS_CTE, LOADED_AT, query, sample_events, silver_flights
+from strata.queries.layers import conformed_events
 from strata.sources import read_layer, read_partition
 from strata.workspace import scratch_lake
 
 SILVER_EVENTS = "SELECT event_id, CAST(ts AS DATE) AS event_date FROM events"
 
 
-def _silver_events_path(spark: SparkSession, sf_dir: str, label: str) -> str:
-    lake = scratch_lake(spark, label)
-    land_events(sample_events(spark, sf_dir), lake)
-    return build_events_silver(spark, lake, LOADED_AT).path
-
-
-def _silver_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform_flights(with_provenance(flights(spark, sf_dir), "lineitem.parquet", LOADED_AT))
+def _shared_silver(spark: SparkSession, sf_dir: str) -> str:
+    return conformed_events(spark, sf_dir).path(EVENTS.at("silver"))
 
 
 @query(SILVER_EVENTS)
@@ -32,7 +26,9 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SILVER_EVENTS)
 def silver_events_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _silver_events_path(spark, sf_dir, "silver")
+    lake = scratch_lake(spark, "silver")
+    land_events(sample_events(spark, sf_dir), lake)
+    path = build_events_silver(spark, lake, LOADED_AT).path
     return read_layer(spark, path).select("event_id", "event_date")
 
 
@@ -46,7 +42,7 @@ FROM flights
 """
 )
 def silver_flights_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_flights(spark, sf_dir).drop("ingest_ts")
+    return silver_flights(spark, sf_dir).drop("ingest_ts")
 
 
 @query(
@@ -64,7 +60,7 @@ FROM flights
 """
 )
 def silver_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_profile(_silver_flights(spark, sf_dir).drop("source_file", "ingest_ts"))
+    return null_profile(silver_flights(spark, sf_dir).drop("source_file", "ingest_ts"))
 
 
 @query(
@@ -72,12 +68,12 @@ def silver_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last day, found and read without opening the other days' data."""
-    path = _silver_events_path(spark, sf_dir, "pruned")
+    path = _shared_silver(spark, sf_dir)
     last_day = read_layer(spark, path).select(F.max("event_date")).scalar()
     return read_partition(spark, path, "event_date", last_day).select("event_id", "event_date")
 
 
 @query("SELECT CAST(ts AS DATE) AS event_date, count(*) AS row_count FROM events GROUP BY 1")
 def partition_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _silver_events_path(spark, sf_dir, "row_counts")
+    path = _shared_silver(spark, sf_dir)
     return rows_per_key(read_layer(spark, path), "event_date")

@@ -16,8 +16,8 @@ from strata.catalog import (
 )
 from strata.contracts import CARRIER_DELAY_SPREAD, EVENTS_SILVER, ddl
 from strata.lake import DatasetRef
-from strata.operators import profile, row_count
-from strata.plans.events import EVENTS, build_events_silver, land_events
+from strata.operators import conform_events, profile, row_count
+from strata.plans.events import EVENTS
 from strata.plans.flights import FLIGHTS
 from strata.plans.models import build_all, model_args, model_text
 from strata.queries.base import (
@@ -28,8 +28,9 @@ from strata.queries.base import (
     rounded,
     rounded_sql,
     sample_events,
+    silver_flights,
 )
-from strata.queries.gold import silver_flights
+from strata.queries.layers import conformed_events
 from strata.sinks import append_table, insert_select, land_day, write_layer
 from strata.workspace import scratch_lake
 
@@ -130,26 +131,19 @@ def register_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _silver_events(spark: SparkSession, sf_dir: str, label: str):
-    lake = scratch_lake(spark, label)
-    land_events(sample_events(spark, sf_dir), lake)
-    build_events_silver(spark, lake, LOADED_AT)
-    return lake, EVENTS.at("silver")
-
-
 @query(
     "SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1",
     name="register_partitioned_table",
 )
 def register_partitioned_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, ref = _silver_events(spark, sf_dir, "partitioned")
+    lake, ref = conformed_events(spark, sf_dir), EVENTS.at("silver")
     name = register_partitioned_table(spark, lake, ref, ["event_date"], EVENTS_SILVER)
     return spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query('SELECT CAST(0 AS BIGINT) AS "before", count(*) AS "after" FROM events')
 def partition_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, ref = _silver_events(spark, sf_dir, "sync")
+    lake, ref = conformed_events(spark, sf_dir), EVENTS.at("silver")
     name = register_partitioned_table(
         spark, lake, ref, ["event_date"], EVENTS_SILVER, sync=False
     )
@@ -189,21 +183,20 @@ FROM flights GROUP BY 1
 """
 )
 def gold_carrier_delay_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table declared by a script and filled from SQL text, twice: the rows are there once."""
+    """A table declared by a script and filled from SQL text."""
     lake = _registered_silver_flights(spark, sf_dir, "delay_sql")
     ensure_layer(spark, lake, "gold")
     ref = DatasetRef("gold", "aviation", "carrier_delay_spread")
     name, select = lake.table(ref), model_text(ref.project, ref.name)
-    for _ in range(2):
-        run_script(
-            spark,
-            f"""
-            DROP TABLE IF EXISTS {name};
-            CREATE TABLE {name} ({ddl(CARRIER_DELAY_SPREAD)})
-            USING parquet LOCATION '{lake.path(ref)}';
-            """,
-        )
-        insert_select(spark, name, select, model_args(lake, LOADED_AT))
+    run_script(
+        spark,
+        f"""
+        DROP TABLE IF EXISTS {name};
+        CREATE TABLE {name} ({ddl(CARRIER_DELAY_SPREAD)})
+        USING parquet LOCATION '{lake.path(ref)}';
+        """,
+    )
+    insert_select(spark, name, select, model_args(lake, LOADED_AT))
     delays = ("avg_arr_delay", "avg_dep_delay", "std_arr_delay", "std_dep_delay")
     return spark.table(name).select(
         "carrier", "flight_count", *[rounded(c, 6) for c in delays], "built_at"
@@ -220,8 +213,8 @@ UNION ALL SELECT 'daily_event_counts', count(DISTINCT CAST(ts AS DATE)) FROM eve
 def gold_build_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The models' row counters, as the builds report them."""
     lake = _registered_silver_flights(spark, sf_dir, "build_all")
-    land_events(sample_events(spark, sf_dir), lake)
-    build_events_silver(spark, lake, LOADED_AT)
+    days = conform_events(sample_events(spark, sf_dir), LOADED_AT)
+    write_layer(days, lake.path(EVENTS.at("silver")), partition_by=["event_date"])
     register_partitioned_table(spark, lake, EVENTS.at("silver"), ["event_date"])
     built = {
         model: result.rows

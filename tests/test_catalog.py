@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 
 from strata.catalog import (
     drop_table,
+    ensure_layer,
     list_tables,
     register_partitioned_table,
     register_table,
@@ -15,14 +16,15 @@ from strata.catalog import (
     sample,
     sync_partitions,
 )
-from strata.contracts import EVENTS_SILVER
+from strata.contracts import CARRIER_DELAY_SPREAD, EVENTS_SILVER, ddl
 from strata.errors import ModelNotFound
 from strata.lake import DatasetRef
 from strata.operators import conform_events, conform_flights
 from strata.plans import build_all, build_model, list_models
 from strata.plans.events import EVENTS
 from strata.plans.flights import FLIGHTS, build_flights_silver, ingest_flights
-from strata.sinks import land_day, write_layer
+from strata.plans.models import model_args, model_text
+from strata.sinks import insert_select, land_day, write_layer
 from strata.sources import generate_events, read_layer
 
 
@@ -135,6 +137,23 @@ def test_build_twice_leaves_rows_once(spark, built):
     assert dict(table.dtypes)["built_at"] == "timestamp_ntz"
 
 
+def test_a_script_and_its_insert_run_twice_leave_rows_once(spark, built):
+    ref = DatasetRef("gold", "aviation", "carrier_delay_spread")
+    name, select = built.table(ref), model_text(ref.project, ref.name)
+    ensure_layer(spark, built, "gold")
+    for _ in range(2):
+        run_script(
+            spark,
+            f"""
+            DROP TABLE IF EXISTS {name};
+            CREATE TABLE {name} ({ddl(CARRIER_DELAY_SPREAD)})
+            USING parquet LOCATION '{built.path(ref)}';
+            """,
+        )
+        insert_select(spark, name, select, model_args(built, "2026-03-02 00:00:00"))
+    assert spark.table(name).count() == 3
+
+
 def test_build_all_and_unknown_model(spark, built):
     results = build_all(spark, built, "aviation", "2026-03-02 00:00:00")
     assert {k: v.rows for k, v in results.items()} == {
