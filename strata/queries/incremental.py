@@ -26,7 +26,7 @@ from strata.operators import (
     state_mean,
 )
 from strata.operators.sketches import TRACKED
-from strata.plans.events import EVENTS, land_events
+from strata.plans.events import EVENTS
 from strata.plans.flights import FLIGHTS, FLIGHTS_GOLD, run_flights
 from strata.plans.incremental import ingest_new, merged_gold, update_states
 from strata.queries.base import (
@@ -43,6 +43,7 @@ from strata.queries.base import (
     table,
 )
 from strata.queries.checks import TEXT_FLIGHTS
+from strata.queries.layers import landed_events
 from strata.sinks import compact, file_bins, read_batches, write_layer
 from strata.sources import list_files, read_layer, read_partitioned
 from strata.streaming import (
@@ -77,9 +78,8 @@ def reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A doubled row is on the left once, so SQL sees it as one more on the right.
     """
-    lake = scratch_lake(spark, "rows")
-    land_events(sample_events(spark, sf_dir), lake)
-    bronze = conform_events(read_partitioned(spark, lake.path(EVENTS), {"dt": "string"}))
+    lake, landed = scratch_lake(spark, "rows"), landed_events(spark, sf_dir)
+    bronze = conform_events(read_partitioned(spark, landed.path(EVENTS), {"dt": "string"}))
     bronze = bronze.drop("ingest_ts")
     first, last = bronze.agg(F.min("event_id"), F.max("event_id")).first()
     damaged = bronze.where(F.col("event_id") > first).unionByName(
@@ -391,8 +391,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, TRUE AS has_bytes FROM events")
 def list_files_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file of the landing folders, by listing alone."""
-    lake = scratch_lake(spark, "listing")
-    land_events(sample_events(spark, sf_dir), lake)
+    lake = landed_events(spark, sf_dir)
     files = list_files(spark, lake.path(EVENTS))
     day = F.regexp_extract("file_path", "/dt=([^/]*)/", 1)
     return files.groupBy(day.alias("dt")).agg((F.min("file_bytes") > 0).alias("has_bytes"))
