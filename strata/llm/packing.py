@@ -1,29 +1,45 @@
-"""Best-fit packing of documents into sequences of a fixed number of tokens, in bulk.
-
-Documents and gaps are sorted by size. One superstep takes all documents of one size, largest
-first: a successor sweep over the gap sizes hands them to the smallest gaps that hold them, ranks
-decide who gets which gap, the gaps shrink, and the sweep repeats; what no gap holds opens new
-sequences. Documents of one size differ only in rank and gaps of one history only in number, so the
-sweep itself works on runs (size, first, count), whose number depends on the capacity and not on
-the corpus; every document then finds its place by size and rank, in parallel.
+"""Best-fit packing of documents into sequences of a fixed number of tokens, in supersteps.
+
+Documents and gaps (what is free at the end of a sequence) are tables. A superstep sorts both by size
+into ranges and sweeps upwards: documents are stacked, and a gap takes the largest one below it that
+no smaller gap took, so each gap meets its best fit and conflicts are settled by rank. What a range
+cannot match among its own rows is matched across ranges by rank, from two counts a range. Gaps
+shrink by what they took, and the next superstep follows, until no document is left.
+
+Supersteps take documents in classes, largest first, as best fit by descending size does. A gap that
+holds the best fitting size several times is offered as that many equal slots, so short documents
+need few supersteps; their number grows with the logarithm of the corpus at most. The driver sees
+counts by size (``capacity`` is their bound) and by range. Every table of a superstep is written, so
+a lost executor costs a reread.
 """
 
 from __future__ import annotations
 
-import bisect
 import zlib
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import partitions, settle
+from strata.llm.common import settle
 from strata.llm.encoding import encoder
+from strata.workspace import scratch_folder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
+#: A class reaches from the largest size left down to this share of it. Sizes over half the capacity
+#: (each needs its own sequence) are one class, and so are those up to the second share of it.
+CLASS, SMALL = 0.85, 0.25
+ROWS_PER_TASK = 500_000
+
+_DOC, _SLOT, _PLACED = 0, 1, 2
+_SWEPT = "kind int, size int, id bigint, sequence_id bigint, part int, rank bigint"
+
 
 def pieces(
     df: DataFrame,
@@ -65,96 +81,203 @@ def pieces(
     return rows.mapInArrow(cut, PIECES)
 
 
-def sweep(counts: dict[int, int], capacity: int) -> dict[int, list[tuple[int, int, int]]]:
-    """For each size its runs: (first rank, first sequence, offset), in order of rank.
+def _matched(is_slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of documents and of the slots that take them, rows being sorted by size.
 
-    ``counts`` has the number of documents of each size from 1 to ``capacity``.
+    A slot takes the document on top of the stack. With the height of the stack as level, documents
+    and slots of one level alternate, so partners are neighbours there.
     """
-    gaps: list[int] = []  # sizes of gaps that have runs, ascending
-    runs: dict[int, list[tuple[int, int]]] = {}  # gap size: (first sequence, count)
-    opened, moves = 0, {}
-
-    def put(gap: int, first: int, count: int) -> None:
-        if gap not in runs:
-            runs[gap] = []
-            bisect.insort(gaps, gap)
-        runs[gap].append((first, count))
-
-    for size in sorted(counts, reverse=True):
-        left, rank, out = counts[size], 0, []
-        while left:
-            at = bisect.bisect_left(gaps, size)
-            if at == len(gaps):
-                count = -(-left // (capacity // size))
-                put(capacity, opened, count)
-                opened += count
-                continue
-            gap = gaps[at]
-            first, count = runs[gap].pop()
-            taken = min(left, count)
-            out.append((rank, first, capacity - gap))
-            if taken < count:
-                runs[gap].append((first + taken, count - taken))
-            if not runs[gap]:
-                del runs[gap], gaps[at]
-            if gap > size:
-                put(gap - size, first, taken)
-            left, rank = left - taken, rank + taken
-        moves[size] = out
-    return moves
+    height = np.cumsum(1 - 2 * is_slot.astype(np.int64))
+    order = np.argsort(height + is_slot, kind="stable")
+    level = (height + is_slot)[order]
+    slot = is_slot[order]
+    pair = np.flatnonzero(~slot[:-1] & slot[1:] & (level[:-1] == level[1:]))
+    return order[pair], order[pair + 1]
 
 
-def ranked(df: DataFrame, buckets: int) -> DataFrame:
-    """Adds ``rank``, from 0 among the rows of one ``length``.
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range: documents placed, then documents and slots left with their rank in the range."""
+    table = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
+    if not table:
+        return
+    size, kind, ids = (np.concatenate(c) for c in zip(*table, strict=True))
+    docs, slots = _matched(kind == _SLOT)
+    sequence, rank = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+    sequence[docs] = ids[slots]
+    kind = kind.copy()
+    kind[docs] = _PLACED
+    stays = np.ones(len(ids), bool)
+    stays[slots] = False
+    for left in (_DOC, _SLOT):
+        own = (kind == left) & stays
+        rank[own] = np.arange(own.sum())
+    part = np.full(len(ids), TaskContext.get().partitionId(), np.int32)
+    columns = [kind, size, ids, sequence, part, rank]
+    names = ["kind", "size", "id", "sequence_id", "part", "rank"]
+    yield pa.RecordBatch.from_arrays([pa.array(c[stays]) for c in columns], names=names)
 
-    Rows of a length are first dealt to hashed buckets, so no length is too frequent for a task;
-    a rank is the place within the bucket after all rows of earlier buckets.
+
+def across(left: dict[int, tuple[int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Runs of partners in different ranges, from the documents and slots left in each range.
+
+    A run is (documents' range, first rank, last rank, slots' range, first rank, number of the
+    first pair); its documents are taken from the last rank downwards. There are fewer than two
+    runs a range.
     """
-    order = ["doc_id", "piece", "ids_crc32", "start"]
-    df = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    sizes = df.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    earlier = (
-        Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    sizes = sizes.select(
-        "length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    )
-    place = F.row_number().over(Window.partitionBy("length", "bucket").orderBy(*order)) - 1
-    df = df.withColumn("place", place).join(sizes, ["length", "bucket"])
-    return df.withColumn("rank", F.col("place") + F.col("before")).drop("place", "before", "bucket")
+    stack: list[tuple[int, int]] = []
+    runs, pairs = [], 0
+    for part in sorted(left):
+        docs, slots = left[part]
+        at = 0
+        while at < slots and stack:
+            below, count = stack.pop()
+            taken = min(count, slots - at)
+            runs.append((below, count - taken, count - 1, part, at, pairs))
+            at, pairs = at + taken, pairs + taken
+            if taken < count:
+                stack.append((below, count - taken))
+        if docs:
+            stack.append((part, docs))
+    return runs
+
+
+def _crossed(swept: DataFrame, runs: list[tuple[int, int, int, int, int, int]]) -> DataFrame:
+    """Documents placed across ranges. Only the runs, two a range at most, are broadcast."""
+    spark = swept.sparkSession
+    docs = [(p, lo, hi, pair + hi, -1) for p, lo, hi, _, _, pair in runs]
+    slots = [(p, at, at + hi - lo, pair - at, 1) for _, lo, hi, p, at, pair in runs]
+
+    def numbered(kind: int, spans: list[tuple[int, int, int, int, int]]) -> DataFrame:
+        table = spark.createDataFrame(spans, "p int, lo bigint, hi bigint, base bigint, way int")
+        inside = F.expr("part = p AND rank BETWEEN lo AND hi")
+        rows = swept.where(F.col("kind") == kind).join(F.broadcast(table), inside)
+        return rows.withColumn("pair", F.expr("base + way * rank"))
+
+    taken = numbered(_SLOT, slots).select("pair", F.col("id").alias("sequence_id"))
+    rows = numbered(_DOC, docs).drop("sequence_id").join(taken, "pair")
+    return rows.withColumn("kind", F.lit(_PLACED)).select(*swept.columns)
+
+
+def _counts(df: DataFrame, *columns: str) -> Counter:
+    """Rows by ``columns``; bounded by the number of sizes and ranges."""
+    return Counter({tuple(r)[:-1]: r[-1] for r in df.groupBy(*columns).count().collect()})
+
 
+def _slots_per_gap(sizes: list[int], capacity: int) -> list[int]:
+    """For each size of a gap, how often the largest of ``sizes`` that fits goes into it."""
+    fits = [bisect_right(sizes, gap) for gap in range(capacity + 1)]
+    return [gap // sizes[k - 1] if k else 0 for gap, k in enumerate(fits)]
 
-def pack(parts: DataFrame, capacity: int = 1024) -> DataFrame:
+
+def _new_sequences(counts: Counter, sizes: list[int], capacity: int) -> int:
+    """At least so many sequences hold all documents of a class."""
+    tokens = sum(s * counts[s] for s in sizes)
+    return max(-(-tokens // capacity), sum(counts[s] for s in sizes if 2 * s > capacity))
+
+
+def _class(largest: int, capacity: int) -> int:
+    """The smallest size that is in one class with ``largest``, the largest size left."""
+    if 2 * largest > capacity:
+        return capacity // 2 + 1
+    return max(1, int(CLASS * largest)) if largest > SMALL * capacity else 1
+
+
+def _gaps(spark: SparkSession, first: int, count: int, capacity: int, tasks: int = 1) -> DataFrame:
+    new = spark.range(first, first + count, numPartitions=tasks)
+    return new.select(F.col("id").alias("sequence_id"), F.lit(capacity).alias("free"))
+
+
+def pack(
+    parts: DataFrame, capacity: int = 1024, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """``parts`` (as from ``pieces``) with ``sequence_id`` and gapless ``offset``.
 
-    Equal rows are packed each for itself. An empty table stays empty.
+    Equal rows are packed each for itself. An empty table stays empty. ``rows_per_task`` is about
+    how many documents and slots a range of a superstep has.
     """
-    parts = settle(parts, "pieces")
     spark = parts.sparkSession
-    counts = {r[0]: r[1] for r in parts.groupBy("length").agg(F.count("*")).collect()}
-    moves = {
-        size: tuple(np.array(c, np.int64) for c in zip(*runs, strict=True))
-        for size, runs in sweep(counts, capacity).items()
-    }
+    parts = settle(parts.withColumn("id", F.monotonically_increasing_id()), "pieces")
+    size = F.col("length").cast("int").alias("size")
+    docs = settle(
+        parts.select(size, "id").repartitionByRange("size", "id").sortWithinPartitions("size"),
+        "sizes",
+    )
+    folder = scratch_folder(spark, "supersteps")
+    written: list[str] = []
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length = batch.column(batch.schema.get_field_index("length")).to_numpy()
-            rank = batch.column(batch.schema.get_field_index("rank")).to_numpy()
-            sequence, offset = np.empty_like(rank), np.empty_like(rank)
-            for size in np.unique(length):
-                own = length == size
-                ranks, firsts, offsets = moves[int(size)]
-                run = np.searchsorted(ranks, rank[own], side="right") - 1
-                sequence[own] = firsts[run] + rank[own] - ranks[run]
-                offset[own] = offsets[run]
-            columns = [batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sequence), pa.array(offset)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    rows = ranked(parts, 4 * partitions(spark)).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("bigint")
-    )
-    return rows.mapInArrow(place, PIECES + ", sequence_id bigint, offset bigint")
+    counts = Counter({s: n for (s,), n in _counts(docs, "size").items()})
+    opened, step, reached = 0, 0, capacity + 1
+    left = docs.limit(0)  # documents of the class that found no gap yet
+    gaps = _gaps(spark, 0, 0, capacity)
+    free: Counter = Counter()
+    while counts:
+        low = _class(max(counts), capacity)
+        sizes = sorted(s for s in counts if s >= low)
+        if not any(gap >= sizes[0] for gap in free):
+            new = _new_sequences(counts, sizes, capacity)
+            tasks = -(-new // rows_per_task)
+            gaps = gaps.unionByName(_gaps(spark, opened, new, capacity, tasks))
+            free[capacity] += new
+            opened += new
+        times = _slots_per_gap(sizes, capacity)
+        rows = sum(counts[s] for s in sizes) + sum(n * times[gap] for gap, n in free.items())
+
+        own = left.unionByName(docs.where(F.col("size").between(low, reached - 1)))
+        number = F.get(F.expr(f"array({', '.join(map(str, times))})"), F.col("free"))
+        slots = gaps.withColumn("n", number).where("n > 0")
+        slots = slots.withColumn("slot", F.explode(F.sequence(F.lit(1), "n")))
+        slots = slots.select(
+            F.expr("free div n").cast("int").alias("size"),
+            F.lit(_SLOT).alias("kind"),
+            F.col("sequence_id").alias("id"),
+        )
+        both = own.select("size", F.lit(_DOC).alias("kind"), "id").unionByName(slots)
+        order = ["size", "kind", "id"]
+        ranges = both.repartitionByRange(-(-rows // rows_per_task), *order)
+        swept = ranges.sortWithinPartitions(*order).mapInArrow(_sweep, _SWEPT)
+        swept = write(swept, f"swept-{step}")
+        written.append(f"{folder}/swept-{step}")
+
+        found = _counts(swept, "kind", "part", "size")
+        rest: dict[int, list[int]] = {}
+        for (kind, part, _), n in found.items():
+            if kind != _PLACED:
+                rest.setdefault(part, [0, 0])[kind] += n
+        runs = across({part: (d, s) for part, (d, s) in rest.items()})
+        placed = swept.where(F.col("kind") == _PLACED)
+        left = swept.where(F.col("kind") == _DOC).select("size", "id")
+        gone = Counter()
+        for (kind, _, s), n in found.items():
+            gone[s] += n if kind == _PLACED else 0
+        if runs:
+            crossed = write(_crossed(swept, runs), f"crossed-{step}")
+            written.append(f"{folder}/crossed-{step}")
+            placed = placed.unionByName(crossed)
+            left = left.join(crossed.select("id"), "id", "left_anti").select("size", "id")
+            gone += Counter({s: n for (s,), n in _counts(crossed, "size").items()})
+        counts -= gone
+        reached = low
+
+        if counts:
+            taken = placed.select("sequence_id", (-F.col("size")).alias("free"))
+            gaps = gaps.unionByName(taken).groupBy("sequence_id")
+            gaps = gaps.agg(F.sum("free").cast("int").alias("free"))
+            gaps = write(gaps.where(F.col("free") >= min(counts)), f"gaps-{step}")
+            free = Counter({g: n for (g,), n in _counts(gaps, "free").items()})
+        step += 1
+
+    placed = spark.createDataFrame([], _SWEPT)
+    if written:
+        placed = spark.read.schema(_SWEPT).parquet(*written).where(F.col("kind") == _PLACED)
+    rows = parts.join(placed.select("id", "sequence_id"), "id")
+    # A sequence has at most ``capacity`` documents.
+    inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "id")
+    before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    offset = F.coalesce(before, F.lit(0)).alias("offset")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id"]
+    return rows.select(*columns, offset)

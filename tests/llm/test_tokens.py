@@ -144,25 +144,58 @@ def test_pieces_are_packed_without_gap_or_loss(documents, odd_texts, library):
     assert len(by_sequence) <= least + 2
 
 
-def test_sweep_is_best_fit_decreasing():
+def best_fit_decreasing(sizes, capacity):
+    gaps: list[int] = []
+    for s in sorted(sizes, reverse=True):
+        fit = [g for g in gaps if g >= s]
+        if fit:
+            gaps.remove(min(fit))
+        gaps.append((min(fit) if fit else capacity) - s)
+    return len(gaps)
+
+
+def of_sizes(spark, sizes):
+    rows = [(i, 0, 0, s, i) for i, s in enumerate(sizes)]
+    return spark.createDataFrame(rows, packing.PIECES)
+
+
+@pytest.mark.parametrize("rows_per_task", [40, packing.ROWS_PER_TASK])
+@pytest.mark.parametrize("kind", ["any", "short", "hot"])
+def test_supersteps_need_no_more_sequences_than_best_fit(spark, kind, rows_per_task):
     r = random.Random(5)
-    for _ in range(30):
-        sizes = sorted((r.randint(1, 40) for _ in range(300)), reverse=True)
-        gaps: list[int] = []
-        for s in sizes:
-            fit = [g for g in gaps if g >= s]
-            if fit:
-                gaps.remove(min(fit))
-                gaps.append(min(fit) - s)
-            else:
-                gaps.append(40 - s)
-        counts = defaultdict(int)
-        for s in sizes:
-            counts[s] += 1
-        moves = packing.sweep(counts, 40)
-        used = set()
-        for s, runs in moves.items():
-            ends = [rank for rank, _, _ in runs[1:]] + [counts[s]]
-            for (rank, first, _), end in zip(runs, ends, strict=True):
-                used |= set(range(first, first + end - rank))
-        assert len(used) <= len(gaps) + 1
+    top = {"any": 40, "short": 6, "hot": 40}[kind]
+    sizes = [r.randint(1, top) for _ in range(300)]
+    if kind == "hot":
+        sizes[:150] = [13] * 150
+    rows = packing.pack(of_sizes(spark, sizes), 40, rows_per_task).collect()
+    assert sorted((row.doc_id, row.length) for row in rows) == list(enumerate(sizes))
+    used = defaultdict(list)
+    for row in rows:
+        used[row.sequence_id].append((row.offset, row.length))
+    for places in used.values():
+        places.sort()
+        ends = [0, *(offset + length for offset, length in places)]
+        assert [offset for offset, _ in places] == ends[:-1] and ends[-1] <= 40
+    assert len(used) <= best_fit_decreasing(sizes, 40) + 1
+
+
+def test_a_gap_takes_the_largest_document_below_it():
+    size = np.array([1, 3, 3, 4, 5, 5, 6, 9])
+    slot = np.array([0, 0, 1, 0, 0, 1, 1, 1], bool)
+    docs, slots = packing._matched(slot)
+    taken = {int(size[s]): int(size[d]) for d, s in zip(docs, slots, strict=True)}
+    assert taken == {3: 3, 5: 5, 6: 4, 9: 1}
+
+
+def test_ranges_hand_on_what_they_could_not_match():
+    left = {0: (5, 0), 1: (2, 3), 3: (0, 3)}  # documents and slots left
+    runs = packing.across(left)
+    pairs = {}
+    for part, lo, hi, other, at, first in runs:
+        count = hi - lo + 1
+        for j in range(count):
+            pairs[other, at + j] = (part, hi - j, first + j)
+    assert pairs == {
+        (1, 0): (0, 4, 0), (1, 1): (0, 3, 1), (1, 2): (0, 2, 2),
+        (3, 0): (1, 1, 3), (3, 1): (1, 0, 4), (3, 2): (0, 1, 5),
+    }
