@@ -34,7 +34,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 #: A class reaches from the largest size left down to this share of it. Sizes over half the capacity
 #: (each needs its own sequence) are one class, and so are those up to the second share of it.
-CLASS, SMALL = 0.85, 0.25
+CLASS, SMALL = 0.5, 1 / 3
 ROWS_PER_TASK = 500_000
 
 _DOC, _SLOT, _PLACED = 0, 1, 2
