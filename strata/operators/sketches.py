@@ -3,8 +3,8 @@
 A part's profile is a few kilobytes per column, whatever its rows. It is stored once and merged for
 any selection of parts, without a look at the data. Estimates keep the sketches' bounds however
 often they are merged: distinct values within about 1.6 % (one standard error, ``lg_k`` 12), ranks of
-quantiles within about 1.7 % (``k`` 200), a frequent value's count short of the truth by no more than
-rows / tracked values.
+quantiles within about 1.7 % (``k`` 200), a frequent value's count within ``TOP_ERROR`` times the rows.
+A value that is more frequent than twice that is listed; where none is, ``top_values`` is empty.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LG_K, K, TRACKED = 12, 200, 1024
+#: The sketch keeps a table of the next power of two above ``TRACKED`` / 0.75 and errs by 3.5 parts of it.
+TOP_ERROR = 3.5 / 2048
 
 
 def _column_profile(name: str, kind: T.DataType) -> Column:
@@ -76,7 +78,7 @@ def read_profile(
     top: int = 5,
 ) -> DataFrame:
     """What the sketches say: ``distinct_count``, ``quantile_values`` (NULL unless numbers were
-    seen) and ``top_values`` (value and count, most frequent first)."""
+    seen) and ``top_values`` (value and count, most frequent first; none frequent: empty)."""
     asked = F.array(*[F.lit(float(q)) for q in quantiles])
     seen = F.col("least").isNotNull()
     return profiles.select(

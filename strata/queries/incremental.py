@@ -25,7 +25,7 @@ from strata.operators import (
     state_deviation,
     state_mean,
 )
-from strata.operators.sketches import TRACKED
+from strata.operators.sketches import TOP_ERROR
 from strata.plans.events import EVENTS
 from strata.plans.flights import FLIGHTS, FLIGHTS_GOLD, run_flights
 from strata.plans.incremental import ingest_new, merged_gold, update_states
@@ -334,21 +334,32 @@ def profile_of_a_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = found.select(
         "column_name",
         F.col("quantile_values")[0].alias("median"),
-        F.col("top_values")[0]["item"].alias("top"),
+        F.get("top_values", F.lit(0))["item"].alias("top"),
     )
-    # Three rows of estimates meet all values once.
-    exact = long.join(F.broadcast(asked), "column_name").groupBy("column_name").agg(
-        F.count_distinct("t").alias("exact_distinct"),
-        F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"),
-        F.avg((F.col("v") <= F.col("median")).cast("double")).alias("up_to"),
-        F.count_if(F.col("t") == F.col("top")).alias("exact_top"),
+    # Three rows of estimates meet every distinct value once.
+    values = long.groupBy("column_name", "t", "v").agg(F.count(F.lit(1)).alias("n"))
+    numbers = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
+
+    def share(condition):
+        return F.sum(F.when(condition, F.col("n")).otherwise(0)) / numbers
+
+    exact = values.join(F.broadcast(asked), "column_name").groupBy("column_name").agg(
+        F.count("t").alias("exact_distinct"),
+        share(F.col("v") < F.col("median")).alias("below"),
+        share(F.col("v") <= F.col("median")).alias("up_to"),
+        F.sum(F.when(F.col("t") == F.col("top"), F.col("n"))).alias("exact_top"),
+        F.max(F.when(F.col("t").isNotNull(), F.col("n")).otherwise(0)).alias("most_often"),
     )
     distinct_within = F.abs(F.col("distinct_count") - F.col("exact_distinct")) <= F.greatest(
         F.lit(1), 0.08 * F.col("exact_distinct")
     )
     median_within = (F.col("below") <= 0.55) & (F.col("up_to") >= 0.45)
-    counted = F.col("top_values")[0]["count"]
-    top_within = F.abs(counted - F.col("exact_top")) <= F.col("row_count") / TRACKED
+    # Where no value is frequent enough to be listed, the most frequent one must be below that.
+    bound = TOP_ERROR * F.col("row_count")
+    counted = F.get("top_values", F.lit(0))["count"]
+    top_within = F.when(counted.isNull(), F.col("most_often") <= 2 * bound).otherwise(
+        F.abs(counted - F.coalesce("exact_top", F.lit(0))) <= bound
+    )
     return found.join(exact, "column_name").select(
         "column_name",
         "row_count",

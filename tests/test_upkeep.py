@@ -15,6 +15,7 @@ from strata.operators import (
     require_one_schema,
     schema_versions,
 )
+from strata.queries import QUERIES
 from strata.sinks import compact, compaction, crowded_folders, file_bins, messages, recover, write_layer
 from strata.sources import consume, first_ends, kafka_options, read_layer, read_partitioned
 from tests.conftest import plan_of
@@ -120,6 +121,20 @@ def profiled(spark):
     return spark.createDataFrame(rows, "day string, n int, w string, x double")
 
 
+def test_profile_of_a_range_without_a_frequent_value(spark, tmp_path):
+    lines = spark.range(12000).selectExpr(
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "id % 6000 AS l_suppkey",
+        "CASE WHEN id % 3 > 0 THEN 'R' END AS l_returnflag",
+        "make_date(1990 + CAST(id DIV 9000 AS INT), 1, 1) AS l_shipdate",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    listed = read_profile(merge_profiles(profile_parts(lines, [], ["l_suppkey"])), top=1).first()
+    assert listed.top_values == []
+    found = {r.column_name: r for r in QUERIES["profile_of_a_range"](spark, str(tmp_path)).collect()}
+    assert sorted(found) == ["l_quantity", "l_returnflag", "l_suppkey"]
+    assert all(r.row_count == 9000 and r.top_within and r.median_within for r in found.values())
+
+
 def test_merged_profiles_equal_one_scan(spark, tmp_path):
     df, path = profiled(spark), str(tmp_path / "p")
     write_layer(profile_parts(df, ["day"]), path, partition_by=["day"])
