@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, any_of, fresh, settle
 
-RARITY_BITS, LEVELS = 15, (4, 32, 256)
+RARITY_BITS, LEVELS = 15, (2, 4, 8, 16, 64, 256, 1024)
 
 _KEYS = ["k1", "k2"]
 _LAST = 2**63 - 1
@@ -28,60 +28,72 @@ _LAST = 2**63 - 1
 def _keys(df: DataFrame, id_col: str, text_col: str, unique: bool) -> list[Column]:
     """``k1`` and ``k2``: rows equal in both are one document repeated.
 
-    ``k2`` tells texts with the same id apart, and is empty where no id comes twice.
+    ``k2`` tells texts with the same id apart. Where no id comes twice it is only the sign of
+    ``k1``: a literal would drop out of some exchanges, and rows would be dealt again to match.
     """
     text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return [
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("k1"),
-        (F.lit(0).cast("bigint") if unique else text).alias("k2"),
-    ]
+    k1 = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
+    return [k1.alias("k1"), (F.shiftright(k1, 63) if unique else text).alias("k2")]
 
 
 def has_word(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \t\x0b\x0c\r\n")) != ""
+    return F.ltrim(line, F.lit(" \t\x0b\x0c\r\n")) != ""
 
 
 def line_words(line: Column) -> Column:
-    """Words of a line; the common case of plain spaces takes the splitter's short way."""
+    """Words of a line, and empty texts among them; plain spaces take the splitter's short way."""
     other = any_of([F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])
-    spaced = F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line)
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.split(F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line), " ")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Two bits per word hash, packed: how frequent words of that hash are in all texts.
+    """How frequent words of a hash are in all texts: eight levels, four bits each, packed.
 
-    Counts go by ``RARITY_BITS`` bits of the hash; the levels are ranks among these counts. A table
-    of a few kilobytes, whatever the vocabulary. Any order of words gives exact results.
+    Counts go by the last ``RARITY_BITS`` bits of the hash; the levels are ranks among these
+    counts. A table of 16 kilobytes, whatever the vocabulary. Any order of words gives exact results.
     """
     size = 1 << RARITY_BITS
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("bucket")
     counts = words.groupBy(bucket).agg(F.count("*").alias("n"))
-    cells = [0] * (size // 32)
+    levels = [0] * size
     for rank, row in enumerate(counts.orderBy(F.desc("n"), "bucket").collect()):
-        level = sum(rank < size // share for share in LEVELS)
-        cells[row.bucket >> 5] |= level << 2 * (row.bucket & 31)
-    return F.array(*[F.lit(c - 2**64 if c >> 63 else c).cast("bigint") for c in cells])
+        levels[row.bucket] = sum(rank < size // share for share in LEVELS)
+    cells = [0] * (size // 16)
+    for bucket_of, level in enumerate(levels):
+        # As the top bits of a signed number, so the rarest level is the negative one.
+        cells[bucket_of % len(cells)] |= (level + 4) % 8 << 4 * (bucket_of // len(cells))
+    packed = ",".join(str(c - 2**64 if c >> 63 else c) for c in cells)
+    return F.split(F.lit(packed), ",").cast("array<bigint>")
 
 
 def _ordered(hashes: Column, frequency: Column) -> Column:
-    """Distinct words as numbers, rare ones first: the level above, 61 bits of the hash below."""
+    """Words as numbers, rare ones first: three bits of level above, 61 bits of the hash below.
+
+    Every operation here is done once a word, so they are as few as can be.
+    """
+    index_bits = RARITY_BITS - 4
 
     def number(h: Column) -> Column:
-        cell = F.shiftright(h, 5).bitwiseAND(F.lit((1 << RARITY_BITS - 5) - 1)).cast("int")
-        place = F.shiftleft(h.bitwiseAND(F.lit(31)).cast("int"), 1)
-        level = F.call_function("shiftright", F.get(frequency, cell), place).bitwiseAND(F.lit(3))
+        cell = F.get(frequency, h.bitwiseAND(F.lit((1 << index_bits) - 1)).cast("int"))
+        place = F.shiftright(h, index_bits - 2).bitwiseAND(F.lit(60)).cast("int")
+        level = F.call_function("shiftright", F.coalesce(cell, F.lit(0)), place)
         return F.shiftleft(level, 61).bitwiseOR(F.shiftrightunsigned(h, 3))
 
-    return F.sort_array(F.transform(F.array_distinct(hashes), number))
+    return F.sort_array(F.transform(hashes, number))
 
 
 def _tokens(lines: DataFrame, frequency: Column) -> DataFrame:
-    """``line`` replaced by its ordered ``tokens`` and their number ``n``."""
-    lines = lines.withColumn("words", line_words(F.col("line")))
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    lines = lines.withColumn("tokens", _ordered(hashes, frequency)).drop("words", "line")
+    """``line`` replaced by its ordered ``tokens``, each once, and their number ``n``.
+
+    Neither they nor what is made of them may be NULL by type: Spark would push a test for that
+    down to the texts, and split and hash every line once more for each such column.
+    """
+    hashes = F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w))
+    hashes = F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
+    none = F.array().cast("array<bigint>")
+    tokens = F.coalesce(_ordered(hashes, frequency), none)
+    lines = lines.withColumn("tokens", tokens).drop("line")
     return lines.withColumn("n", F.size("tokens"))
 
 
@@ -92,10 +104,11 @@ def _sketch(tokens: Column, shift: int = 0) -> Column:
     """
 
     def bit(t: Column) -> Column:
-        place = F.shiftright(t, shift).bitwiseAND(F.lit(63)).cast("int")
+        place = (F.shiftright(t, shift) if shift else t).bitwiseAND(F.lit(63)).cast("int")
         return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
 
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
+    zero = F.lit(0).cast("bigint")
+    return F.coalesce(F.aggregate(tokens, zero, lambda a, t: a.bitwiseXOR(bit(t))), zero)
 
 
 def _wide_sketches(tokens: Column) -> list[Column]:
@@ -140,10 +153,18 @@ def _hits(rows: DataFrame) -> DataFrame:
 
 
 def _with_texts(docs: DataFrame, picked: DataFrame, numbers: Column) -> DataFrame:
-    """``picked`` (a row per document) with a row for each line number in ``numbers``."""
+    """``picked`` (a row per document) with a row for each line number in ``numbers``.
+
+    Lines are taken out before rows are made, so that no row carries the whole text.
+    """
     rows = docs.join(picked.hint("shuffle_hash"), _KEYS).withColumn("all", F.split("text", "\n"))
-    rows = rows.withColumn("at", F.explode(numbers))
-    return rows.withColumn("line", F.get("all", F.col("at"))).drop("text", "all")
+    # A second use of the split text keeps Spark from splitting it within the function, per line.
+    taken = F.when(F.size("all") > 0, F.transform(numbers, lambda i: F.get("all", i)))
+    rows = rows.select(*picked.columns, numbers.alias("ats"), taken.alias("taken"))
+    rows = rows.select(*picked.columns, F.explode(F.arrays_zip("ats", "taken")).alias("row"))
+    return rows.select(
+        *picked.columns, F.col("row.ats").alias("at"), F.col("row.taken").alias("line")
+    )
 
 
 def _again(docs: DataFrame, rows: DataFrame, frequency: Column, **more: Column) -> DataFrame:
@@ -177,13 +198,11 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     compared = compared.withColumn("sketch", _sketch(F.col("tokens")))
     length = F.expr("n - (4 * n + 4) div 5 + 1").cast("int")
     # Half of a word's number is enough to bring lines together; what follows is exact.
-    half = F.lit(2**31 - 1)
-    prefix = F.transform(
-        F.slice("tokens", F.lit(1), length), lambda t: t.bitwiseAND(half).cast("int")
-    )
+    half = F.col("token").bitwiseAND(F.lit(2**31 - 1)).cast("int")
+    prefix = F.slice("tokens", F.lit(1), length)
     rows = compared.select(
         *_KEYS, "at", "n", "sketch", F.posexplode(prefix).alias("place", "token")
-    )
+    ).withColumn("token", half)
     rows = _having_partner(rows, f"NOT ({_SAME})", _apart(["sketch"]))
 
     wide = {f"s{k}": c for k, c in enumerate(_wide_sketches(F.col("tokens")))}

@@ -140,6 +140,26 @@ def test_lines_of_repeated_rows_and_clashing_columns(spark):
     assert lines.dedup_lines(docs.where("false")).count() == 0
 
 
+def test_words_of_a_line_are_made_once_a_step(documents):
+    docs = documents(["a few words\nand more words", "a few words"])
+    keys = lines._keys(docs, "doc_id", "text", True)
+    found = lines.kept_lines(docs.select(*keys, "text"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("regexp_replace" in step for step in plan)
+    assert not any("Filter" in step and "regexp_replace" in step for step in plan)
+    assert not any("lambdafunction(split(" in step for step in plan)
+
+
+def test_rare_words_come_first(documents):
+    others = " ".join(f"w{i}" for i in range(40))
+    docs = documents(["often " * 50 + "seldom", *[others] * 9])
+    text = F.array(F.xxhash64(F.lit("often")), F.xxhash64(F.lit("seldom")))
+    ordered = docs.select(lines._ordered(text, lines.rarity(docs)).alias("w"), text.alias("h"))
+    row = ordered.first()
+    kept = 2**61 - 1
+    assert [w & kept for w in row.w] == [h % 2**64 >> 3 for h in reversed(row.h)]
+
+
 # --- fingerprints
 
 
