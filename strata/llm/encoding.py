@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,8 @@ import pyarrow as pa
 
 #: Longer units are not remembered: their hashes are weaker, and they hardly come again.
 _LONGEST = 64
-_STRETCH = 4_000_000
+#: Bytes of text worked through at a time, and new units encoded at a time.
+_STRETCH, _NEW_UNITS = 1_000_000, 10_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _BYTE = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
@@ -143,12 +145,15 @@ class Encoder:
         at, n = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
         at[known], n[known] = self._at[place[known]], self._n[place[known]]
         new = np.flatnonzero(~known)
-        raw, a, b = data.tobytes(), starts[first[new]].tolist(), ends[first[new]].tolist()
-        ids = self._words([raw[x:y].decode() for x, y in zip(a, b, strict=True)])
-        n[new] = [len(i) for i in ids]
+        raw, joined = memoryview(data), [self._ids]
+        for k in range(0, len(new), _NEW_UNITS):
+            block = new[k : k + _NEW_UNITS]
+            a, b = starts[first[block]].tolist(), ends[first[block]].tolist()
+            ids = self._words([str(raw[x:y], "utf-8") for x, y in zip(a, b, strict=True)])
+            n[block] = [len(i) for i in ids]
+            joined.append(np.frombuffer(b"".join([i.tobytes() for i in ids]), np.uint32))
         at[new] = len(self._ids) + np.cumsum(n[new]) - n[new]
-        joined = np.frombuffer(b"".join([i.tobytes() for i in ids]), np.uint32)
-        table = np.concatenate([self._ids, joined])
+        table = np.concatenate(joined)
         self._remember(keys, at, n, table, new[short[first[new]]], count)
         return at[back], n[back], table
 
@@ -170,26 +175,31 @@ class Encoder:
         self._n = np.concatenate([self._n, sizes])[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one text after the other, and the number of ids of each text; NULL is empty.
+        """All ids one text after the other, and the number of ids of each text; NULL is empty."""
+        flat, sizes = [np.empty(0, np.uint32)], [np.zeros(0, np.int64)]
+        for found in self.stretches(texts):
+            flat.append(found[0])
+            sizes.append(found[1])
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def stretches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``encode``, for the next few texts at a time.
 
         Works through about ``_STRETCH`` bytes at a time, so its memory depends on the longest text
         and not on the batch.
         """
         texts = texts.fill_null("").cast(pa.large_string())
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
-        flat, sizes, at = [np.empty(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        at = 0
         while at < len(texts):
             stop = int(np.searchsorted(bounds, bounds[at] + _STRETCH, side="right")) - 1
             stop = min(max(stop, at + 1), len(texts))
             if bounds[at] == bounds[stop]:
-                sizes.append(np.zeros(stop - at, np.int64))
+                yield np.empty(0, np.uint32), np.zeros(stop - at, np.int64)
             else:
                 data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[at] : bounds[stop]]
-                found = self._stretch(data, bounds[at : stop + 1] - bounds[at])
-                flat.append(found[0])
-                sizes.append(found[1])
+                yield self._stretch(data, bounds[at : stop + 1] - bounds[at])
             at = stop
-        return np.concatenate(flat), np.concatenate(sizes)
 
     def _added_tokens(self, data: np.ndarray) -> list[int]:
         """Where strings of added tokens begin; one that two texts form together does no harm."""
@@ -247,9 +257,25 @@ class Encoder:
 
     def encode_with_end(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode``, with ``end_id`` after each text."""
-        flat, sizes = self.encode(texts)
-        out = np.insert(flat, np.cumsum(sizes), end_id).astype("<u4", copy=False)
-        return out, sizes + 1
+        return _with_end(*self.encode(texts), end_id)
+
+    def stretches_with_end(
+        self, texts: pa.Array, end_id: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``stretches``, with ``end_id`` after each text."""
+        return (_with_end(*found, end_id) for found in self.stretches(texts))
+
+
+def _with_end(flat: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    out = np.insert(flat, np.cumsum(sizes), end_id).astype("<u4", copy=False)
+    return out, sizes + 1
+
+
+def give_back() -> None:
+    """Frees what the allocators keep: a worker that waits for its next task holds no more than
+    it needs, since the executor works on beside it."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
 
 
 @lru_cache(maxsize=2)

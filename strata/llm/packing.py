@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import settle
-from strata.llm.encoding import encoder
+from strata.llm.encoding import encoder, give_back
 from strata.workspace import scratch_folder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -58,24 +58,31 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            rows: list[tuple] = []
-            flat, sizes = encode.encode_with_end(batch.column(1), end_id)
-            every, at = memoryview(flat).cast("B"), 0
-            for doc, n in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
-                data = every[4 * at : 4 * (at + n)]
-                at += n
-                stop = (n - 1) % capacity + 1
-                start = piece = 0
-                while start < n:
-                    crc = zlib.crc32(data[4 * start : 4 * stop])
-                    rows.append((doc, piece, start, stop - start, crc))
-                    start, stop, piece = stop, stop + capacity, piece + 1
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            docs, texts, done = batch.column(0), batch.column(1), 0
+            for flat, sizes in encode.stretches_with_end(texts, end_id):
+                yield cut_up(docs.slice(done, len(sizes)), flat, sizes)
+                done += len(sizes)
+            del batch, docs, texts
+            give_back()
+
+    def cut_up(docs: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        rows: list[tuple] = []
+        every, at = memoryview(flat).cast("B"), 0
+        for doc, n in zip(docs.to_pylist(), sizes.tolist(), strict=True):
+            data = every[4 * at : 4 * (at + n)]
+            at += n
+            stop = (n - 1) % capacity + 1
+            start = piece = 0
+            while start < n:
+                crc = zlib.crc32(data[4 * start : 4 * stop])
+                rows.append((doc, piece, start, stop - start, crc))
+                start, stop, piece = stop, stop + capacity, piece + 1
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
 
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(cut, PIECES)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -44,6 +46,21 @@ def test_added_tokens_have_their_own_id(library):
     assert library("one <|endoftext|> two") == [505, 220, 50256, 734]
 
 
+def test_memory_of_the_encoder_does_not_grow_with_the_batch():
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randint(0, 30_000)}" for _ in range(500)) for _ in range(2500)]
+    batch = pa.array(texts)
+    encode = Encoder(tokenizer_path())
+    tracemalloc.start()
+    try:
+        flat, sizes = encode.encode(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(sizes) == len(texts) and sizes.sum() == len(flat)
+    assert peak - 3 * flat.nbytes < 64e6  # 237 MB in stretches of 4 MB
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 40_000])
 def test_grammar_round_trip_and_random_access(n):
     r = np.random.default_rng(n)
