@@ -14,12 +14,13 @@ every step that needs them reads that one exchange. Everything is a DataFrame ex
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACE, any_of, fresh, settle
 
-RARITY_BITS, LEVELS = 15, (2, 4, 8, 16, 64, 256, 1024)
+RARITY_BITS, LEVELS = 17, (2, 4, 8, 16, 64, 512, 4096)
 
 _KEYS = ["k1", "k2"]
 _LAST = 2**63 - 1
@@ -50,20 +51,24 @@ def rarity(docs: DataFrame) -> Column:
     """How frequent words of a hash are in all texts: eight levels, four bits each, packed.
 
     Counts go by the last ``RARITY_BITS`` bits of the hash; the levels are ranks among these
-    counts. A table of 16 kilobytes, whatever the vocabulary. Any order of words gives exact results.
+    counts. A table of 64 kilobytes, whatever the vocabulary. Any order of words gives exact
+    results, but the rarer the words that lines meet by, the fewer pairs of lines are compared: words
+    that share a bucket with a frequent one count as frequent.
     """
     size = 1 << RARITY_BITS
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("bucket")
     counts = words.groupBy(bucket).agg(F.count("*").alias("n"))
-    levels = [0] * size
-    for rank, row in enumerate(counts.orderBy(F.desc("n"), "bucket").collect()):
-        levels[row.bucket] = sum(rank < size // share for share in LEVELS)
-    cells = [0] * (size // 16)
-    for bucket_of, level in enumerate(levels):
-        # As the top bits of a signed number, so the rarest level is the negative one.
-        cells[bucket_of % len(cells)] |= (level + 4) % 8 << 4 * (bucket_of // len(cells))
-    packed = ",".join(str(c - 2**64 if c >> 63 else c) for c in cells)
+    found = counts.toArrow()
+    n, buckets = found["n"].to_numpy(), found["bucket"].to_numpy()
+    rank = np.arange(len(n))
+    levels = np.zeros(size, np.uint64)
+    levels[buckets[np.lexsort((buckets, -n))]] = sum(rank < size // share for share in LEVELS)
+    # As the top bits of a signed number, so the rarest level is the negative one.
+    codes = ((levels + np.uint64(4)) % np.uint64(8)).reshape(16, -1)
+    places = np.arange(0, 64, 4, dtype=np.uint64)[:, None]
+    cells = np.bitwise_or.reduce(codes << places, axis=0).view(np.int64)
+    packed = ",".join(map(str, cells.tolist()))
     return F.split(F.lit(packed), ",").cast("array<bigint>")
 
 

@@ -160,6 +160,21 @@ def test_rare_words_come_first(documents):
     assert [w & kept for w in row.w] == [h % 2**64 >> 3 for h in reversed(row.h)]
 
 
+def test_a_rare_word_is_not_taken_for_a_frequent_one_of_a_similar_hash(spark, documents):
+    often = F.xxhash64(F.lit("often"))
+    words = spark.range(2_000_000).select(F.concat(F.lit("r"), "id").alias("w"))
+    h = F.xxhash64("w")
+    like = words.where(h.bitwiseAND(F.lit(2**15 - 1)) == often.bitwiseAND(F.lit(2**15 - 1)))
+    like = like.where(h.bitwiseAND(F.lit(2**17 - 1)) != often.bitwiseAND(F.lit(2**17 - 1)))
+    # By the hash alone it comes last.
+    rare = like.where(F.shiftrightunsigned(h, 3) > F.shiftrightunsigned(often, 3)).first().w
+    others = " ".join(f"w{i}" for i in range(100))
+    docs = documents([f"{'often ' * 50}{rare}", *[others] * 9])
+    both = F.array(often, F.xxhash64(F.lit(rare)))
+    row = docs.select(lines._ordered(both, lines.rarity(docs)).alias("w"), both.alias("h")).first()
+    assert [w & (2**61 - 1) for w in row.w] == [h % 2**64 >> 3 for h in reversed(row.h)]
+
+
 # --- fingerprints
 
 
