@@ -7,7 +7,7 @@ Equal lines are settled first, so only first occurrences are compared. Words are
 over the whole corpus; two similar sets then share a word among the first few (prefix filter), at
 places and with lengths that leave room for the overlap (positional and length filters). Pairs are
 never written out: a left semi join asks for every prefix word of every line whether a partner
-exists, first with a 64-bit sketch of the line, then, for what is left, with a wide one, and at last
+exists, first with a 64-bit sketch of the line (two, if it is long), then, for what is left, with a wide one, and at last
 with all words, where the Jaccard similarity is verified. The texts are dealt once by document and
 every step that needs them reads that one exchange. Everything is a DataFrame expression.
 """
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import SPACE, any_of, fresh, settle
 
 RARITY_BITS, LEVELS = 17, (2, 4, 8, 16, 64, 512, 4096)
+#: Lines of so many words have a second sketch: 64 bits alone hardly tell them apart.
+LONG = 80
 
 _KEYS = ["k1", "k2"]
 _LAST = 2**63 - 1
@@ -116,6 +118,13 @@ def _sketch(tokens: Column, shift: int = 0) -> Column:
     return F.coalesce(F.aggregate(tokens, zero, lambda a, t: a.bitwiseXOR(bit(t))), zero)
 
 
+def _second_sketch(tokens: Column, n: Column) -> Column:
+    """For long lines the sketch of about half of the tokens; the first sketch is the parity of this
+    half and the other. Zero for short lines."""
+    half = F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1)) == 1)
+    return F.when(n >= LONG, _sketch(half)).otherwise(F.lit(0).cast("bigint"))
+
+
 def _wide_sketches(tokens: Column) -> list[Column]:
     """Four sketches of a quarter of the tokens each, for a closer bound on long lines."""
 
@@ -128,22 +137,31 @@ def _wide_sketches(tokens: Column) -> list[Column]:
 
 _SAME = "a.k1 = b.k1 AND a.k2 = b.k2 AND a.at = b.at"
 _EARLIER = "b.k1 < a.k1 OR (b.k1 = a.k1 AND (b.k2 < a.k2 OR (b.k2 = a.k2 AND b.at < a.at)))"
-_NEED = "((4 * (a.n + b.n) + 8) div 9)"  # the overlap that 0.8 asks for
-_LENGTHS = "5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n"
 _FIRST = "a.prev <> b.prev OR a.prev = -1"
-_PLACES = f"1 + least(a.n - a.place - 1, b.n - b.place - 1) >= {_NEED}"
+# 0.8 asks for an overlap of 4 ninths of both numbers of tokens; no division, as it is the dearest
+# part of a test that is done for every pair. What is left after the places bounds the lengths, too.
+_PLACES = "9 * (1 + least(a.n - a.place - 1, b.n - b.place - 1)) >= 4 * (a.n + b.n)"
 
 
 def _apart(columns: list[str]) -> str:
+    """Sketches differ in no more than a ninth of all tokens, as similar sets do."""
     bits = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in columns)
-    return f"{bits} <= a.n + b.n - 2 * {_NEED}"
+    return f"9 * ({bits}) <= a.n + b.n"
+
+
+#: Of two long lines each half counts on its own.
+_HALVES_APART = (
+    f"a.n < {LONG} OR b.n < {LONG} OR 9 * (bit_count(a.sketch ^ a.second ^ b.sketch ^ b.second)"
+    " + bit_count(a.second ^ b.second)) <= a.n + b.n"
+)
 
 
 def _having_partner(rows: DataFrame, *conditions: str) -> DataFrame:
-    """Rows with a partner of the same token; both sides read one exchange."""
+    """Rows with a partner of the same token; both sides read one exchange. The conditions are
+    tested in order, so what rejects most at the least cost comes first."""
     for name in rows.columns:
         rows = rows.where(F.col(name).isNotNull())
-    on = " AND ".join(f"({c})" for c in ("a.token = b.token", _LENGTHS, _PLACES, *conditions))
+    on = " AND ".join(f"({c})" for c in ("a.token = b.token", *conditions))
     return rows.alias("a").join(rows.alias("b"), F.expr(on), "left_semi")
 
 
@@ -201,22 +219,23 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     frequency = rarity(docs)
     compared = _tokens(_with_texts(docs, firsts, F.col("firsts")), frequency)
     compared = compared.withColumn("sketch", _sketch(F.col("tokens")))
+    compared = compared.withColumn("second", _second_sketch(F.col("tokens"), F.col("n")))
     length = F.expr("n - (4 * n + 4) div 5 + 1").cast("int")
     # Half of a word's number is enough to bring lines together; what follows is exact.
     half = F.col("token").bitwiseAND(F.lit(2**31 - 1)).cast("int")
     prefix = F.slice("tokens", F.lit(1), length)
     rows = compared.select(
-        *_KEYS, "at", "n", "sketch", F.posexplode(prefix).alias("place", "token")
+        *_KEYS, "at", "n", "sketch", "second", F.posexplode(prefix).alias("place", "token")
     ).withColumn("token", half)
-    rows = _having_partner(rows, f"NOT ({_SAME})", _apart(["sketch"]))
+    rows = _having_partner(rows, _apart(["sketch"]), _PLACES, f"NOT ({_SAME})", _HALVES_APART)
 
     wide = {f"s{k}": c for k, c in enumerate(_wide_sketches(F.col("tokens")))}
     rows = _again(docs, rows, frequency, **wide)
-    rows = _having_partner(rows, f"NOT ({_SAME})", _FIRST, _apart(list(wide)))
+    rows = _having_partner(rows, _apart(list(wide)), _PLACES, f"NOT ({_SAME})", _FIRST)
 
     similar = "9 * size(array_intersect(a.words, b.words)) >= 4 * (a.n + b.n)"
     rows = _again(docs, rows, frequency, words=F.col("tokens"))
-    rows = _having_partner(rows, _EARLIER, _FIRST, similar)
+    rows = _having_partner(rows, _PLACES, _EARLIER, _FIRST, similar)
     return firsts.join(_per_document(rows, "later"), _KEYS, "left")
 
 

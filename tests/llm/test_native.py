@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 from pathlib import Path
@@ -160,6 +161,33 @@ def test_rare_words_come_first(documents):
     assert [w & kept for w in row.w] == [h % 2**64 >> 3 for h in reversed(row.h)]
 
 
+def test_long_lines_are_told_apart_by_two_sketches(spark):
+    r = random.Random(8)
+    rows, similar = [], set()
+    for k in range(300):
+        a = [f"a{k}w{i}" for i in range(r.choice([20, 70, 79, 80, 81, 90, 110, 130]))]
+        b = a[: r.randint(0, len(a))] if k % 2 else a[: len(a) - len(a) // 12]
+        b += [f"b{k}w{i}" for i in range(len(a) - len(b) if k % 3 else len(a) // 12)]
+        if 9 * len({*a} & {*b}) >= 4 * (len(a) + len(b)):
+            similar.add(k)
+        rows.append((k, " ".join(a), " ".join(b)))
+    rows.append((300, " ".join(f"c{i}" for i in range(130)), " ".join(f"d{i}" for i in range(130))))
+    pairs = spark.createDataFrame(rows, "k int, a string, b string")
+    frequency = F.array(*[F.lit(0).cast("bigint")] * (1 << (lines.RARITY_BITS - 4)))
+
+    def side(name):
+        made = lines._tokens(pairs.select("k", F.col(name).alias("line")), frequency)
+        tokens = F.col("tokens")
+        second = lines._second_sketch(tokens, F.col("n")).alias("second")
+        return made.select("k", "n", lines._sketch(tokens).alias("sketch"), second).alias(name)
+
+    both = side("a").join(side("b"), F.expr("a.k = b.k"))
+    one = {x.k for x in both.where(lines._apart(["sketch"])).select("a.k").collect()}
+    two = {x.k for x in both.where(lines._HALVES_APART).select("a.k").collect()}
+    assert similar <= one & two and len(similar) > 100
+    assert 300 not in two
+
+
 def test_a_rare_word_is_not_taken_for_a_frequent_one_of_a_similar_hash(spark, documents):
     often = F.xxhash64(F.lit("often"))
     words = spark.range(2_000_000).select(F.concat(F.lit("r"), "id").alias("w"))
