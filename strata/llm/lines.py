@@ -49,17 +49,23 @@ def line_words(line: Column) -> Column:
     return F.split(F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line), " ")
 
 
+def _bucket(h: Column) -> tuple[Column, Column]:
+    """Where the level of a word lies: the cell by the first bits of its hash, and the place in it."""
+    return F.shiftrightunsigned(h, 64 - (RARITY_BITS - 4)), h.bitwiseAND(F.lit(60))
+
+
 def rarity(docs: DataFrame) -> Column:
     """How frequent words of a hash are in all texts: eight levels, four bits each, packed.
 
-    Counts go by the last ``RARITY_BITS`` bits of the hash; the levels are ranks among these
+    Counts go by ``RARITY_BITS`` bits of the hash; the levels are ranks among these
     counts. A table of 64 kilobytes, whatever the vocabulary. Any order of words gives exact
     results, but the rarer the words that lines meet by, the fewer pairs of lines are compared: words
     that share a bucket with a frequent one count as frequent.
     """
     size = 1 << RARITY_BITS
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
-    bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("bucket")
+    cell, place = _bucket(F.xxhash64("w"))
+    bucket = F.shiftleft(cell, 4).bitwiseOR(F.shiftright(place, 2)).alias("bucket")
     counts = words.groupBy(bucket).agg(F.count("*").alias("n"))
     found = counts.toArrow()
     n, buckets = found["n"].to_numpy(), found["bucket"].to_numpy()
@@ -67,9 +73,9 @@ def rarity(docs: DataFrame) -> Column:
     levels = np.zeros(size, np.uint64)
     levels[buckets[np.lexsort((buckets, -n))]] = sum(rank < size // share for share in LEVELS)
     # As the top bits of a signed number, so the rarest level is the negative one.
-    codes = ((levels + np.uint64(4)) % np.uint64(8)).reshape(16, -1)
-    places = np.arange(0, 64, 4, dtype=np.uint64)[:, None]
-    cells = np.bitwise_or.reduce(codes << places, axis=0).view(np.int64)
+    codes = ((levels + np.uint64(4)) % np.uint64(8)).reshape(-1, 16)
+    places = np.arange(0, 64, 4, dtype=np.uint64)
+    cells = np.bitwise_or.reduce(codes << places, axis=1).view(np.int64)
     packed = ",".join(map(str, cells.tolist()))
     return F.split(F.lit(packed), ",").cast("array<bigint>")
 
@@ -79,12 +85,11 @@ def _ordered(hashes: Column, frequency: Column) -> Column:
 
     Every operation here is done once a word, so they are as few as can be.
     """
-    index_bits = RARITY_BITS - 4
 
     def number(h: Column) -> Column:
-        cell = F.get(frequency, h.bitwiseAND(F.lit((1 << index_bits) - 1)).cast("int"))
-        place = F.shiftright(h, index_bits - 2).bitwiseAND(F.lit(60)).cast("int")
-        level = F.call_function("shiftright", F.coalesce(cell, F.lit(0)), place)
+        cell, place = _bucket(h)
+        packed = F.coalesce(F.get(frequency, cell.cast("int")), F.lit(0))
+        level = F.call_function("shiftright", packed, place.cast("int"))
         return F.shiftleft(level, 61).bitwiseOR(F.shiftrightunsigned(h, 3))
 
     return F.sort_array(F.transform(hashes, number))
@@ -95,13 +100,17 @@ def _tokens(lines: DataFrame, frequency: Column) -> DataFrame:
 
     Neither they nor what is made of them may be NULL by type: Spark would push a test for that
     down to the texts, and split and hash every line once more for each such column.
+
+    What stands below a lambda function is interpreted, so the set of hashes is made in a projection
+    of its own, where it is compiled; its second use, for ``n``, keeps the two apart. Arrays that
+    cannot hold NULL by type are sorted as plain numbers.
     """
-    hashes = F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w))
-    hashes = F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
-    none = F.array().cast("array<bigint>")
-    tokens = F.coalesce(_ordered(hashes, frequency), none)
-    lines = lines.withColumn("tokens", tokens).drop("line")
-    return lines.withColumn("n", F.size("tokens"))
+    words = line_words(F.coalesce("line", F.lit("")))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    hashes = F.array_except(hashes, F.array(F.xxhash64(F.lit(""))))
+    lines = lines.withColumn("hashes", hashes).drop("line")
+    tokens = _ordered(F.col("hashes"), frequency)
+    return lines.withColumns({"tokens": tokens, "n": F.size("hashes")}).drop("hashes")
 
 
 def _sketch(tokens: Column, shift: int = 0) -> Column:
@@ -121,7 +130,7 @@ def _sketch(tokens: Column, shift: int = 0) -> Column:
 def _second_sketch(tokens: Column, n: Column) -> Column:
     """For long lines the sketch of about half of the tokens; the first sketch is the parity of this
     half and the other. Zero for short lines."""
-    half = F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(1)) == 1)
+    half = F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64)) == 64)
     return F.when(n >= LONG, _sketch(half)).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -129,7 +138,7 @@ def _wide_sketches(tokens: Column) -> list[Column]:
     """Four sketches of a quarter of the tokens each, for a closer bound on long lines."""
 
     def quarter(k: int) -> Column:
-        own = F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(3)) == k)
+        own = F.filter(tokens, lambda t: t.bitwiseAND(F.lit(192)) == 64 * k)
         return _sketch(own, 8)
 
     return [quarter(k) for k in range(4)]

@@ -151,6 +151,23 @@ def test_words_of_a_line_are_made_once_a_step(documents):
     assert not any("lambdafunction(split(" in step for step in plan)
 
 
+def test_sets_of_words_are_made_outside_lambda_functions(spark):
+    texts = ["b a b", " a  b ", "tab\tand\x0bb", "", " ", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, line string")
+    frequency = F.array(*[F.lit(0).cast("bigint")] * (1 << (lines.RARITY_BITS - 4)))
+    made = lines._tokens(rows, frequency)
+    found = {r.k: r for r in made.collect()}
+    assert [found[k].n for k in range(6)] == [2, 2, 3, 0, 0, 0]
+    assert all(len(r.tokens) == r.n and list(r.tokens) == sorted({*r.tokens}) for r in found.values())
+    assert found[0].tokens == found[1].tokens
+    tokens = made.schema["tokens"]
+    assert not tokens.nullable and not tokens.dataType.containsNull
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("array_except(transform(" in step for step in plan)
+    assert not any("transform(array_" in step for step in plan)
+    assert sum("regexp_replace" in step for step in plan) == 1
+
+
 def test_rare_words_come_first(documents):
     others = " ".join(f"w{i}" for i in range(40))
     docs = documents(["often " * 50 + "seldom", *[others] * 9])
